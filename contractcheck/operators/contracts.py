@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractcheck.functions.text import json_text, map_content_text
+from contractcheck.operators.lookups import lookup_join
 
 # Top-level keys every agreement must have.
 REQUIRED_KEYS = ("version", "name", "domain", "schema")
@@ -225,7 +226,7 @@ def resolve_contract(models: DataFrame, contracts: DataFrame) -> DataFrame:
     path = F.regexp_extract("source_path", r"([^/]+/[^/]+/[^/]+)\.ya?ml$", 1)
     by_path = contracts.select(path.alias("contract_id"), F.col("id").alias("_resolved")).filter("contract_id != ''")
     names = by_id.unionByName(by_path).groupBy("contract_id").agg(F.min("_resolved").alias("_resolved"))
-    joined = models.join(names, ["contract_id"], "left")
+    joined = lookup_join(models, names, ["contract_id"], "left", spread_by=["id"])
     cols = [F.coalesce("_resolved", "contract_id").alias(c) if c == "contract_id" else F.col(c) for c in models.columns]
     return joined.select(*cols)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contractcheck.operators.lookups import lookup_join
 from contractcheck.operators.values import type_matches
 
 
@@ -19,14 +20,14 @@ def schema_diff(declared: DataFrame, actual: DataFrame, keys: Sequence[str] = ("
     """``keys..., diff_type, column_name`` for all tables at once; tables without
     any declared column are left out."""
     on = [*keys, "column_name"]
-    left = declared.select(*on).distinct().withColumn("_declared", F.lit(True))
-    right = actual.select(*on).distinct().withColumn("_actual", F.lit(True))
-    known = declared.select(*keys).distinct()
-    both = left.join(right, on, "full_outer").filter(F.col("_declared").isNull() | F.col("_actual").isNull())
-    diff = both.select(
-        *keys, F.when(F.col("_actual").isNull(), "missing").otherwise("extra").alias("diff_type"), "column_name"
+    sides = declared.select(*on, F.lit(True).alias("_d"), F.lit(False).alias("_a")).unionByName(
+        actual.select(*on, F.lit(False).alias("_d"), F.lit(True).alias("_a"))
     )
-    return diff.join(known, list(keys), "left_semi")
+    both = sides.groupBy(*on).agg(F.bool_or("_d").alias("_d"), F.bool_or("_a").alias("_a"))
+    diff = both.filter(~(F.col("_d") & F.col("_a"))).select(
+        *keys, F.when(F.col("_d"), "missing").otherwise("extra").alias("diff_type"), "column_name"
+    )
+    return lookup_join(diff, declared.select(*keys).distinct(), list(keys), "left_semi", spread_by=["column_name"])
 
 
 def missing_columns(declared: DataFrame, actual: DataFrame, keys: Sequence[str] = ("table_name",)) -> DataFrame:

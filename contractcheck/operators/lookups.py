@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALT = "_salt"
+MAX_SALTS = 64
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -17,26 +18,41 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, complex_types)]
 
 
+def _spark_would_broadcast(dim: DataFrame) -> bool:
+    """Spark's own size estimate of ``dim`` against its broadcast limit."""
+    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
+def default_salts(df: DataFrame) -> int:
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_SALTS, tasks // 4))
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = 16,
+    salts: int | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to ``dim``, which holds at most one row per key.
-
-    Rows of one key are spread over ``salts`` tasks by a hash of the row itself
-    (repeatable when a task is retried) and ``dim`` is repeated once per salt, so
-    a key that owns a third of ``facts`` never lands in one task. No broadcast is
-    forced: Spark picks one only when its own size estimate, or the size measured
-    at run time, is below ``spark.sql.autoBroadcastJoinThreshold``.
+    """Join ``facts`` to ``dim``, which holds about one row per key.
+
+    A ``dim`` whose estimated size is below the session's broadcast limit is left
+    to Spark, which broadcasts it. Beyond that the rows of one key are spread over
+    ``salts`` tasks by a hash of the row itself (repeatable when a task is retried)
+    and ``dim`` is repeated once per salt, so a key that owns a third of ``facts``
+    never lands in one task. The repeated side is pinned to a sort-merge join,
+    because its estimate does not count the repetition.
     """
+    if _spark_would_broadcast(dim):
+        return facts.join(dim, list(on), how)
+    n = salts or default_salts(facts)
     spread = list(spread_by or _hashable(facts))
-    salted = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = dim.withColumn(SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(copies, [*on, SALT], how).drop(SALT)
+    salted = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
+    copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return salted.join(copies.hint("merge"), [*on, SALT], how).drop(SALT)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

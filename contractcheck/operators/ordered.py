@@ -51,7 +51,7 @@ def _count_below(value: Column, cuts: list, inclusive: bool) -> Column:
 
 
 def _slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
-    """A struct of slice numbers that sorts like ``order_by``.
+    """A struct of slice numbers that sorts like ``order_by``, from the values in ``df``.
 
     A value that equals a cut point gets a slice of its own, which the next order
     column cuts further; ties on the first column can therefore be split too.
@@ -92,18 +92,21 @@ def with_prior(
     sums: dict[str, Column] | None = None,
     totals: Sequence[str] = (),
     slices: int | None = None,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per output name, the maximum or sum over all earlier rows of the group.
 
     ``order_by`` is ascending and must be unique inside a group. Names in
-    ``totals`` also get ``total_<name>``, the value over the whole group.
+    ``totals`` also get ``total_<name>``, the value over the whole group. When
+    ``df`` is itself an aggregate, ``cuts_from`` names its input: the cut points then
+    come from a plain scan of the order columns and the aggregate runs only once.
     """
     maxima, sums = maxima or {}, sums or {}
     fold = {**dict.fromkeys(maxima, F.max), **dict.fromkeys(sums, F.sum)}
     values = {**maxima, **sums}
     n = slices if slices is not None else default_slices(df)
     group = F.struct(*partition_by) if partition_by else F.struct(F.lit(0).alias("all"))
-    base = df.select("*", group.alias("_group"), _slice_of(df, order_by, n).alias("_slice"))
+    base = df.select("*", group.alias("_group"), _slice_of(df if cuts_from is None else cuts_from, order_by, n).alias("_slice"))
 
     earlier = (
         Window.partitionBy("_group", "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)

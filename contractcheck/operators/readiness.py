@@ -16,36 +16,37 @@ COUNTS = [
 ]
 
 
-def _counted(df: DataFrame, **counts: Column) -> DataFrame:
+def _marks(df: DataFrame, **marks: Column) -> DataFrame:
+    """``contract_id`` and all counts as columns, 0 where nothing is given."""
     zero = F.lit(0).cast("bigint")
-    return df.groupBy("contract_id").agg(*[counts.get(c, F.max(zero)).alias(c) for c in COUNTS])
+    return df.select("contract_id", *[marks.get(c, zero).cast("bigint").alias(c) for c in COUNTS])
 
 
-def test_counts(results: DataFrame, day: str) -> DataFrame:
-    """Test results of one day per agreement."""
-    today = results.filter(day_bounds(F.col("run_timestamp"), day))
-    return _counted(
-        today,
-        total_tests=F.count(F.lit(1)),
-        passing_tests=F.count_if(F.col("status") == "pass"),
-        failing_tests=F.count_if(F.col("status") == "fail"),
+def _summed(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("contract_id").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def _test_marks(results: DataFrame, day: str) -> DataFrame:
+    return _marks(
+        results.filter(day_bounds(F.col("run_timestamp"), day)),
+        total_tests=F.lit(1),
+        passing_tests=F.col("status") == "pass",
+        failing_tests=F.col("status") == "fail",
     )
 
 
-def slo_counts(slos: DataFrame, day: str) -> DataFrame:
-    """Measurements of one day per agreement."""
-    today = slos.filter(day_bounds(F.col("measurement_ts"), day))
-    return _counted(
-        today,
-        total_slos=F.count(F.lit(1)),
-        passing_slos=F.count_if(F.col("status") == "pass"),
-        failing_slos=F.count_if(F.col("status") == "fail"),
+def _slo_marks(slos: DataFrame, day: str) -> DataFrame:
+    return _marks(
+        slos.filter(day_bounds(F.col("measurement_ts"), day)),
+        total_slos=F.lit(1),
+        passing_slos=F.col("status") == "pass",
+        failing_slos=F.col("status") == "fail",
     )
 
 
-def issue_counts(issues: DataFrame, models: DataFrame, day: str) -> DataFrame:
-    """Unreviewed issues of one day per agreement. Issues are counted per model
-    before they meet the registry, so a noisy model stays one row."""
+def _issue_marks(issues: DataFrame, models: DataFrame, day: str) -> DataFrame:
+    """Issues are counted per model before they meet the registry, so a noisy model
+    stays one row."""
     today = issues.filter(day_bounds(F.col("detected_at"), day) & (F.col("reviewed_flag") == F.lit(False)))
     per_model = today.groupBy("model_id").agg(
         F.count(F.lit(1)).alias("t"),
@@ -54,7 +55,22 @@ def issue_counts(issues: DataFrame, models: DataFrame, day: str) -> DataFrame:
     )
     owner = models.select(F.col("id").alias("model_id"), "contract_id")
     joined = per_model.join(owner, ["model_id"])
-    return _counted(joined, total_issues=F.sum("t"), critical_issues=F.sum("c"), high_issues=F.sum("h"))
+    return _marks(joined, total_issues=F.col("t"), critical_issues=F.col("c"), high_issues=F.col("h"))
+
+
+def test_counts(results: DataFrame, day: str) -> DataFrame:
+    """Test results of one day per agreement."""
+    return _summed(_test_marks(results, day))
+
+
+def slo_counts(slos: DataFrame, day: str) -> DataFrame:
+    """Measurements of one day per agreement."""
+    return _summed(_slo_marks(slos, day))
+
+
+def issue_counts(issues: DataFrame, models: DataFrame, day: str) -> DataFrame:
+    """Unreviewed issues of one day per agreement."""
+    return _summed(_issue_marks(issues, models, day))
 
 
 def verdict(failing: Column) -> Column:
@@ -100,12 +116,11 @@ def contract_status(
 ) -> DataFrame:
     """One row per agreement that has any entry on ``day``.
 
-    The three logs are counted on the map side, then their small per-agreement
-    rows are added up in one shuffle.
+    The entries of the three logs are added up together: one partial sum per task
+    and agreement, then one shuffle.
     """
-    parts = union_all([test_counts(results, day), slo_counts(slos, day), issue_counts(issues, models, day)])
-    known = parts.filter(F.col("contract_id").isNotNull())
-    return with_decision(known.groupBy("contract_id").agg(*[F.sum(c).alias(c) for c in COUNTS]))
+    marks = union_all([_test_marks(results, day), _slo_marks(slos, day), _issue_marks(issues, models, day)])
+    return with_decision(_summed(marks.filter(F.col("contract_id").isNotNull())))
 
 
 def watch_items(subscribers: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import age_micros, fraction_to_percent, hours2, mean_pct2, ntz, pct2
 from contractcheck.functions.text import stable_id
+from contractcheck.operators.lookups import lookup_join
 from contractcheck.schemas import SLO_METRICS, conform
 
 # Thresholds used when an agreement gives none.
@@ -165,15 +166,26 @@ def measured(metrics: DataFrame, contract_id: str, as_of: str) -> DataFrame:
 
 def slo_targets(contracts: DataFrame, models: DataFrame) -> DataFrame:
     """Which levels apply to which model: distinct agreement and model pairs."""
-    return (
-        contracts.select(F.col("id").alias("contract_id"), F.col("name").alias("contract_name"))
-        .join(models.drop("owner_name"), ["contract_id"])
-        .select("contract_id", "contract_name", "model_name", "freshness_slo_hours", "completeness_slo")
-        .distinct()
+    names = contracts.select(F.col("id").alias("contract_id"), F.col("name").alias("contract_name")).distinct()
+    wanted = models.select("contract_id", "model_name", "freshness_slo_hours", "completeness_slo")
+    pairs = lookup_join(wanted, names, ["contract_id"], "inner", spread_by=["model_name"])
+    return pairs.select(
+        "contract_id", "contract_name", "model_name", "freshness_slo_hours", "completeness_slo"
+    ).distinct()
+
+
+def with_default_targets(targets: DataFrame) -> DataFrame:
+    """Fill levels an agreement leaves open with the common defaults."""
+    return targets.withColumns(
+        {
+            "freshness_slo_hours": F.coalesce("freshness_slo_hours", F.lit(DEFAULT_FRESHNESS_HOURS)),
+            "completeness_slo": fraction_to_percent(F.coalesce("completeness_slo", F.lit(DEFAULT_COMPLETENESS_PCT))),
+        }
     )
 
 
 def required_columns(columns: DataFrame, models: DataFrame) -> DataFrame:
     """Required columns per model name."""
     m = models.select(F.col("id").alias("model_id"), "model_name")
-    return columns.filter("required_flag").join(m, ["model_id"]).select("model_name", "column_name").distinct()
+    needed = columns.filter("required_flag").select("model_id", "column_name")
+    return lookup_join(needed, m, ["model_id"], "inner", spread_by=["column_name"]).select("model_name", "column_name").distinct()

@@ -120,9 +120,8 @@ def append_log(df: DataFrame, root: str, table: str) -> None:
     """Append rows below their day; nothing is written for an empty frame."""
     schema, ts = LOG_TABLES[table]
     rows = conform(df, schema, COLUMN_DEFAULTS.get(table)).withColumn(DAY, F.to_date(ts))
-    # One writer per day would be a single task for a daily run of any size, so only
-    # the order inside each file is fixed, not the number of files.
-    rows.sortWithinPartitions(DAY, ts).write.mode("append").partitionBy(DAY).parquet(f"{root}/{table}")
+    # Rebalancing gathers each day into few files and still splits a large day.
+    rows.hint("rebalance", DAY).sortWithinPartitions(DAY, ts).write.mode("append").partitionBy(DAY).parquet(f"{root}/{table}")
 
 
 def read_log(spark: SparkSession, root: str, table: str, day: str | None = None) -> DataFrame:
@@ -193,8 +192,9 @@ def expire_log(
     return gone
 
 
-def materialise(df: DataFrame, path: str, partition_column: str | None = None, partitions: int | None = None) -> None:
-    """Write a model as a table. A declared hash column spreads the rows by it."""
+def materialise(df: DataFrame, path: str, partition_column: str | None = None) -> None:
+    """Write a model as a table. A declared hash column spreads the rows by it; a
+    value that owns too many rows is split at run time."""
     if partition_column:
-        df = df.repartition(partitions, partition_column) if partitions else df.repartition(partition_column)
+        df = df.hint("rebalance", partition_column)
     df.write.mode("overwrite").parquet(path)

@@ -27,11 +27,7 @@ def parse_test_ids(unique_ids: DataFrame, models: DataFrame | None = None) -> Da
     test type are turned into candidate names and matched by equality. Ids that
     match nothing fall back to the naming convention.
     """
-    ids = unique_ids.select("unique_id").distinct()
-    named = ids.withColumn("test_name", test_base_name(F.col("unique_id")))
-    dotted = F.size(F.split("unique_id", r"\.")) >= 3
-    rest = F.when(dotted, strip_test_prefix(F.col("test_name")))
-    base = named.withColumn("_rest", rest).withColumn("_guess", guess_model(F.col("_rest")))
+    base = _with_rest(unique_ids.select("unique_id").distinct())
     if models is None:
         known = base.withColumn("_known", F.lit(None).cast("string"))
     else:
@@ -43,22 +39,37 @@ def parse_test_ids(unique_ids: DataFrame, models: DataFrame | None = None) -> Da
         hits = lookup_join(options, registered, ["model_name"], "inner", spread_by=["unique_id"])
         best = hits.groupBy("unique_id").agg(F.max_by("model_name", F.length("model_name")).alias("_known"))
         known = base.join(best, ["unique_id"], "left")
-    model = F.coalesce("_known", "_guess")
-    return known.select(
-        "unique_id",
-        "test_name",
-        classify_test(F.col("test_name")).alias("test_type"),
-        F.coalesce(model, F.lit("unknown")).alias("model_name"),
-        column_after(F.col("_rest"), model).alias("column_name"),
+    return _named(known).select("unique_id", "test_name", "test_type", "model_name", "column_name")
+
+
+def _with_rest(ids: DataFrame) -> DataFrame:
+    """Add the test name and the words behind its test type."""
+    named = ids.withColumn("test_name", test_base_name(F.col("unique_id")))
+    dotted = F.size(F.split("unique_id", r"\.")) >= 3
+    return named.withColumn("_rest", F.when(dotted, strip_test_prefix(F.col("test_name"))))
+
+
+def _named(known: DataFrame) -> DataFrame:
+    """Type, model and column from the words and the registered model, if any."""
+    model = F.coalesce("_known", guess_model(F.col("_rest")))
+    return known.withColumns(
+        {
+            "test_type": classify_test(F.col("test_name")),
+            "model_name": F.coalesce(model, F.lit("unknown")),
+            "column_name": column_after(F.col("_rest"), model),
+        }
     )
 
 
 def denormalise_results(
     results: DataFrame, run_id: str, as_of: str, models: DataFrame | None = None, configured_by: str = "test_run"
 ) -> DataFrame:
-    """Log rows for test results, one per result."""
-    parsed = parse_test_ids(results, models)
-    rows = lookup_join(results, parsed, ["unique_id"], "left")
+    """Log rows for test results, one per result. Without a registry the names come
+    from the identifiers alone and no row is shuffled."""
+    if models is None:
+        rows = _named(_with_rest(results).withColumn("_known", F.lit(None).cast("string")))
+    else:
+        rows = lookup_join(results, parse_test_ids(results, models), ["unique_id"], "left")
     failed = (F.col("status") == "fail") & (F.col("failures") > 0)
     moment = ntz(as_of)
     log = rows.select(

@@ -79,7 +79,7 @@ def group_quantiles(
         df.filter(F.col(value).isNotNull()).groupBy(*group_by, value).agg(F.count(F.lit(1)).alias("_n"))
     )
     ranked = with_prior(
-        counts, group_by, [value], sums={"_before": F.col("_n")}, totals=["_before"], slices=slices
+        counts, group_by, [value], sums={"_before": F.col("_n")}, totals=["_before"], slices=slices, cuts_from=df
     )
     first, total = F.coalesce("_before", F.lit(0)), F.col("total__before")
     picks = []
@@ -180,7 +180,7 @@ def overlapping_ranges(
             F.max(high).alias("_end"),
         )
     )
-    seen = with_prior(starts, partition_by, [low], maxima={"_reach": F.col("_end")}, slices=slices)
+    seen = with_prior(starts, partition_by, [low], maxima={"_reach": F.col("_end")}, slices=slices, cuts_from=df)
     late = F.coalesce(F.col("_reach") > F.col(low), F.lit(False))
     failed = F.when(late, F.col("_n")).otherwise(F.greatest(F.col("_open") - 1, F.lit(0)))
     return seen.groupBy(*partition_by).agg(
@@ -195,7 +195,7 @@ def sequence_breaks(
     distinct = (
         df.filter(F.col(value).isNotNull()).groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n"))
     )
-    seen = with_prior(distinct, partition_by, [value], maxima={"_last": F.col(value)}, slices=slices)
+    seen = with_prior(distinct, partition_by, [value], maxima={"_last": F.col(value)}, slices=slices, cuts_from=df)
     gap = F.coalesce(F.col(value) != F.col("_last") + step, F.lit(False)).cast("bigint")
     repeats = F.lit(0) if step == 0 else F.col("_n") - 1
     return seen.groupBy(*partition_by).agg(
