@@ -158,10 +158,15 @@ def to_results(
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null and non-null share of every column, one scan for all of them."""
-    counts = column_counters(df, [Check(c, "not_null") for c in columns])
+    return profile_from_counts(column_counters(df, [Check(c, "not_null") for c in columns]))
+
+
+def profile_from_counts(counts: DataFrame, keys: Sequence[str] = ("pos",)) -> DataFrame:
+    """The same out of ``not_null`` counters that were taken together with others."""
     total, nulls = F.col("rows_total"), F.col("rows_failed")
-    return counts.select(
-        "pos",
+    present = counts.filter((F.col("check_type") == "not_null") & nulls.isNotNull())
+    return present.select(
+        *keys,
         "column_name",
         "rows_total",
         nulls.alias("null_rows"),
@@ -171,12 +176,13 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def null_spike(profile: DataFrame, threshold: float = 10) -> DataFrame:
+def null_spike(profile: DataFrame, threshold: float = 10, keys: Sequence[str] = ()) -> DataFrame:
     """Required columns whose null share is above the threshold; ``high`` above
-    twice the threshold. Empty tables raise no issue."""
+    twice the threshold. Empty tables raise no issue. ``keys`` are carried along."""
     pct = F.col("null_pct")
     shown = F.lit(threshold).cast("double")
     return profile.filter(pct > shown).select(
+        *keys,
         "column_name",
         F.lit("null_spike").alias("quality_check_type"),
         F.when(pct > shown * 2, "high").otherwise("medium").alias("severity"),

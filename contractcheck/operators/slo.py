@@ -150,11 +150,12 @@ def custom_metric(values: DataFrame, min_value: float) -> DataFrame:
     )
 
 
-def measured(metrics: DataFrame, contract_id: str, as_of: str) -> DataFrame:
+def measured(metrics: DataFrame, contract_id: str, as_of: str, model_name: str = "") -> DataFrame:
     """Metric rows as they are appended to the ``slo_metrics`` log."""
     moment = ntz(as_of)
+    key = (F.lit(contract_id), F.lit(model_name), F.col("metric_type"), F.col("expected_value"))
     rows = metrics.select(
-        stable_id(F.lit(contract_id), F.col("metric_type"), moment).alias("id"),
+        stable_id(*key, moment).alias("id"),
         F.lit(contract_id).alias("contract_id"),
         *[c for c in METRIC if c != "details"],
         F.to_json(F.struct("details")).alias("measurement_details_json"),

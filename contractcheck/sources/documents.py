@@ -12,7 +12,8 @@ YAML_FILES = "*.{yaml,yml}"
 
 
 def read_text_files(spark: SparkSession, path: str, pattern: str = YAML_FILES) -> DataFrame:
-    """One row per file below ``path``: ``source_path, text``."""
+    """One row per file below ``path``: ``source_path, text``. Spark has no row for a
+    file of zero bytes."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)

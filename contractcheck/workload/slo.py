@@ -90,7 +90,7 @@ m AS (
   UNION ALL SELECT 'completeness', 90.0::DOUBLE, pct, CASE WHEN pct >= 90 THEN 'pass' ELSE 'fail' END,
          CASE WHEN pct >= 90 THEN 'info' ELSE 'high' END, 'mean over 6 required columns' FROM c
   UNION ALL SELECT 'availability', 99.9::DOUBLE, 100.0::DOUBLE, 'pass', 'info', 'table is accessible with ' || CAST(count(*) AS VARCHAR) || ' rows' FROM orders)
-SELECT sha256('sales/orders|' || metric_type || '|{AS_OF}') AS id, 'sales/orders' AS contract_id, metric_type, expected_value,
+SELECT sha256('sales/orders||' || metric_type || '|' || CAST(expected_value AS VARCHAR) || '|{AS_OF}') AS id, 'sales/orders' AS contract_id, metric_type, expected_value,
        actual_value, status, severity, '{{"details":"' || details || '"}}' AS measurement_details_json,
        TIMESTAMP '{AS_OF}' AS measurement_ts, TIMESTAMP '{AS_OF}' AS _inserted_ts
 FROM m""",
