@@ -52,6 +52,11 @@ def yaml_to_json(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_parse_one(t) for t in texts], columns=["content", "parse_error"])
 
 
+# Keeps the optimizer from copying the call into filters on its result, which would
+# parse every document once more, before the documents are spread over the cores.
+yaml_to_json = yaml_to_json.asNondeterministic()
+
+
 @F.pandas_udf(T.StringType())
 def json_text(values: pd.Series) -> pd.Series:
     """JSON re-written with ``", "`` and ``": "`` separators, order kept."""

@@ -45,6 +45,15 @@ def _is_object(text: Column) -> Column:
     return F.coalesce(text.startswith("{"), F.lit(False))
 
 
+def unrolled(exploded: DataFrame) -> DataFrame:
+    """Drop the empty row an outer explode leaves for an empty list.
+
+    A plain explode makes the optimizer test the list for emptiness before it is
+    unrolled, down at the scan, so every parse would run twice per row.
+    """
+    return exploded.filter(F.col("pos").isNotNull())
+
+
 def _parsed(contracts: DataFrame) -> DataFrame:
     header = contracts.select("source_path", "content", F.from_json("content", HEADER).alias("d"))
     return header.withColumn("contract_id", F.concat_ws("/", "d.domain", "d.name"))
@@ -100,7 +109,7 @@ def contract_models(contracts: DataFrame) -> DataFrame:
 def _properties(contracts: DataFrame) -> DataFrame:
     d = _parsed(contracts)
     props = F.from_json(F.get_json_object("d.schema", "$.properties"), "map<string,string>")
-    return d.select("contract_id", F.posexplode(props).alias("pos", "column_name", "definition"))
+    return unrolled(d.select("contract_id", F.posexplode_outer(props).alias("pos", "column_name", "definition")))
 
 
 def contract_columns(contracts: DataFrame) -> DataFrame:
@@ -125,7 +134,7 @@ def contract_columns(contracts: DataFrame) -> DataFrame:
 def _named_tests(columns: DataFrame, label: str) -> DataFrame:
     """``columns`` carries ``model_id, column_name, tests``. A test is a bare name
     or a one-key map; the map's content becomes part of the identifier."""
-    one = columns.select("model_id", "column_name", F.posexplode("tests").alias("pos", "test"))
+    one = unrolled(columns.select("model_id", "column_name", F.posexplode_outer("tests").alias("pos", "test")))
     mapped = _is_object(F.col("test"))
     named = one.select(
         "model_id",
@@ -194,7 +203,7 @@ def extract_models(models: DataFrame) -> DataFrame:
 
 
 def _model_column_docs(models: DataFrame) -> DataFrame:
-    d = _model_docs(models).select("model_id", F.posexplode("d.columns").alias("pos", "definition"))
+    d = unrolled(_model_docs(models).select("model_id", F.posexplode_outer("d.columns").alias("pos", "definition")))
     return d.withColumn("c", F.from_json("definition", MODEL_COLUMN))
 
 
@@ -234,10 +243,11 @@ def resolve_contract(models: DataFrame, contracts: DataFrame) -> DataFrame:
 def lint(documents: DataFrame) -> DataFrame:
     """``source_path, pos, error``: one row per fault, none for a clean document.
 
-    Works on every parsed document, also those without the mandatory keys.
+    Works on every document, also unreadable ones and those without the mandatory keys.
     """
-    d = documents.filter(F.col("content").isNotNull()).select(
+    d = documents.select(
         "source_path",
+        "parse_error",
         F.json_object_keys("content").alias("keys"),
         F.get_json_object("content", "$.schema").alias("schema_text"),
         F.get_json_object("content", "$.schema.properties").alias("props_text"),
@@ -260,8 +270,7 @@ def lint(documents: DataFrame) -> DataFrame:
 
     per_column = F.when(has_schema & has_props, F.transform(entries, column_fault))
     found = F.concat(F.array(*missing, shape), F.coalesce(per_column, F.array().cast("array<string>")))
-    errors = F.filter(found, lambda e: e.isNotNull())
-    unreadable = documents.filter(F.col("content").isNull()).select(
-        "source_path", F.lit(0).alias("pos"), F.col("parse_error").alias("error")
+    errors = F.when(F.col("parse_error").isNotNull(), F.array("parse_error")).otherwise(
+        F.filter(found, lambda e: e.isNotNull())
     )
-    return d.select("source_path", F.posexplode(errors).alias("pos", "error")).unionByName(unreadable)
+    return unrolled(d.select("source_path", F.posexplode_outer(errors).alias("pos", "error")))

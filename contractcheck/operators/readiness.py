@@ -125,9 +125,8 @@ def contract_status(
 
 def watch_items(subscribers: DataFrame) -> DataFrame:
     """``id, pos, contract_id`` per watched agreement; broken lists give no rows."""
-    return subscribers.select(
-        "id", F.posexplode(json_list(F.col("watching_contract_ids_json"))).alias("pos", "contract_id")
-    )
+    lists = json_list(F.col("watching_contract_ids_json"))
+    return subscribers.select("id", F.posexplode_outer(lists).alias("pos", "contract_id")).filter(F.col("pos").isNotNull())
 
 
 def subscriber_verdicts(status: DataFrame, subscribers: DataFrame) -> DataFrame:

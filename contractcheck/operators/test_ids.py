@@ -34,7 +34,8 @@ def parse_test_ids(unique_ids: DataFrame, models: DataFrame | None = None) -> Da
         words = F.split("_rest", "_")
         sizes = F.sequence(F.lit(1), F.size(words))
         names = F.transform(sizes, lambda n: F.array_join(F.slice(words, F.lit(1), n), "_"))
-        options = base.filter(F.col("_rest").isNotNull()).select("unique_id", F.explode(names).alias("model_name"))
+        # Outer, so that no emptiness test of the names is pushed below the distinct.
+        options = base.select("unique_id", F.explode_outer(names).alias("model_name"))
         registered = models.select("model_name").distinct()
         hits = lookup_join(options, registered, ["model_name"], "inner", spread_by=["unique_id"])
         best = hits.groupBy("unique_id").agg(F.max_by("model_name", F.length("model_name")).alias("_known"))

@@ -83,7 +83,7 @@ def dormant(activity: DataFrame, keys: Sequence[str], ts: str, as_of: str, days:
 def tagged(contracts: DataFrame) -> DataFrame:
     """``contract_id, tag, value`` per tag; plain tags have no value."""
     tags = F.from_json(F.get_json_object("contract_json", "$.tags"), "array<string>")
-    rows = contracts.select(F.col("id").alias("contract_id"), F.explode(tags).alias("t"))
+    rows = contracts.select(F.col("id").alias("contract_id"), F.explode_outer(tags).alias("t")).filter(F.col("t").isNotNull())
     mapped = F.col("t").startswith("{")
     return rows.select(
         "contract_id",
