@@ -1,11 +1,13 @@
 """Running totals and maxima over ordered rows without one task per group.
 
 A window over ``partitionBy(group).orderBy(x)`` sorts each group in one task. When
-a group holds a third of all rows that task never finishes. Here the order is cut
-into slices of about equal size first: the window runs per (group, slice), one
-small row per slice carries the earlier slices' total forward, and both are
-combined. The cut points are read once and become literals, so a retried task
-always puts a row into the same slice.
+a group holds a third of all rows that task never finishes. So the group sizes are
+bounded first, by counting rows per hash of the group. If no group can be larger than
+a task should hold, the plain window is used. Otherwise the order is cut into slices
+of about equal size: the window runs per (group, slice), one small row per slice
+carries the earlier slices' total forward, and both are combined. The cut points are
+read once and become literals, so a retried task always puts a row into the same
+slice.
 """
 
 from __future__ import annotations
@@ -17,7 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SLICES = 1024
+MAX_SLICES = 4096
+GROUP_BUCKETS = 4096
+# Rows of one group that a single task may sort.
+TASK_ROWS = 5_000_000
 ORIGIN = "1970-01-01 00:00:00"
 
 
@@ -62,7 +67,7 @@ def _slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
         if value is None:
             break
         numbers.append(value)
-    if not numbers or slices < 2:
+    if not numbers:
         return F.struct(F.lit(0).alias("s0"))
     steps = [i / slices for i in range(1, slices)]
     found = df.agg(
@@ -79,7 +84,17 @@ def _slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
     return F.struct(*(parts or [F.lit(0).alias("s0")]))
 
 
-def default_slices(df: DataFrame) -> int:
+def _largest_group_bound(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """No group has more rows than this. Each task sends one count per bucket."""
+    bucket = F.pmod(F.xxhash64(*partition_by), F.lit(GROUP_BUCKETS)) if partition_by else F.lit(0)
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def needed_slices(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """1 when every group fits one task, else enough to use the cluster."""
+    if _largest_group_bound(df, partition_by) <= TASK_ROWS:
+        return 1
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(MAX_SLICES, tasks))
 
@@ -100,13 +115,23 @@ def with_prior(
     ``totals`` also get ``total_<name>``, the value over the whole group. When
     ``df`` is itself an aggregate, ``cuts_from`` names its input: the cut points then
     come from a plain scan of the order columns and the aggregate runs only once.
+    ``slices`` sets the number of slices instead of the size check.
     """
     maxima, sums = maxima or {}, sums or {}
     fold = {**dict.fromkeys(maxima, F.max), **dict.fromkeys(sums, F.sum)}
     values = {**maxima, **sums}
-    n = slices if slices is not None else default_slices(df)
+    source = df if cuts_from is None else cuts_from
+    n = slices if slices is not None else needed_slices(source, partition_by)
+    if n < 2:
+        whole = Window.partitionBy(*partition_by)
+        earlier = whole.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(
+            "*",
+            *[fold[k](v).over(earlier).alias(k) for k, v in values.items()],
+            *[fold[k](values[k]).over(whole).alias(f"total_{k}") for k in totals],
+        )
     group = F.struct(*partition_by) if partition_by else F.struct(F.lit(0).alias("all"))
-    base = df.select("*", group.alias("_group"), _slice_of(df if cuts_from is None else cuts_from, order_by, n).alias("_slice"))
+    base = df.select("*", group.alias("_group"), _slice_of(source, order_by, n).alias("_slice"))
 
     earlier = (
         Window.partitionBy("_group", "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)

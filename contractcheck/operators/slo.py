@@ -165,8 +165,11 @@ def measured(metrics: DataFrame, contract_id: str, as_of: str, model_name: str =
     return conform(rows, SLO_METRICS)
 
 
-def slo_targets(contracts: DataFrame, models: DataFrame) -> DataFrame:
-    """Which levels apply to which model: distinct agreement and model pairs."""
+def slo_targets(contracts: DataFrame, models: DataFrame, schemas: DataFrame | None = None) -> DataFrame:
+    """Which levels apply to which model: distinct agreement and model pairs. With
+    ``schemas`` only models of the schemas listed there count."""
+    if schemas is not None:
+        models = lookup_join(models, schemas.select("schema_name").distinct(), ["schema_name"], "left_semi", spread_by=["id"])
     names = contracts.select(F.col("id").alias("contract_id"), F.col("name").alias("contract_name")).distinct()
     wanted = models.select("contract_id", "model_name", "freshness_slo_hours", "completeness_slo")
     pairs = lookup_join(wanted, names, ["contract_id"], "inner", spread_by=["model_name"])

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from contractcheck.functions.numbers import days_before, ntz
 from contractcheck.operators.keys import duplicate_keys
-from contractcheck.schemas import COLUMN_DEFAULTS, LOG_TABLES, REGISTRY_TABLES, conform, empty
+from contractcheck.schemas import COLUMN_DEFAULTS, LOG_KEYS, LOG_TABLES, REGISTRY_TABLES, conform, empty
 
 DAY = "run_date"
 
@@ -42,8 +42,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def current_version(spark: SparkSession, root: str, table: str) -> int:
     """Number of the newest complete snapshot, 0 when there is none."""
     for name in reversed(_children(spark, f"{root}/{table}", "v=")):
-        fs, marker = _fs(spark, f"{root}/{table}/{name}/_SUCCESS")
-        if fs.exists(marker):
+        if _complete(spark, f"{root}/{table}/{name}"):
             return int(name.removeprefix("v="))
     return 0
 
@@ -124,6 +123,13 @@ def append_log(df: DataFrame, root: str, table: str) -> None:
     rows.hint("rebalance", DAY).sortWithinPartitions(DAY, ts).write.mode("append").partitionBy(DAY).parquet(f"{root}/{table}")
 
 
+def append_once(df: DataFrame, root: str, table: str, day: str) -> None:
+    """Append the rows of ``day`` that the log does not hold yet, so that a run
+    repeated after a failure adds nothing twice."""
+    known = read_log(df.sparkSession, root, table, day).select(*LOG_KEYS[table])
+    append_log(df.join(known, LOG_KEYS[table], "left_anti"), root, table)
+
+
 def read_log(spark: SparkSession, root: str, table: str, day: str | None = None) -> DataFrame:
     """A log, or one day of it; only that day's folder is read."""
     schema, _ = LOG_TABLES[table]
@@ -159,39 +165,59 @@ def expire_log(
 
     Whole days are dropped as folders; only the day the limit falls into is
     rewritten, through a staging folder, so the work does not grow with the log.
-    With ``archive`` the rows are appended there first.
+    With ``archive`` the rows are appended there first. A call that was cut short
+    can be repeated: a complete staging folder is put in place first, and rows
+    already in the archive are not added again.
     """
     if not enabled:
         return 0
     _, ts = LOG_TABLES[table]
+    path = f"{root}/{table}"
     cutoff = datetime.fromisoformat(as_of) - timedelta(days=days)
     edge = cutoff.date().isoformat()
-    folders = _children(spark, f"{root}/{table}", f"{DAY}=")
-    names = [n.removeprefix(f"{DAY}=") for n in folders]
-    if not any(n[:4].isdigit() and n <= edge for n in names):
+    staging = f"{root}/_staging/{table}-{edge}"
+    if _complete(spark, staging):
+        _put_in_place(spark, staging, f"{path}/{DAY}={edge}")
+    names = [n.removeprefix(f"{DAY}=") for n in _children(spark, path, f"{DAY}=")]
+    touched = [n for n in names if n[:4].isdigit() and n <= edge]
+    if not touched:
         return 0
     log = read_log(spark, root, table)
     old = expired(log.filter(F.col(DAY) <= F.lit(edge).cast("date")), ts, days, as_of)
     gone = old.count()
     if gone and archive:
-        old.write.mode("append").partitionBy(DAY).parquet(f"{archive}/{table}")
+        target = f"{archive}/{table}"
+        if _children(spark, target, f"{DAY}="):
+            stored = spark.read.schema(old.schema).parquet(target)
+            stored = stored.filter(F.col(DAY).between(F.lit(min(touched)).cast("date"), F.lit(edge).cast("date")))
+            old = old.join(stored.select(*LOG_KEYS[table]), LOG_KEYS[table], "left_anti")
+        old.write.mode("append").partitionBy(DAY).parquet(target)
     if edge in names:
         kept = retain(read_log(spark, root, table, edge), ts, days, as_of)
-        staging = f"{root}/_staging/{table}-{edge}"
         kept.drop(DAY).write.mode("overwrite").parquet(staging)
-        rest = spark.read.parquet(staging)
-        if rest.isEmpty():
-            _delete(spark, f"{root}/{table}/{DAY}={edge}")
-        else:
-            rest.write.mode("overwrite").parquet(f"{root}/{table}/{DAY}={edge}")
-        _delete(spark, staging)
-    for n in names:
-        if n[:4].isdigit() and n < edge:
-            _delete(spark, f"{root}/{table}/{DAY}={n}")
-    spark.catalog.refreshByPath(f"{root}/{table}")
+        _put_in_place(spark, staging, f"{path}/{DAY}={edge}")
+    for n in touched:
+        if n < edge:
+            _delete(spark, f"{path}/{DAY}={n}")
+    spark.catalog.refreshByPath(path)
     return gone
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    fs, marker = _fs(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
+    """Replace a day's folder by the staged rows, or drop it when none are left."""
+    rest = spark.read.parquet(staging)
+    if rest.isEmpty():
+        _delete(spark, target)
+    else:
+        rest.write.mode("overwrite").parquet(target)
+    _delete(spark, staging)
+
+
 def materialise(df: DataFrame, path: str, partition_column: str | None = None) -> None:
     """Write a model as a table. A declared hash column spreads the rows by it; a
     value that owns too many rows is split at run time."""

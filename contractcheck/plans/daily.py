@@ -147,7 +147,7 @@ def refresh_registry(run: Run, contracts_path: str, models_path: str | None = No
 def publish_versions(run: Run) -> None:
     """Append agreement versions that were never published."""
     new = versions.publish(run.read("contracts"), run.user, run.as_of, run.log("contract_registry"))
-    storage.append_log(new, run.root, "contract_registry")
+    storage.append_once(new, run.root, "contract_registry", run.day)
 
 
 def planned_checks(run: Run) -> dict[str, list[tuple[str, Check]]]:
@@ -286,7 +286,7 @@ def log_tests(run: Run, counts: DataFrame) -> None:
         F.lit(run.user).alias("configured_by"),
         moment.alias("_inserted_ts"),
     )
-    storage.append_log(rows, run.root, "test_results")
+    storage.append_once(rows, run.root, "test_results", run.day)
 
 
 def log_slos(run: Run, counts: DataFrame) -> None:
@@ -309,7 +309,7 @@ def log_slos(run: Run, counts: DataFrame) -> None:
         if metrics:
             frames.append(slo.measured(union_all(metrics), contract_id, run.as_of, model_name))
     rows = union_all(frames) if frames else empty(run.spark, SLO_METRICS)
-    storage.append_log(rows, run.root, "slo_metrics")
+    storage.append_once(rows, run.root, "slo_metrics", run.day)
 
 
 def log_quality(run: Run, counts: DataFrame) -> None:
@@ -348,18 +348,20 @@ def log_quality(run: Run, counts: DataFrame) -> None:
         moment.alias("detected_at"),
         moment.alias("_inserted_ts"),
     )
-    storage.append_log(rows, run.root, "data_quality_log")
+    storage.append_once(rows, run.root, "data_quality_log", run.day)
 
 
 def update_readiness(run: Run) -> None:
-    """Set every subscriber's flag and put changes and breaches into the outbox."""
+    """Set every subscriber's flag and put changed ones into the outbox."""
     results, slos = run.log("test_results", run.day), run.log("slo_metrics", run.day)
     status = readiness.contract_status(results, slos, run.log("data_quality_log", run.day), run.read("models"), run.day)
     before = run.read("subscribers")
-    storage.write_snapshot(readiness.readiness(status, before, run.as_of), run.root, "subscribers")
-    after = run.read("subscribers")
+    after = run.kept(readiness.readiness(status, before, run.as_of), "subscribers")
     changed = readiness.flag_changes(before, after).select("id")
-    storage.append_log(readiness.notifications(after.join(changed, ["id"], "left_semi"), run.as_of), run.root, "outbox")
+    # Messages first: a run that stops in between still sees the change when repeated.
+    messages = readiness.notifications(after.join(changed, ["id"], "left_semi"), run.as_of)
+    storage.append_once(messages, run.root, "outbox", run.day)
+    storage.write_snapshot(after, run.root, "subscribers")
 
 
 def run_daily(run: Run, contracts_path: str, models_path: str | None = None) -> DataFrame:

@@ -111,6 +111,14 @@ LOG_TABLES = {
     "outbox": (OUTBOX, "created_at"),
 }
 
+LOG_KEYS = {
+    "test_results": ["id"],
+    "slo_metrics": ["id"],
+    "data_quality_log": ["id"],
+    "contract_registry": ["contract_id", "version"],
+    "outbox": ["subscriber_id", "event_type", "created_at"],
+}
+
 # What a column holds when the writer gives nothing.
 COLUMN_DEFAULTS = {
     "models": {"critical": False, "pii_flag": False},

@@ -320,7 +320,7 @@ FROM resolved JOIN sup ON contract_id = 'agreed/' || k""",
 def slo_targets(spark, d):
     contracts = supplier_contracts(spark, d)
     models = reg.resolve_contract(reg.extract_models(model_docs(spark, d)), contracts)
-    return slo.slo_targets(contracts, models).withColumn("completeness_slo", F.col("completeness_slo").cast("double"))
+    return slo.slo_targets(contracts, models, schemas=models).withColumn("completeness_slo", F.col("completeness_slo").cast("double"))
 
 
 @query(

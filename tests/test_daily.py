@@ -127,6 +127,11 @@ def test_two_days(spark, world, rows):
     out = rows(summary)[0]
     assert (out["failed"], out["level"]) == (3, 2)
 
+    # The same run again adds nothing to the logs.
+    sizes = {t: run.log(t).count() for t in ("test_results", "slo_metrics", "data_quality_log", "outbox", "contract_registry")}
+    start(spark, world, "2024-03-02 06:00:00", 10, 3, "2024-03-01 00:00:00")
+    assert {t: run.log(t).count() for t in sizes} == sizes
+
     # The next day is clean but for the declared column that does not exist.
     base, root = world
     run2, summary2 = start(spark, world, "2024-03-10 06:00:00", 2, 0, "2024-03-10 00:00:00")
@@ -170,6 +175,24 @@ def test_retention_deletes_by_day(spark, tmp_path, rows):
     assert not os.path.exists(f"{root}/test_results/run_date=2024-01-03")
 
 
+def test_retention_can_be_repeated_after_a_crash(spark, tmp_path, rows, monkeypatch):
+    """The rewrite of the edge day is cut short after its old files were deleted."""
+    root, archive = str(tmp_path / "r"), str(tmp_path / "a")
+    storage.append_log(log_rows(spark, ["2024-01-01 10:00:00", "2024-01-03 05:00:00", "2024-01-03 07:00:00"]), root, "test_results")
+
+    def crash(session, staging, target):
+        storage._delete(session, target)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_put_in_place", crash)
+        with pytest.raises(RuntimeError):
+            storage.expire_log(spark, root, "test_results", 7, "2024-01-10 06:00:00", archive)
+    assert storage.expire_log(spark, root, "test_results", 7, "2024-01-10 06:00:00", archive) == 1
+    assert [r["id"] for r in rows(storage.read_log(spark, root, "test_results"))] == ["2"]
+    assert sorted(r.id for r in spark.read.parquet(f"{archive}/test_results").collect()) == ["0", "1"]
+
+
 def test_one_day_reads_one_folder(spark, tmp_path):
     root = str(tmp_path)
     storage.append_log(log_rows(spark, ["2024-01-01 10:00:00", "2024-01-02 10:00:00"]), root, "test_results")

@@ -5,6 +5,7 @@ import os
 import compare
 import pytest
 
+from contractcheck.operators import ordered
 from contractcheck.workload import ORACLES, QUERIES
 from contractcheck.workload.flagship import flagship
 
@@ -34,8 +35,9 @@ def test_same_rows_as_sql(spark, duck, name):
     ["fx_convert", "enrich_contract", "subscriber_readiness", "outlier_iqr", "outlier_z", "schema_drift", "resolve_contract",
      "mutually_exclusive_ranges", "content_changes", "group_quantiles", "sequence_whole_table"],
 )
-def test_same_rows_without_broadcast(spark, duck, name):
+def test_same_rows_without_broadcast(spark, duck, name, monkeypatch):
     """The salted joins and many slices give the same rows as the small-table plan."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 10)
     saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "23")
