@@ -25,6 +25,7 @@ from contractcheck.workload import QUERIES, logs  # noqa: E402
 from contractcheck.workload.columns import LINE_COLUMNS, lines_with_gaps  # noqa: E402
 
 HEADLINE = [
+    "orders_readiness",
     "null_profile", "not_null_counts", "null_spike", "completeness_slo", "row_checks", "orders_contract_results",
     "unique_key", "unique_composite", "relationships", "relationships_lineitem", "accepted_values", "join_report",
     "cardinality_equality", "group_quantiles", "outlier_iqr", "outlier_z", "mutually_exclusive_ranges",

@@ -16,9 +16,7 @@ def settled(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="contractcheck-"))
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="contractcheck-"))
     return df.checkpoint(eager=True)

@@ -11,8 +11,8 @@ from contractcheck.operators import readiness, slo
 from contractcheck.operators.counters import column_counters, null_spike, profile_from_counts, to_results
 from contractcheck.operators.lookups import union_all
 from contractcheck.schemas import RESULT, conform
-from contractcheck.workload.base import AS_OF, table
-from contractcheck.workload.columns import ORDER_CHECKS, orders_with_gaps
+from contractcheck.workload.base import AS_OF, query, table
+from contractcheck.workload.columns import ORDER_CHECKS, ORDER_COLUMNS, ORDERS_SQL, _per_column, orders_with_gaps
 
 CONTRACT = "sales/orders"
 DAY = AS_OF[:10]
@@ -41,6 +41,24 @@ def result_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+FLAGSHIP_SQL = f"""
+WITH {ORDERS_SQL}, n AS ({_per_column(ORDER_COLUMNS, "orders_gaps")}),
+f AS (
+  SELECT count(*) FILTER (null_rows > 0)
+       + (SELECT CAST(bool_or(o_orderstatus NOT IN ('F', 'O')) AS INTEGER) + CAST(bool_or(NOT o_totalprice > 1000) AS INTEGER)
+               + CAST(bool_or(length(o_orderpriority) > 8) AS INTEGER) FROM orders_gaps) AS tests,
+         sum((20000*CAST(rows_total - null_rows AS BIGINT) + rows_total) // (2*rows_total)) AS points FROM n),
+r AS (SELECT concat_ws('; ', CASE WHEN tests > 0 THEN 'Tests failing: ' || CAST(tests AS VARCHAR) || ' failures' END,
+                       CASE WHEN points < 6 * 9900 THEN 'SLOs failing: 1 failures' END) AS reason FROM f)
+SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS subscriber_name,
+       CASE WHEN n_nationkey % 5 = 0 THEN '[]' ELSE '["{CONTRACT}", "sales/other"]' END AS watching_contract_ids_json,
+       n_nationkey % 5 <> 0 AND reason = '' AS ready_for_consumption,
+       CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE '{CONTRACT}: ' || CASE WHEN reason = '' THEN 'Ready' ELSE reason END || '; sales/other: Ready' END
+         AS ready_for_consumption_reason
+FROM nation, r"""
+
+
+@query("orders_readiness", FLAGSHIP_SQL)
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Nations as consumers of the agreement: one row per nation with its flag."""
     rows = result_rows(spark, d)

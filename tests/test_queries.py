@@ -56,7 +56,7 @@ def test_flagship(spark, rows):
     watching = [r for r in out if r["watching_contract_ids_json"] != "[]"]
     assert all(r["ready_for_consumption"] is False for r in watching)
     assert {r["ready_for_consumption_reason"] for r in watching} == {
-        "sales/orders: Tests failing: 4 failures; SLOs failing: 1 failures; sales/other: Ready"
+        "sales/orders: Tests failing: 2 failures; SLOs failing: 1 failures; sales/other: Ready"
     }
     untouched = [r for r in out if r["watching_contract_ids_json"] == "[]"]
     assert len(untouched) == 5 and all(r["ready_for_consumption_reason"] is None for r in untouched)
