@@ -1,18 +1,18 @@
 """Running totals and maxima over ordered rows without one task per group.
 
 A window over ``partitionBy(group).orderBy(x)`` sorts each group in one task. When
-a group holds a third of all rows that task never finishes. So the group sizes are
-bounded first, by counting rows per hash of the group. If no group can be larger than
-a task should hold, the plain window is used. Otherwise the order is cut into slices
-of about equal size: the window runs per (group, slice), one small row per slice
-carries the earlier slices' total forward, and both are combined. The cut points are
-read once and become literals, so a retried task always puts a row into the same
-slice.
+a group holds a third of all rows that task never finishes. So rows are counted per
+hash bucket of the group first. Groups in ordinary buckets use the plain window. For
+the rest the order is cut into slices of about equal size: the window runs per (group,
+slice), one small row per slice carries the earlier slices' total forward, and both are
+combined. Buckets and cut points are read once and become literals, so a retried task
+always puts a row into the same place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_SLICES = 4096
-GROUP_BUCKETS = 4096
-# Rows of one group that a single task may sort.
+GROUP_BUCKETS = 65_536
+# Rows a task may sort in any case; above it, half of a task's fair share counts.
 TASK_ROWS = 5_000_000
 ORIGIN = "1970-01-01 00:00:00"
 
@@ -84,19 +84,24 @@ def _slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
     return F.struct(*(parts or [F.lit(0).alias("s0")]))
 
 
-def _largest_group_bound(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """No group has more rows than this. Each task sends one count per bucket."""
-    bucket = F.pmod(F.xxhash64(*partition_by), F.lit(GROUP_BUCKETS)) if partition_by else F.lit(0)
-    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def _task_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def needed_slices(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """1 when every group fits one task, else enough to use the cluster."""
-    if _largest_group_bound(df, partition_by) <= TASK_ROWS:
-        return 1
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_SLICES, tasks))
+def _bucket(partition_by: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*partition_by), F.lit(GROUP_BUCKETS)).cast("int")
+
+
+def hot_buckets(df: DataFrame, partition_by: Sequence[str]) -> list[int]:
+    """Buckets whose groups may be too large for one task. Each task sends one count
+    per bucket and the driver sees at most one number per bucket."""
+    sizes = df.groupBy(_bucket(partition_by).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    limit = max(TASK_ROWS, sum(r.n for r in sizes) // (2 * _task_count(df)))
+    return sorted(r.b for r in sizes if r.n > limit)
+
+
+def needed_slices(df: DataFrame) -> int:
+    return max(2, min(MAX_SLICES, _task_count(df)))
 
 
 def with_prior(
@@ -117,41 +122,77 @@ def with_prior(
     come from a plain scan of the order columns and the aggregate runs only once.
     ``slices`` sets the number of slices instead of the size check.
     """
-    maxima, sums = maxima or {}, sums or {}
-    fold = {**dict.fromkeys(maxima, F.max), **dict.fromkeys(sums, F.sum)}
-    values = {**maxima, **sums}
+    shape = _Shape(list(partition_by), list(order_by), maxima or {}, sums or {}, list(totals))
     source = df if cuts_from is None else cuts_from
-    n = slices if slices is not None else needed_slices(source, partition_by)
-    if n < 2:
-        whole = Window.partitionBy(*partition_by)
-        earlier = whole.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select(
-            "*",
-            *[fold[k](v).over(earlier).alias(k) for k, v in values.items()],
-            *[fold[k](values[k]).over(whole).alias(f"total_{k}") for k in totals],
-        )
+    if slices is not None:
+        return _plain(df, shape) if slices < 2 else _sliced(df, shape, source, slices)
+    if not partition_by:
+        if source.count() <= TASK_ROWS:
+            return _plain(df, shape)
+        return _sliced(df, shape, source, needed_slices(df))
+    hot = hot_buckets(source, partition_by)
+    if not hot:
+        return _plain(df, shape)
+    heavy = _bucket(partition_by).isin(hot)
+    large = _sliced(df.filter(heavy), shape, source.filter(heavy), needed_slices(df))
+    return _plain(df.filter(~heavy), shape).unionByName(large)
+
+
+@dataclass(frozen=True)
+class _Shape:
+    """What :func:`with_prior` computes."""
+
+    partition_by: list[str]
+    order_by: list[str]
+    maxima: dict[str, Column]
+    sums: dict[str, Column]
+    totals: list[str]
+
+    @property
+    def values(self) -> dict[str, Column]:
+        return {**self.maxima, **self.sums}
+
+    def fold(self, name: str, value: Column | str) -> Column:
+        return F.max(value) if name in self.maxima else F.sum(value)
+
+
+def _plain(df: DataFrame, shape: _Shape) -> DataFrame:
+    """One task per group."""
+    whole = Window.partitionBy(*shape.partition_by)
+    earlier = whole.orderBy(*shape.order_by).rowsBetween(Window.unboundedPreceding, -1)
+    return df.select(
+        "*",
+        *[shape.fold(k, v).over(earlier).alias(k) for k, v in shape.values.items()],
+        *[shape.fold(k, shape.values[k]).over(whole).alias(f"total_{k}") for k in shape.totals],
+    )
+
+
+def _sliced(df: DataFrame, shape: _Shape, source: DataFrame, slices: int) -> DataFrame:
+    """One task per group and slice."""
+    values, fold = shape.values, shape.fold
+    partition_by, order_by, totals = shape.partition_by, shape.order_by, shape.totals
     group = F.struct(*partition_by) if partition_by else F.struct(F.lit(0).alias("all"))
-    base = df.select("*", group.alias("_group"), _slice_of(source, order_by, n).alias("_slice"))
+    base = df.select("*", group.alias("_group"), _slice_of(source, order_by, slices).alias("_slice"))
 
     earlier = (
         Window.partitionBy("_group", "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = base.select("*", *[fold[k](v).over(earlier).alias(f"_in_{k}") for k, v in values.items()])
+    inside = base.select("*", *[fold(k, v).over(earlier).alias(f"_in_{k}") for k, v in values.items()])
 
-    per_slice = base.groupBy("_group", "_slice").agg(*[fold[k](v).alias(f"_all_{k}") for k, v in values.items()])
+    per_slice = base.groupBy("_group", "_slice").agg(*[fold(k, v).alias(f"_all_{k}") for k, v in values.items()])
     slice_order = Window.partitionBy("_group").orderBy("_slice")
     before = slice_order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_group")
     carried = per_slice.select(
         "_group",
         "_slice",
-        *[fold[k](f"_all_{k}").over(before).alias(f"_carry_{k}") for k in values],
-        *[fold[k](f"_all_{k}").over(whole).alias(f"total_{k}") for k in totals],
+        *[fold(k, f"_all_{k}").over(before).alias(f"_carry_{k}") for k in values],
+        *[fold(k, f"_all_{k}").over(whole).alias(f"total_{k}") for k in totals],
     )
     joined = inside.join(carried, ["_group", "_slice"])
     out = []
     for k in values:
         own, carry = F.col(f"_in_{k}"), F.col(f"_carry_{k}")
-        both = F.greatest(own, carry) if k in maxima else own + carry
+        both = F.greatest(own, carry) if k in shape.maxima else own + carry
         out.append(F.coalesce(both, own, carry).alias(k))
     return joined.select(*df.columns, *out, *[F.col(f"total_{k}") for k in totals])

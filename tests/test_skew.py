@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contractcheck.operators import values
+from contractcheck.operators import ordered, values
 from contractcheck.operators.lookups import lookup_join
 from contractcheck.operators.ordered import with_prior
 from contractcheck.operators.reports import latest
@@ -32,9 +32,11 @@ def plan(df):
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-@pytest.mark.parametrize("slices", [1, 2, 7, 64, 500])
+@pytest.mark.parametrize("slices", [1, 7, 500, None])
 @pytest.mark.parametrize("groups", [["g"], []])
-def test_prior_equals_a_plain_window(hot, rows, slices, groups):
+def test_prior_equals_a_plain_window(hot, rows, slices, groups, monkeypatch):
+    """Without a given number of slices the hot group is sliced and the others are not."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 50)
     order = ["t", "id"]
     got = with_prior(
         hot, groups, order, maxima={"m": F.col("v")}, sums={"s": F.col("v")}, totals=["s"], slices=slices
@@ -45,6 +47,12 @@ def test_prior_equals_a_plain_window(hot, rows, slices, groups):
     assert rows(got) == rows(want)
 
 
+def test_only_the_hot_group_is_sliced(hot, monkeypatch):
+    assert ordered.hot_buckets(hot, ["g"]) == []
+    monkeypatch.setattr(ordered, "TASK_ROWS", 50)
+    assert len(ordered.hot_buckets(hot, ["g"])) == 1
+
+
 def test_slices_split_the_hot_group_and_its_hot_moment(hot):
     from contractcheck.operators.ordered import _slice_of
 
