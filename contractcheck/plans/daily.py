@@ -36,6 +36,8 @@ COUNT_COLUMNS = (
     " rows_total bigint, rows_failed bigint"
 )
 
+TABLES_PER_JOB = 20
+
 # Which columns an upsert refreshes; the others are set on insert only.
 UPDATED = {
     "contracts": [
@@ -101,6 +103,13 @@ class Run:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def kept_in_batches(self, frames: list[DataFrame], name: str, nothing: DataFrame) -> DataFrame:
+        """As :meth:`kept` for many frames: a few tables per job keep plans small."""
+        if not frames:
+            return self.kept(nothing, name)
+        batches = [frames[i : i + TABLES_PER_JOB] for i in range(0, len(frames), TABLES_PER_JOB)]
+        return union_all([self.kept(union_all(b), f"{name}/{i}") for i, b in enumerate(batches)])
+
     def table(self, model_name: str) -> DataFrame | None:
         path = self.tables.get(model_name)
         try:
@@ -257,8 +266,7 @@ def count_all(run: Run) -> DataFrame:
         df = run.table(name)
         if df is not None:
             frames.append(table_counts(run, name, df, plan.get(name, []), required.get(name, [])))
-    counts = union_all(frames) if frames else run.spark.createDataFrame([], COUNT_COLUMNS)
-    return run.kept(counts, "counts")
+    return run.kept_in_batches(frames, "counts", run.spark.createDataFrame([], COUNT_COLUMNS))
 
 
 def log_tests(run: Run, counts: DataFrame) -> None:
@@ -308,7 +316,7 @@ def log_slos(run: Run, counts: DataFrame) -> None:
             metrics.append(slo.availability(run.spark, run.tables[model_name]))
         if metrics:
             frames.append(slo.measured(union_all(metrics), contract_id, run.as_of, model_name))
-    rows = union_all(frames) if frames else empty(run.spark, SLO_METRICS)
+    rows = run.kept_in_batches(frames, "slos", empty(run.spark, SLO_METRICS))
     storage.append_once(rows, run.root, "slo_metrics", run.day)
 
 
