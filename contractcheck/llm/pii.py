@@ -4,8 +4,8 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers by format
 and check (octets, Luhn, number of digits). Beside them, high-recall generators
 propose overlapping spans: things with an at-sign in any spelling, runs of seven
 or more digits, long mixed tokens. Boosted trees score each proposal from its
-format and its surroundings. Their labels are weak: proposals that cover or lie in
-a base span, and tokens after words such as "key =", are positive. Format and
+format and its surroundings. Their labels are weak: proposals that a base rule
+accepts, or that hold an address, and tokens after words such as "key =", are positive. Format and
 surroundings are cut into few levels, so all proposals of all texts are counted
 per combination of levels, and the trees are fitted to these counts (there are at
 most as many as combinations, ``COMBINATIONS``). Half of the proposals, by a hash
@@ -40,6 +40,7 @@ BASE: dict[str, str] = {
 }
 OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP_VALID = rf"^(?:{OCTET.replace('*+', '*')}\.){{3}}{OCTET.replace('*+', '*')}$"
+IP_INSIDE = IP_VALID.replace("^", "(?<![0-9.])").replace("$", "(?![0-9.])")
 
 #: Generators of proposals.
 GENERATORS: dict[str, str] = {
@@ -72,12 +73,14 @@ def _running(gaps: Column) -> Column:
     return F.aggregate(blocks, zero, lambda a, b: F.struct((a["pos"] + b["pos"]).alias("pos"), F.concat(a["s"], F.transform(b["s"], lambda x: x + a["pos"])).alias("s")))["s"]
 
 
-NONE = "array<struct<start:int,end:int,text:string>>"
+NONE = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
 
 
 def located(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Adds, per name, all leftmost non-overlapping matches: array of (start, end, text).
+    """Adds, per name, all leftmost non-overlapping matches: array of (start, end, text, before, after).
 
+    ``before`` and ``after`` are the nearest characters up to the neighbouring
+    matches; they come from the gaps, so that no match searches the whole text.
     A pattern comes with a condition without which no match can exist.
     """
     names = list(patterns)
@@ -86,20 +89,29 @@ def located(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column]]) -
     gaps = [
         F.when(
             F.size(f"__m_{n}") > 0,
-            F.zip_with(F.slice(F.split(F.col(text), patterns[n][0], -1), F.lit(1), F.size(f"__m_{n}")), F.col(f"__m_{n}"), lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))),
+            F.transform(F.split(F.col(text), patterns[n][0], -1), lambda g: F.struct(F.length(g).alias("size"), F.substring(g, -CUE_CHARS, CUE_CHARS).alias("last"), F.substring(g, 1, 1).alias("first"))),
         ).alias(f"__g_{n}")
         for n in names
     ]
     df = df.select("*", *gaps)
-    df = df.select("*", *[F.when(F.col(f"__g_{n}").isNotNull(), _running(F.col(f"__g_{n}"))).alias(f"__s_{n}") for n in names])
-    spans = [
-        F.coalesce(
-            F.zip_with(F.col(f"__s_{n}"), F.col(f"__m_{n}"), lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("text"))),
-            F.array().cast(NONE),
-        ).alias(n)
+    sizes = [
+        F.when(
+            F.col(f"__g_{n}").isNotNull(),
+            F.zip_with(F.slice(f"__g_{n}", 1, F.size(f"__m_{n}")), f"__m_{n}", lambda g, m: F.struct(g["size"].alias("gap"), F.length(m).alias("size"))),
+        ).alias(f"__z_{n}")
         for n in names
     ]
-    return df.select(*[c for c in df.columns if not c.startswith(("__m_", "__g_", "__s_"))], *spans)
+    df = df.select("*", *sizes)
+    df = df.select("*", *[F.when(F.col(f"__z_{n}").isNotNull(), _running(F.col(f"__z_{n}"))).alias(f"__s_{n}") for n in names])
+
+    def joined(n):
+        start, match, gap = F.col(f"__s_{n}"), F.col(f"__m_{n}"), F.col(f"__g_{n}")
+        near = F.zip_with(F.slice(gap, 1, F.size(match)), F.slice(gap, 2, F.size(match)), lambda a, b: F.struct(a["last"].alias("before"), b["first"].alias("after")))
+        placed = F.zip_with(start, match, lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("text")))
+        return F.zip_with(placed, near, lambda p, q: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["text"].alias("text"), q["before"].alias("before"), q["after"].alias("after")))
+
+    spans = [F.coalesce(F.when(F.col(f"__s_{n}").isNotNull(), joined(n)), F.array().cast(NONE)).alias(n) for n in names]
+    return df.select(*[c for c in df.columns if not c.startswith(("__m_", "__g_", "__z_", "__s_"))], *spans)
 
 
 def _valid(kind: str, span: Column) -> Column:
@@ -140,33 +152,35 @@ def _level(value: Column, *bounds: int) -> Column:
     return out
 
 
-def _proposals(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``proposals``: spans with the levels of their features and the weak label ``true``."""
-    base = F.concat(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in BASE])
-    df = df.withColumn("__base", base)
+def _proposals(df: DataFrame) -> DataFrame:
+    """Adds ``proposals``: spans with the levels of their features and the weak label ``true``.
+
+    ``within`` says that the proposal is itself a base match, and so no addition.
+    """
     arrays = []
     for g, name in enumerate(GENERATORS):
 
         def described(s):
-            said, start = s["text"], s["start"]
+            said = s["text"]
             n_digits = F.length(F.regexp_replace(said, "[^0-9]", ""))
-            before = F.lower(F.substring(F.col(text), F.greatest(start - CUE_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CUE_CHARS))))
+            before = F.lower(s["before"])
             cue = F.lit(0)
             for i, words in reversed(list(enumerate(CUES))):
                 cue = F.when(before.rlike(rf"\b(?:{words})"), F.lit(i + 1)).otherwise(cue)
-            left = F.when(start > 0, F.substring(F.col(text), start, 1)).otherwise(F.lit(" "))
-            right = F.substring(F.col(text), s["end"] + 1, 1)
+            left, right = F.substring(s["before"], -1, 1), s["after"]
 
             def side(c):
                 return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike("^[A-Za-z0-9]$"), 1).when(c.rlike("^[\"'=:(\\[<]$"), 2).otherwise(3)
 
             marks = F.when(~said.rlike("[ ().:/-]"), 0).when(~said.rlike("[().:/]"), 1).when(~said.rlike("[ ()/-]"), 2).otherwise(3)
             lead = F.when(said.rlike("^[0-9]"), 0).when(said.rlike("^[A-Za-z]"), 1).when(said.startswith("+"), 2).otherwise(3)
-            mine = F.exists("__base", lambda b: ((b["start"] <= start) & (b["end"] >= s["end"])) | ((b["start"] >= start) & (b["end"] <= s["end"])))
-            within = F.exists("__base", lambda b: (b["start"] <= start) & (b["end"] >= s["end"]))
+            within = F.lit(False)
+            for kind in {"contact": ("email",), "number": ("ip", "card", "phone")}.get(name, ()):
+                within = within | (said.rlike(f"^(?:{BASE[kind]})$") & F.coalesce(_valid(kind, s), F.lit(False)))
+            mine = {"contact": said.rlike(BASE["email"]), "number": within | said.rlike(IP_INSIDE), "secret": cue == len(CUES)}[name]
             return F.struct(
                 F.lit(g).alias("gen"), s["start"].alias("start"), s["end"].alias("end"), said.alias("text"), within.alias("within"),
-                (mine | (F.lit(name == "secret") & (cue == len(CUES)))).alias("true"),
+                mine.alias("true"),
                 _level(n_digits, 0, 7, 12, 15, 19).alias("digits"), _level(F.length(said), 11, 19, 31).alias("size"),
                 marks.alias("marks"), lead.alias("lead"), side(left).alias("left"), side(right).alias("right"),
                 (F.lit(0) if name == "secret" else cue).alias("cue"),
@@ -174,7 +188,7 @@ def _proposals(df: DataFrame, text: str) -> DataFrame:
 
         source = F.filter(name, lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]")) if name == "secret" else F.col(name)
         arrays.append(F.transform(source, described))
-    return df.withColumn("proposals", F.concat(*arrays)).drop("__base", *GENERATORS)
+    return df.withColumn("proposals", F.concat(*arrays)).drop(*GENERATORS)
 
 
 @dataclass
@@ -268,7 +282,7 @@ def calibrate(trees: Trees, held: list[tuple[tuple[int, ...], int, int]], precis
 
 def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Trees:
     """Count all proposals by combination of levels; fit on one half, calibrate on the other."""
-    read = _proposals(_found(df.select(F.col(text_col).alias("t")), "t"), "t").select(F.explode("proposals").alias("p"))
+    read = _proposals(_found(df.select(F.col(text_col).alias("t")), "t")).select(F.explode("proposals").alias("p"))
     half = F.pmod(F.xxhash64(F.col("p.text")), F.lit(2))
     counted = (
         read.groupBy(half.alias("half"), *[F.col(f"p.{f}").alias(f) for f in FEATURES])
@@ -282,7 +296,7 @@ def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -
 
 def _selected(df: DataFrame, text: str, trees: Trees) -> DataFrame:
     """Adds ``base`` and ``extra``: arrays of (kind, start, end), extra also with ``score``."""
-    df = _proposals(_found(df, text), text)
+    df = _proposals(_found(df, text))
     base = F.concat(*[F.transform(k, _kinded(k)) for k in BASE])
     kinds = F.array(*[F.lit(g) for g in GENERATORS])
     scored = F.transform(
