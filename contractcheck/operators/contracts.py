@@ -37,8 +37,8 @@ MODEL_COLUMN = "name string, description string, data_type string, required bool
 
 
 def _number(text: Column) -> Column:
-    """First number in a text such as ``0.99`` or ``± 0.01%``."""
-    return F.nullif(F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit(""))
+    """First number in a text such as ``0.99``, ``1e-05`` or ``± 0.01%``."""
+    return F.nullif(F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)", 1), F.lit(""))
 
 
 def _is_object(text: Column) -> Column:
@@ -86,7 +86,7 @@ def _hours() -> Column:
 
 
 def _share(name: str, inner: str) -> Column:
-    return _number(F.coalesce(f"d.slos.{name}.{inner}", f"d.slo.{name}")).cast("decimal(10,4)")
+    return _number(F.coalesce(f"d.slos.{name}.{inner}", f"d.slo.{name}")).cast("double").cast("decimal(10,4)")
 
 
 def contract_models(contracts: DataFrame) -> DataFrame:

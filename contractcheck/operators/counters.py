@@ -60,7 +60,8 @@ def check_from_row(column: str | None, test_name: str, params_json: str | None,
 
 
 def _values(check: Check) -> list:
-    return list(check.params["values"])
+    """The listed values. A NULL in the list only says that NULL is allowed, which it is anyway."""
+    return [v for v in check.params["values"] if v is not None]
 
 
 ROW_CHECKS = {
@@ -81,6 +82,16 @@ def failing_rows(check: Check) -> Column:
     return ROW_CHECKS[check.kind](F.col(quote_name(check.column)), check)
 
 
+def problem(df: DataFrame, check: Check) -> str | None:
+    """Why a row check can't be evaluated on a table, looking at its schema only."""
+    try:
+        if check.column is None or check.column in df.columns:
+            df.limit(0).select(_counter(check).alias("n")).schema  # noqa: B018
+    except Exception as exc:  # a check that can't be built is a finding of its own
+        return type(exc).__name__
+    return None
+
+
 def is_row_check(check: Check) -> bool:
     return check.kind in ROW_CHECKS or check.kind in ("expression_is_true", "at_least_one")
 

@@ -86,8 +86,14 @@ def coverage(
     )
 
 
+MOST_ROWS = 2**63 - 1
+
+
 def join_report(left: DataFrame, left_key: Sequence[str], right: DataFrame, right_key: Sequence[str]) -> DataFrame:
-    """What an inner join on the keys would do, without building its rows."""
+    """What an inner join on the keys would do, without building its rows.
+
+    ``joined_rows`` is exact up to the largest bigint and stays there beyond.
+    """
     a = key_counts(left, left_key, "_l")
     b = key_counts(right.select(*[F.col(r).alias(n) for r, n in zip(right_key, left_key, strict=True)]), left_key, "_r")
     both = a.join(b, list(left_key), "full_outer")
@@ -96,13 +102,16 @@ def join_report(left: DataFrame, left_key: Sequence[str], right: DataFrame, righ
     def total(expr):
         return F.coalesce(F.sum(expr), F.lit(0)).cast("bigint")
 
+    def wide(name):
+        return F.col(name).cast("decimal(19,0)")
+
     return _one(
         both,
         total(F.when(hit, F.col("_l"))).alias("left_matched"),
         total(F.when(~hit, F.col("_l"))).alias("left_unmatched"),
         total(F.when(hit, F.col("_r"))).alias("right_matched"),
         total(F.when(~hit, F.col("_r"))).alias("right_unmatched"),
-        total(F.when(hit, F.col("_l") * F.col("_r"))).alias("joined_rows"),
+        F.least(F.coalesce(F.sum(F.when(hit, wide("_l") * wide("_r"))), F.lit(0)), F.lit(MOST_ROWS)).cast("bigint").alias("joined_rows"),
         F.coalesce(F.max(F.when(hit, F.col("_r"))), F.lit(0)).alias("max_fan_out"),
     )
 

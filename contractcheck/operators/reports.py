@@ -101,3 +101,21 @@ def run_summary(results: DataFrame, critical: Sequence[str] = ("unique", "not_nu
     )
     level = F.when(F.col("critical_failed") > 0, 2).when(F.col("failed") > 0, 1).otherwise(0)
     return counts.withColumn("level", level)
+
+
+def with_levels_and_rejects(summary: DataFrame, slos: DataFrame, rejects: DataFrame, run_id: str, as_of: str) -> DataFrame:
+    """The summary of a run with its failed levels and rejected documents.
+
+    Adds ``slo_failed`` and ``rejected`` and raises ``level``: 2 if a table was not
+    available, 1 for any other failed level or rejected document. A run without any
+    test still gives a row.
+    """
+    failed = F.col("status") == "fail"
+    levels = slos.filter(F.col("measurement_ts") == F.lit(as_of).cast("timestamp_ntz")).agg(
+        F.count_if(failed).alias("slo_failed"), F.count_if(failed & (F.col("metric_type") == "availability")).alias("_gone")
+    )
+    other = levels.crossJoin(rejects.agg(F.count(F.lit(1)).alias("rejected"))).withColumn("run_id", F.lit(run_id))
+    both = other.join(summary, ["run_id"], "left")
+    raised = F.when(F.col("_gone") > 0, 2).when((F.col("slo_failed") > 0) | (F.col("rejected") > 0), 1).otherwise(0)
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in summary.columns if c not in ("run_id", "level")]
+    return both.select("run_id", *zero, "slo_failed", "rejected", F.greatest(F.coalesce("level", F.lit(0)), raised).alias("level"))

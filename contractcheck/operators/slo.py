@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,17 +114,22 @@ def uptime(slo_metrics: DataFrame, target: float = 0.999) -> DataFrame:
 def reconcile(
     a: DataFrame, a_value: str | Column, b: DataFrame, b_value: str | Column, tolerance_pct: float = 0.01
 ) -> DataFrame:
-    """Two sums agree within a tolerance. Sums are exact decimals."""
+    """Two sums agree within a tolerance.
+
+    Sums are exact decimals with ten places; only the shown difference is rounded.
+    """
+    exact = "decimal(38,10)"
+
     def amount(v: str | Column) -> Column:
-        return (F.col(v) if isinstance(v, str) else v).cast("decimal(18,2)")
+        return (F.col(v) if isinstance(v, str) else v).cast(exact)
 
-    sides = a.select(amount(a_value).alias("a"), F.lit(None).cast("decimal(18,2)").alias("b")).unionAll(
-        b.select(F.lit(None).cast("decimal(18,2)").alias("a"), amount(b_value).alias("b"))
+    sides = a.select(amount(a_value).alias("a"), F.lit(None).cast(exact).alias("b")).unionAll(
+        b.select(F.lit(None).cast(exact).alias("a"), amount(b_value).alias("b"))
     )
     sums = sides.agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     gap = F.abs(F.col("a") - F.col("b"))
-    allowed = F.abs(F.col("b")) * F.lit(Decimal(str(tolerance_pct)).quantize(Decimal("0.0001"))) / 100
-    status = F.when(gap.isNull(), "unknown").when(gap <= allowed, "pass").otherwise("fail")
+    allowed = F.abs(F.col("b")).cast("double") * tolerance_pct / 100
+    status = F.when(gap.isNull(), "unknown").when(gap.cast("double") <= allowed, "pass").otherwise("fail")
     return _metric(
         sums,
         "accuracy",

@@ -17,7 +17,6 @@ from contractcheck.functions.text import (
 from contractcheck.operators.lookups import lookup_join
 from contractcheck.schemas import TEST_RESULTS, conform
 
-SQL_TEXT_LIMIT = 1000
 
 
 def parse_test_ids(unique_ids: DataFrame, models: DataFrame | None = None) -> DataFrame:
@@ -85,7 +84,7 @@ def denormalise_results(
         F.nullif("message", F.lit("")).alias("failure_message"),
         F.when(failed, F.col("failures")).alias("rows_affected"),
         (F.coalesce("execution_time", F.lit(0.0)) * 1000).cast("bigint").alias("execution_time_ms"),
-        F.nullif(F.substring("compiled_code", 1, SQL_TEXT_LIMIT), F.lit("")).alias("compiled_sql"),
+        F.nullif(F.col("compiled_code"), F.lit("")).alias("compiled_sql"),
         moment.alias("run_timestamp"),
         F.lit(configured_by).alias("configured_by"),
         moment.alias("_inserted_ts"),

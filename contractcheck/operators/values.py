@@ -132,30 +132,19 @@ def outliers_iqr(
     )
 
 
-def outliers_z(df: DataFrame, group_by: Sequence[str], value: str, limit: float = 3.0, scale: int = 2) -> DataFrame:
+def outliers_z(df: DataFrame, group_by: Sequence[str], value: str, limit: float = 3.0) -> DataFrame:
     """Per group: rows more than ``limit`` sample deviations from the mean.
 
-    Sums are exact decimals of ``value`` at ``scale`` places, so the result does
-    not depend on the order of addition.
+    Values are judged as they are, without rounding. Mean and deviation are merged
+    from centred moments, so large means cost no digits.
     """
-    exact = F.col(value).cast(f"decimal(18,{scale})")
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .select(*group_by, exact.alias("_v"))
-        .groupBy(*group_by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    weight = F.col("_n").cast("decimal(18,0)")
-    moments = counts.groupBy(*group_by).agg(
-        F.sum("_n").alias("n_values"),
-        F.sum(F.col("_v") * weight).cast("double").alias("_s1"),
-        F.sum(F.col("_v") * F.col("_v") * weight).cast("double").alias("_s2"),
+    given = df.filter(F.col(value).isNotNull()).select(*group_by, F.col(value).cast("double").alias("_v"))
+    counts = given.groupBy(*group_by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    stats = given.groupBy(*group_by).agg(
+        F.count(F.lit(1)).alias("n_values"), F.avg("_v").alias("_mean"), F.stddev_samp("_v").alias("_sd")
     )
-    n = F.col("n_values").cast("double")
-    variance = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / F.nullif(n - 1, F.lit(0.0))
-    stats = moments.select(*group_by, "n_values", (F.col("_s1") / n).alias("_mean"), F.sqrt(variance).alias("_sd"))
     judged = lookup_join(counts, stats, list(group_by), "inner", spread_by=["_v"])
-    far = F.abs(F.col("_v").cast("double") - F.col("_mean")) > F.col("_sd") * F.lit(limit)
+    far = F.abs(F.col("_v") - F.col("_mean")) > F.col("_sd") * F.lit(limit)
     return judged.groupBy(*group_by).agg(
         F.first("n_values").alias("n_values"),
         F.coalesce(F.sum(F.when(far, F.col("_n"))), F.lit(0)).alias("outlier_rows"),

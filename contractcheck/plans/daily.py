@@ -22,6 +22,7 @@ from contractcheck.operators.counters import (
     column_counters,
     is_row_check,
     null_spike,
+    problem,
     profile_from_counts,
     status_of,
 )
@@ -134,22 +135,39 @@ def highest_versions(good: DataFrame) -> DataFrame:
     return good.join(best.select("source_path"), ["source_path"], "left_semi")
 
 
+def first_of_each(good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents without later copies of one agreement version, and those copies as rejects."""
+    d = registry.extract_contracts(good).select("source_path", "id", "version")
+    first = d.groupBy("id", "version").agg(F.min("source_path").alias("kept"))
+    copies = d.join(first, ["id", "version"]).filter(F.col("source_path") != F.col("kept"))
+    copies = copies.select("source_path", F.concat(F.lit("same agreement and version as "), "kept").alias("reject_reason"))
+    return good.join(copies.select("source_path"), ["source_path"], "left_anti"), copies
+
+
+def _listed_once(tests: DataFrame) -> DataFrame:
+    """A test that a column lists twice counts once, at its first place."""
+    same = [c for c in tests.columns if c != "pos"]
+    return tests.groupBy(*same).agg(F.min("pos").alias("pos")).select(*tests.columns)
+
+
 def refresh_registry(run: Run, contracts_path: str, models_path: str | None = None) -> DataFrame:
     """Load documents into the registry and return the rejected ones."""
     storage.ensure_tables(run.spark, run.root)
     documents = run.kept(read_contracts(run.spark, contracts_path), "documents")
     good, rejects = split_contracts(documents)
+    good, copies = first_of_each(good)
+    rejects = run.kept(rejects.select("source_path", "reject_reason").unionAll(copies), "rejects")
     _merge(run, "contracts", registry.extract_contracts(good), ["published_at", "published_by", "_created_ts"])
     current = highest_versions(good)
     _merge(run, "models", registry.contract_models(current), ["_created_ts"])
     _merge(run, "columns", registry.contract_columns(current), ["_created_ts"])
-    _merge(run, "tests", registry.contract_tests(current), ["_created_ts"])
+    _merge(run, "tests", _listed_once(registry.contract_tests(current)), ["_created_ts"])
     if models_path:
         models = run.kept(read_model_definitions(run.spark, models_path), "models")
         resolved = registry.resolve_contract(registry.extract_models(models), run.read("contracts"))
         _merge(run, "models", resolved, ["meta_json", "_created_ts"])
         _merge(run, "columns", registry.model_columns(models), ["_created_ts"])
-        _merge(run, "tests", registry.model_tests(models), ["_created_ts"])
+        _merge(run, "tests", _listed_once(registry.model_tests(models)), ["_created_ts"])
     return rejects
 
 
@@ -235,13 +253,23 @@ def _cross_row_counts(run: Run, df: DataFrame, check: Check) -> DataFrame | None
     return None
 
 
+def _counts_or_none(run: Run, df: DataFrame, check: Check) -> DataFrame | None:
+    try:
+        return _cross_row_counts(run, df, check)
+    except Exception:  # such as a missing parameter; logged as an error of this check
+        return None
+
+
 def table_counts(run: Run, table: str, df: DataFrame, checks: list[tuple[str, Check]], required: list[str]) -> DataFrame:
     """Counters of one table. All row-level checks and the null counts of the
-    required columns share one scan."""
-    fused = [(i, k) for i, k in checks if is_row_check(k)]
+    required columns share one scan. A check that can't be built is an error of
+    its own and costs the others nothing."""
+    broken = {i for i, k in checks if is_row_check(k) and problem(df, k) is not None}
+    fused = [(i, k) for i, k in checks if is_row_check(k) and i not in broken]
     fused += [(f"required/{c}", Check(c, "not_null", severity="required")) for c in required]
     names = run.spark.createDataFrame([(p, i) for p, (i, _) in enumerate(fused)], "pos int, test_id string")
-    frames = [_single(run, table, i, k, _cross_row_counts(run, df, k)) for i, k in checks if not is_row_check(k)]
+    frames = [_single(run, table, i, k, _counts_or_none(run, df, k)) for i, k in checks if not is_row_check(k)]
+    frames += [_single(run, table, i, k, None) for i, k in checks if i in broken]
     if fused:
         counted = column_counters(df, [k for _, k in fused]).join(names, ["pos"])
         frames.append(
@@ -259,13 +287,19 @@ def required_by_model(run: Run) -> dict[str, list[str]]:
 
 
 def count_all(run: Run) -> DataFrame:
-    """Counters of all readable tables, written once and used by every later step."""
+    """Counters of all planned checks, written once and used by every later step.
+
+    Checks of a table that is not mapped or can't be read have no counts and are
+    logged as errors; nobody is told "ready" about a table that nobody read.
+    """
     plan, required = planned_checks(run), required_by_model(run)
     frames = []
     for name in sorted(set(plan) | set(required)):
         df = run.table(name)
         if df is not None:
             frames.append(table_counts(run, name, df, plan.get(name, []), required.get(name, [])))
+        elif name in plan:
+            frames.append(union_all([_single(run, name, i, k, None) for i, k in plan[name]]))
     return run.kept_in_batches(frames, "counts", run.spark.createDataFrame([], COUNT_COLUMNS))
 
 
@@ -312,8 +346,7 @@ def log_slos(run: Run, counts: DataFrame) -> None:
             required = (F.col("table_name") == model_name) & (F.col("severity") == "required")
             profile = profile_from_counts(counts.filter(required), ())
             metrics += [slo.completeness(profile, float(c)) for c in sorted(filter(None, shares))]
-        if model_name in run.tables:
-            metrics.append(slo.availability(run.spark, run.tables[model_name]))
+        metrics.append(slo.availability(run.spark, run.tables.get(model_name, f"{run.root}/_not_mapped/{model_name}")))
         if metrics:
             frames.append(slo.measured(union_all(metrics), contract_id, run.as_of, model_name))
     rows = run.kept_in_batches(frames, "slos", empty(run.spark, SLO_METRICS))
@@ -374,7 +407,7 @@ def update_readiness(run: Run) -> None:
 
 def run_daily(run: Run, contracts_path: str, models_path: str | None = None) -> DataFrame:
     """One whole run; returns its summary row."""
-    refresh_registry(run, contracts_path, models_path)
+    rejects = refresh_registry(run, contracts_path, models_path)
     publish_versions(run)
     counts = count_all(run)
     log_tests(run, counts)
@@ -386,4 +419,5 @@ def run_daily(run: Run, contracts_path: str, models_path: str | None = None) ->
         storage.expire_log(
             run.spark, run.root, table, run.retention_days, run.as_of, run.archive, run.retention_enabled
         )
-    return reports.run_summary(run.log("test_results", run.day).filter(F.col("run_id") == run.run_id))
+    summary = reports.run_summary(run.log("test_results", run.day).filter(F.col("run_id") == run.run_id))
+    return reports.with_levels_and_rejects(summary, run.log("slo_metrics", run.day), rejects, run.run_id, run.as_of)

@@ -485,7 +485,7 @@ logged AS (
   SELECT sha256('run_1|' || unique_id || '|{AS_OF}') AS id, 'run_1' AS run_id, unique_id AS test_id, CAST(NULL AS VARCHAR) AS contract_id, model_name, column_name,
          test_name, test_type, CASE WHEN value > 30 THEN 'fail' ELSE 'pass' END AS status, CASE WHEN value > 30 THEN 'too many' END AS failure_message,
          CASE WHEN value > 30 AND floor(value) > 0 THEN CAST(floor(value) AS BIGINT) END AS rows_affected, CAST(floor(value / 7 * 1000) AS BIGINT) AS execution_time_ms,
-         substr('select ' || repeat('x', CAST(event_id % 2000 AS INTEGER)), 1, 1000) AS compiled_sql, TIMESTAMP '{AS_OF}' AS run_timestamp, 'test_run' AS configured_by,
+         'select ' || repeat('x', CAST(event_id % 2000 AS INTEGER)) AS compiled_sql, TIMESTAMP '{AS_OF}' AS run_timestamp, 'test_run' AS configured_by,
          TIMESTAMP '{AS_OF}' AS _inserted_ts
   FROM named)"""
 

@@ -49,10 +49,8 @@ def outlier_iqr(spark, d):
 @query(
     "outlier_z",
     """
-WITH v AS (SELECT event_type, CAST(value AS DECIMAL(18,2)) AS v FROM events),
-m AS (SELECT event_type, count(*) AS n, CAST(sum(v) AS DOUBLE) AS s1, CAST(sum(v * v) AS DOUBLE) AS s2 FROM v GROUP BY 1),
-s AS (SELECT event_type, n, s1 / CAST(n AS DOUBLE) AS mean,
-             sqrt((s2 - s1 * s1 / CAST(n AS DOUBLE)) / nullif(CAST(n AS DOUBLE) - 1, 0)) AS sd FROM m)
+WITH v AS (SELECT event_type, value AS v FROM events WHERE value IS NOT NULL),
+s AS (SELECT event_type, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS sd FROM v GROUP BY 1)
 SELECT event_type, any_value(n) AS n_values, count(*) FILTER (abs(CAST(v AS DOUBLE) - mean) > sd * 3) AS outlier_rows
 FROM v JOIN s USING (event_type) GROUP BY event_type""",
 )
@@ -60,6 +58,20 @@ def outlier_z(spark, d):
     return values.outliers_z(table(spark, d, "events"), ["event_type"], "value", limit=3.0)
 
 
+@query(
+    "outlier_z_small_values",
+    """
+WITH v AS (SELECT l_returnflag, l_discount * l_tax / 1000 AS v FROM lineitem),
+s AS (SELECT l_returnflag, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS sd FROM v GROUP BY 1)
+SELECT l_returnflag, any_value(n) AS n_values, count(*) FILTER (abs(v - mean) > sd * 2) AS outlier_rows
+FROM v JOIN s USING (l_returnflag) GROUP BY l_returnflag""",
+)
+def outlier_z_small_values(spark, d):
+    """Values far below a hundredth are judged like any others."""
+    small = table(spark, d, "lineitem").select("l_returnflag", (F.col("l_discount") * F.col("l_tax") / 1000).alias("v"))
+    return values.outliers_z(small, ["l_returnflag"], "v", limit=2.0)
+
+
 @query(
     "mutually_exclusive_ranges",
     """

@@ -316,3 +316,36 @@ def test_settled_uses_the_folder_of_the_session(spark, tmp_path):
 def test_empty_logs(spark, tmp_path):
     assert storage.read_log(spark, str(tmp_path), "test_results").count() == 0
     assert empty(spark, TEST_RESULTS).columns[0] == "id"
+
+
+def test_nobody_is_ready_about_a_table_nobody_read(spark, tmp_path):
+    agreement = """
+domain: {domain}
+name: {name}
+version: "1.0"
+owner: {{name: a, email: a@b.c}}
+schema:
+  properties:
+    id: {{type: bigint, required: true, tests: [not_null, not_null, accepted_values: {{values: [1, null]}}, expression_is_true: {{expression: ">> ?? 1"}}]}}
+slos:
+  freshness: {{max_age_hours: 24}}
+  completeness: {{min_coverage: 0.9}}
+"""
+    folder = tmp_path / "agreements"
+    folder.mkdir()
+    (folder / "ghost.yaml").write_text(agreement.format(domain="shop", name="ghost"))
+    (folder / "orders.yaml").write_text(agreement.format(domain="shop", name="orders"))
+    (folder / "orders_copy.yaml").write_text(agreement.format(domain="shop", name="orders"))
+    (folder / "broken.yaml").write_text("{")
+    spark.createDataFrame([(1,), (2,)], "id bigint").write.parquet(str(tmp_path / "orders"))
+    run = Run(spark, str(tmp_path / "registry"), "2024-02-01 06:00:00", {"orders": str(tmp_path / "orders")})
+    summary = run_daily(run, str(folder)).collect()[0]
+    assert summary["rejected"] == 2 and summary["level"] == 2
+    gone = run.log("slo_metrics", run.day).filter("contract_id = 'shop/ghost' AND metric_type = 'availability'").collect()
+    assert [r["status"] for r in gone] == ["fail"]
+    results = run.log("test_results", run.day).collect()
+    ghost = {r["status"] for r in results if r["model_name"] == "ghost"}
+    orders = {(r["test_name"], r["status"]) for r in results if r["model_name"] == "orders"}
+    assert ghost == {"error"}
+    assert orders == {("not_null", "pass"), ("accepted_values", "fail"), ("expression_is_true", "error")}
+    assert sum(r["model_name"] == "orders" and r["test_name"] == "not_null" for r in results) == 1
