@@ -5,7 +5,9 @@ blank) and cut into passages: lines, paragraphs and the whole text. A passage an
 notice with a and b different word bigrams, c of them shared, have a coefficient of
 ``2c / (a + b)``. It can reach the threshold t only if a lies between
 ``t / (2 - t) * b`` and ``(2 - t) / t * b``; notices outside that bound are never
-compared. DataFrame functions only, one pass, no shuffle.
+compared. The same bound on c leaves less than ``b - t / (2 - t) * b`` bigrams of a
+notice out, so a text or passage without any of the bigrams that :func:`telling`
+picks reaches no notice and is not looked at further. DataFrame functions only, one pass, no shuffle.
 
 Defined results: null and empty texts have no licence; a passage of one word has
 that word as its only bigram. The best notice wins, ties go to the last name in
@@ -15,6 +17,8 @@ results; other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,25 +48,38 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def bigrams_of(text: str) -> list[str]:
     """The bigrams of a notice, as the expressions below make them."""
-    import re
-
     words = re.sub("[^a-z0-9.]+", " ", text.translate(str.maketrans(UPPER, LOWER))).strip(" ").split(" ")
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:]))) if len(words) > 1 else words
 
 
+def telling(listed: list[list[str]], threshold: float) -> list[str]:
+    """Bigrams of which every passage that reaches ``threshold`` with a notice has one.
+
+    Per notice they are more than a passage may lack, and its longest, since other
+    texts rarely have them.
+    """
+    taken: set[str] = set()
+    for grams in sorted(listed, key=len):
+        lacking = len(grams) - threshold / (2 - threshold) * len(grams)
+        for gram in sorted(grams, key=lambda g: (-len(g), g)):
+            if len(taken.intersection(grams)) > lacking + 1e-9:
+                break
+            taken.add(gram)
+    return sorted(taken)
+
+
 def _bigrams(words: Column) -> Column:
     pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
 
 
-def passages(text: Column) -> Column:
-    """Different normalised passages of a text that have a word."""
-    normal = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9.\n]+", " ")
+def passages(normal: Column, needed: str) -> Column:
+    """Different passages of a normalised text in which the pattern ``needed`` occurs."""
     lines = F.split(normal, "\n")
     paragraphs = F.split(normal, "\n ?\n")
     joined = F.transform(paragraphs, lambda p: F.trim(F.regexp_replace(p, "[ \n]+", " ")))
     whole = F.trim(F.regexp_replace(normal, "[ \n]+", " "))
-    return F.filter(F.array_distinct(F.concat(F.transform(lines, lambda x: F.trim(x)), joined, F.array(whole))), lambda p: p != "")
+    return F.filter(F.array_distinct(F.concat(F.transform(lines, lambda x: F.trim(x)), joined, F.array(whole))), lambda p: p.rlike(needed))
 
 
 def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: dict[str, tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -85,7 +102,13 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", noti
             tried.append(F.when(fits, F.struct(dice.alias("dice"), F.lit(name).alias("licence"), F.lit(family).alias("family"))))
         return F.when(n.between(fewest, most), F.greatest(*tried))
 
-    rows = df.select(F.col(id_col), F.coalesce(passages(F.col(text_col)), F.array().cast("array<string>")).alias("__p"))
+    grams = telling([own for *_, own in listed], threshold)
+    told = (r"[^a-z0-9.]++".join(map(re.escape, g.split(" "))) for g in grams)
+    first = "|".join(sorted({re.escape(g[0]) for g in grams}))
+    needed = f"(?<![a-z0-9.])(?={first})(?:{'|'.join(told)})(?![a-z0-9.])"
+    rows = df.select(F.col(id_col), F.translate(text_col, UPPER, LOWER).alias("__t"))
+    rows = rows.select(id_col, F.when(F.col("__t").rlike(needed), F.regexp_replace("__t", "[^a-z0-9.\n]+", " ")).alias("__n"))
+    rows = rows.select(id_col, F.coalesce(F.when(F.col("__n").isNotNull(), passages(F.col("__n"), needed)), F.array().cast("array<string>")).alias("__p"))
     matched = F.filter(F.transform("__p", lambda p: best(F.split(p, " "))), lambda m: m.isNotNull() & (m["dice"] >= threshold))
     found = rows.select(id_col, matched.alias("__m")).select(id_col, F.array_max("__m").alias("__b"), F.size("__m").cast("bigint").alias("n_passages"))
     return found.select(id_col, F.col("__b.licence").alias("licence"), F.col("__b.family").alias("family"), F.col("__b.dice").alias("dice"), "n_passages")
