@@ -17,6 +17,7 @@ count as the one token that the library makes of them. No text is cut short.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from functools import lru_cache
 
@@ -28,6 +29,8 @@ from contractcheck.llm.words import map_columns
 
 #: Fixed: the pre-token pattern of the byte-level tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for texts of ASCII characters alone.
+ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"""
 #: Ranges in which both sides' character classes were compared one by one (see the tests).
 KNOWN = "\u0001-ɏͰ-ϿЀ-ԯḀ-ỿ -⁯₠-₿℀-⅏←-⯿　-ヿ一-鿿가-힣"
 #: Longest pre-token kept in the memo, and how many; the memo starts anew beyond that.
@@ -46,6 +49,7 @@ class Counts:
         self.special = sorted((t.content for t in added.values()), key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pieces = regex.compile(PATTERN)
+        self.ascii_pieces = re.compile(ASCII_PATTERN)
         self.unknown = regex.compile(f"[^{KNOWN}]")
         self.whole = self.prove()
         self.memo: dict[str, int] = dict.fromkeys(self.whole, 1)
@@ -81,7 +85,8 @@ class Counts:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if self.unknown.search(text):
+        plain = text.isascii() and "\0" not in text
+        if not plain and self.unknown.search(text):
             return self.encode([text])[0]
         parts, specials = [text], 0
         if self.cut is not None and any(s in text for s in self.special):
@@ -89,7 +94,7 @@ class Counts:
             specials = len(parts) - 1
         pieces: Counter = Counter()
         for part in parts:
-            pieces.update(self.pieces.findall(part))
+            pieces.update((self.ascii_pieces if plain else self.pieces).findall(part))
         return specials + self.merged(pieces)
 
 
