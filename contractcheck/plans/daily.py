@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from contractcheck.functions.numbers import ntz
 from contractcheck.functions.text import stable_id
 from contractcheck.operators import contracts as registry
-from contractcheck.operators import drift, keys, readiness, reports, slo, storage, versions
+from contractcheck.operators import drift, readiness, reports, slo, storage, versions
 from contractcheck.operators.counters import (
     Check,
     check_from_row,
@@ -28,6 +28,7 @@ from contractcheck.operators.counters import (
 )
 from contractcheck.operators.drift import column_types
 from contractcheck.operators.lookups import union_all
+from contractcheck.plans.declared import counted, declared_counts
 from contractcheck.schemas import SLO_METRICS, empty
 from contractcheck.sources.documents import read_contracts, read_model_definitions, split_contracts
 from contractcheck.sources.tables import table_columns
@@ -233,24 +234,23 @@ def _cross_row_counts(run: Run, df: DataFrame, check: Check) -> DataFrame | None
     """Counts of a check that needs a shuffle, a second table or the schema."""
     if check.column not in df.columns:
         return None
-    if check.kind == "unique":
-        return keys.check_unique(df, [check.column])
-    if check.kind == "relationships":
-        parent = run.table(check.params["to"].removeprefix("ref('").removesuffix("')"))
-        parent_key = check.params["field"]
-        if parent is None or parent_key not in parent.columns:
-            return None
-        return keys.check_relationship(df, [check.column], parent, [parent_key])
+    if check.test_name in run.custom_tests:
+        return counted(df, run.custom_tests[check.test_name](df, check))
     if check.kind == "column_type":
         wanted = check.params.get("values") or [check.params.get("value")]
         fits = any(column_types(df, {check.column: w})[0][3] for w in wanted)
         return run.spark.createDataFrame([(1, 0 if fits else 1)], "rows_total bigint, rows_failed bigint")
-    if check.test_name in run.custom_tests:
-        failing = run.custom_tests[check.test_name](df, check)
-        return df.select(F.lit(0).alias("f")).unionAll(failing.select(F.lit(1).alias("f"))).agg(
-            F.count_if(F.col("f") == 0).alias("rows_total"), F.count_if(F.col("f") == 1).alias("rows_failed")
-        )
-    return None
+
+    def other(name: str) -> DataFrame:
+        found = run.table(name.strip().removeprefix("ref(").removesuffix(")").strip(" '\""))
+        if found is None:
+            raise LookupError(name)
+        return found
+
+    counts = declared_counts(df, check, other, run.as_of)
+    if counts is not None:
+        counts.schema  # noqa: B018  (columns that are absent show here, not in the common job)
+    return counts
 
 
 def _counts_or_none(run: Run, df: DataFrame, check: Check) -> DataFrame | None:

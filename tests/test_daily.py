@@ -349,3 +349,50 @@ slos:
     assert ghost == {"error"}
     assert orders == {("not_null", "pass"), ("accepted_values", "fail"), ("expression_is_true", "error")}
     assert sum(r["model_name"] == "orders" and r["test_name"] == "not_null" for r in results) == 1
+
+
+DECLARED = """
+domain: shop
+name: items
+version: "1.0"
+owner: {name: a, email: a@b.c}
+schema:
+  properties:
+    id:
+      type: bigint
+      tests:
+        - unique: {columns: [id, g]}
+        - equal_rowcount: {compare_model: twin}
+        - dbt_utils.equal_rowcount: {compare_model: nowhere}
+        - cardinality_equality: {to: "ref('twin')", field: id}
+        - sequential_values: {interval: 1, group_by_columns: [g]}
+    low:
+      type: int
+      tests:
+        - mutually_exclusive_ranges: {lower_bound_column: low, upper_bound_column: high, partition_by: g}
+        - dbt_utils.unique_combination_of_columns: {combination_of_columns: [g, absent]}
+    at: {type: timestamp, tests: [recency: {datepart: day, field: at, interval: 1}]}
+"""
+
+
+def test_declared_tests_run(spark, tmp_path):
+    (tmp_path / "agreements").mkdir()
+    (tmp_path / "agreements/items.yaml").write_text(DECLARED)
+    items = [(1, 0, 0, 5), (2, 0, 5, 9), (4, 0, 8, 9), (1, 1, 0, 1)]
+    table = spark.createDataFrame(items, "id bigint, g int, low int, high int")
+    table.withColumn("at", F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")).write.parquet(str(tmp_path / "items"))
+    spark.createDataFrame([(1,), (2,), (4,)], "id bigint").write.parquet(str(tmp_path / "twin"))
+    tables = {"items": str(tmp_path / "items"), "twin": str(tmp_path / "twin")}
+    run = Run(spark, str(tmp_path / "registry"), "2024-02-01 06:00:00", tables)
+    run_daily(run, str(tmp_path / "agreements"))
+    got = {(r["test_name"], r["status"], r["rows_affected"]) for r in run.log("test_results").collect()}
+    assert got == {
+        ("unique", "pass", None),
+        ("equal_rowcount", "fail", 1),
+        ("equal_rowcount", "error", None),
+        ("cardinality_equality", "fail", 1),
+        ("sequential_values", "fail", 1),
+        ("mutually_exclusive_ranges", "fail", 1),
+        ("unique_combination_of_columns", "error", None),
+        ("recency", "pass", None),
+    }
