@@ -43,8 +43,8 @@ def lookup_join(
     to Spark, which broadcasts it. Beyond that the rows of one key are spread over
     ``salts`` tasks by a hash of the row itself (repeatable when a task is retried)
     and ``dim`` is repeated once per salt, so a key that owns a third of ``facts``
-    never lands in one task. The repeated side is pinned to a sort-merge join,
-    because its estimate does not count the repetition.
+    never lands in one task. The kind of join is left open: an aggregate that turns
+    out small when it is written to the shuffle is still broadcast by its real size.
     """
     if _spark_would_broadcast(dim):
         return facts.join(dim, list(on), how)
@@ -52,7 +52,7 @@ def lookup_join(
     spread = list(spread_by or _hashable(facts))
     salted = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
     copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return salted.join(copies.hint("merge"), [*on, SALT], how).drop(SALT)
+    return salted.join(copies, [*on, SALT], how).drop(SALT)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
