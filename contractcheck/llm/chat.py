@@ -1,26 +1,31 @@
 """Chat formatting: roles recovered by a hidden Markov model, then canonical turns.
 
-Each message of a conversation shows what its lines look like: a speaker marker
-("User:", "Q:", "### Assistant"), its length, its number of lines, a question mark.
-The roles are the hidden states. Viterbi finds the likeliest roles of the whole
-conversation, and the messages are rendered as canonical turns.
+Every line of a conversation's messages is one observation: a speaker marker ("User:",
+"Q:", "### Assistant"), its length, its number in the message, a question mark. The roles
+are the hidden states; they pass on in one way from message to message, in another from
+line to line of a message, and in a third where a marker stands inside a message. Viterbi
+finds the likeliest roles of the whole conversation, so one message can hold several
+speakers. Neighbouring lines of one role are rendered as one canonical turn.
 
 The best path is found in pieces, so a conversation of any length is spread over
-many tasks: a chunk of messages is summed up as the matrix of its best path scores
+many tasks: a chunk of messages with their lines is summed up as the matrix of its best path scores
 from each first to each last role (max-plus products are associative); a pass over
 these matrices, one per chunk, fixes the first and last role of each chunk; inside
 the chunk the rest follows. The result is that of one long Viterbi pass.
 
 Defined results: messages are ordered by turn (null last), then by a hash of the
 text, then by the text; equal messages follow each other. Rows with a null
-conversation id are one conversation. A null text shows nothing and is rendered
-as an empty turn. Ties go to the role that comes first in ``ROLES``. Rows whose
+conversation id are one conversation. A null text is one empty line and is rendered
+as an empty turn. A marker is taken off where the line gets the marker's role. In the
+estimates a line has the role of the last marker at or above it in its message, else
+the message's. Ties go to the role that comes first in ``ROLES``. Rows whose
 role is unknown to ``ROLES`` do not take part in the estimates; without any known
 role the given priors alone decide. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,48 +36,72 @@ from pyspark.sql import functions as F
 from contractcheck.functions.lineage import settled
 
 ROLES = ("system", "user", "assistant")
-#: Speaker markers at the start of a message, per role.
+#: Speaker markers at the start of a line, per role.
 MARKERS = (
     r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:system|instructions?|sys)\s*(?:\||\]|>|:|\*\*)",
     r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:user|human|customer|question|q|you|me|prompt)\s*(?:\||\]|>|:|\*\*)",
     r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:assistant|ai|bot|agent|answer|a|gpt|model|response)\s*(?:\||\]|>|:|\*\*)",
 )
 STRIP = r"(?i)^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:system|instructions?|sys|user|human|customer|question|q|you|me|prompt|assistant|ai|bot|agent|answer|a|gpt|model|response)\s*(?:\||\]|>|:|\*\*)+[>:\]\s]*"
-#: Levels of the observed features: marker, length, number of lines, question mark at the end.
+#: Levels of the observed features: marker, length, number of the line in its message, question mark at the end.
 LEVELS = (len(ROLES) + 1, 8, 4, 2)
 #: Weight of the given beliefs, in messages.
 PRIOR = 1.0
 TURNS, LIMIT = 16, 2000
 SEGMENT = ("__k", "__c", "__t", "__p")
+#: Lines of segments that are worked on side by side.
+TOGETHER = 20_000
 
 
 @dataclass
 class Hmm:
-    """Log probabilities: first role, role after role, and features given the role."""
+    """Log probabilities: first role, role after role, and features given the role.
+
+    ``after`` leads to the first line of a message, ``within`` to another line
+    without a marker, ``turned`` to another line with one.
+    """
 
     first: np.ndarray
     after: np.ndarray
     shown: list[np.ndarray]
+    within: np.ndarray | None = None
+    turned: np.ndarray | None = None
 
     def emissions(self, codes: np.ndarray) -> np.ndarray:
-        """Messages by roles."""
+        """Lines by roles."""
         out, rest = np.zeros((len(codes), len(ROLES))), codes.copy()
         for table, n in zip(self.shown, LEVELS, strict=True):
             out += table[:, rest % n].T
             rest //= n
         return out
 
+    def steps(self) -> np.ndarray:
+        """The three ways to come to a line, as numbered by :func:`ways`."""
+        return np.stack([self.after if m is None else m for m in (self.after, self.within, self.turned)])
+
+
+def ways(codes: np.ndarray) -> np.ndarray:
+    """Per line: 0 for the first of a message, else 1, or 2 with a marker."""
+    number = codes // (LEVELS[0] * LEVELS[1]) % LEVELS[2]
+    return np.where(number == 0, 0, np.where(codes % LEVELS[0] > 0, 2, 1))
+
+
+def split_lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
 
 def observed(text: Column) -> Column:
-    """The features of a message as one number below the product of ``LEVELS``."""
-    said = F.coalesce(text, F.lit(""))
-    marker = F.lit(0)
-    for i, pattern in reversed(list(enumerate(MARKERS))):
-        marker = F.when(said.rlike("(?i)" + pattern), i + 1).otherwise(marker)
-    length = F.least(F.floor(F.log2(F.length(said) / 16 + 1)).cast("int"), F.lit(LEVELS[1] - 1))
-    lines = F.least(F.size(F.split(said, "\n")) - 1, F.lit(LEVELS[2] - 1))
-    asks = F.rtrim(said).endswith("?").cast("int")
-    return marker + LEVELS[0] * (length + LEVELS[1] * (lines + LEVELS[2] * asks))
+    """The features of each line of a message as a number below the product of ``LEVELS``."""
+
+    def code(line, i):
+        marker = F.lit(0)
+        for k, pattern in reversed(list(enumerate(MARKERS))):
+            marker = F.when(line.rlike("(?i)" + pattern), k + 1).otherwise(marker)
+        length = F.least(F.floor(F.log2(F.length(line) / 16 + 1)).cast("int"), F.lit(LEVELS[1] - 1))
+        asks = F.rtrim(line).endswith("?").cast("int")
+        return marker + LEVELS[0] * (length + LEVELS[1] * (F.least(i, F.lit(LEVELS[2] - 1)) + LEVELS[2] * asks))
+
+    return F.transform(split_lines(text), code)
 
 
 def messages(df: DataFrame, conv_col: str, turn_col: str, text_col: str, role_col: str | None) -> DataFrame:
@@ -102,7 +131,7 @@ def messages(df: DataFrame, conv_col: str, turn_col: str, text_col: str, role_co
 
 
 def _ordered(rows: DataFrame, *columns: str) -> DataFrame:
-    order = ["__turn", "__h", *(["text"] if "text" in columns else [])]
+    order = ["__turn", "__h", *(c for c in ("text", "__r") if c in columns)]
     return rows.select(*SEGMENT, "__turn", "__h", *columns).repartition(*SEGMENT).sortWithinPartitions(*SEGMENT, *order)
 
 
@@ -141,28 +170,75 @@ def _emit(found, schema: pa.Schema):
         yield _batch(rows, schema)
 
 
-def best_paths(own: Hmm, seen: np.ndarray) -> np.ndarray:
-    """Best score from each first to each last role of consecutive messages."""
-    total = np.full((len(ROLES), len(ROLES)), -np.inf)
-    np.fill_diagonal(total, seen[0])
-    for row in seen[1:]:
-        total = (total[:, :, None] + own.after[None, :, :]).max(axis=1) + row[None, :]
-    return total
-
-
-def fixed_path(own: Hmm, seen: np.ndarray, first: int, last: int) -> list[int]:
-    """Best roles of consecutive messages whose first and last roles are given."""
-    score = np.full(len(ROLES), -np.inf)
-    score[first] = seen[0, first]
-    back = []
-    for row in seen[1:]:
-        step = score[:, None] + own.after
-        back.append(step.argmax(axis=0))
-        score = step.max(axis=0) + row
-    path = [last]
-    for b in reversed(back):
-        path.append(int(b[path[-1]]))
-    return path[::-1]
+def _side_by_side(sizes: np.ndarray):
+    """(positions of the segments that have a line i, number of their line i) for each i; longest segments first."""
+    order = np.argsort(-sizes, kind="stable")
+    begins, sorted_sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+    return order, [begins[: np.searchsorted(-sorted_sizes, -i, side="left")] + i for i in range(int(sorted_sizes[0]) if len(sizes) else 0)]
+
+
+def all_best_paths(own: Hmm, seen: np.ndarray, way: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per segment of consecutive lines the best score from each first to each last role."""
+    order, at = _side_by_side(sizes)
+    n, steps = len(ROLES), own.steps()
+    total = np.full((len(sizes), n, n), -np.inf)
+    total[:, range(n), range(n)] = seen[at[0]]
+    for rows in at[1:]:
+        m = len(rows)
+        total[:m] = (total[:m, :, :, None] + steps[way[rows]][:, None, :, :]).max(axis=2) + seen[rows][:, None, :]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
+def all_fixed_paths(own: Hmm, seen: np.ndarray, way: np.ndarray, sizes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Best role of every line of segments whose first and last roles are given."""
+    order, at = _side_by_side(sizes)
+    steps, score, back = own.steps(), np.full((len(sizes), len(ROLES)), -np.inf), []
+    every = np.arange(len(sizes))
+    score[every, first[order]] = seen[at[0], first[order]]
+    for rows in at[1:]:
+        m = len(rows)
+        step = score[:m, :, None] + steps[way[rows]]
+        back.append(step.argmax(axis=1))
+        score[:m] = step.max(axis=1) + seen[rows]
+    role, path = last[order].copy(), np.empty(len(seen), dtype=np.int64)
+    for rows, b in zip(reversed(at[1:]), reversed(back), strict=True):
+        m = len(rows)
+        path[rows] = role[:m]
+        role[:m] = b[every[:m], role[:m]]
+    path[at[0]] = role
+    return path
+
+
+def best_paths(own: Hmm, seen: np.ndarray, way: np.ndarray | None = None) -> np.ndarray:
+    """Best score from each first to each last role of consecutive lines."""
+    return all_best_paths(own, seen, np.zeros(len(seen), dtype=np.int64) if way is None else way, np.array([len(seen)]))[0]
+
+
+def fixed_path(own: Hmm, seen: np.ndarray, first: int, last: int, way: np.ndarray | None = None) -> list[int]:
+    """Best roles of consecutive lines whose first and last roles are given."""
+    way = np.zeros(len(seen), dtype=np.int64) if way is None else way
+    return all_fixed_paths(own, seen, way, np.array([len(seen)]), np.array([first]), np.array([last])).tolist()
+
+
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes of all lines, number of lines of each message)."""
+    lists = column.combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _groups(batches):
+    """Lists of (segment, its rows), of about ``TOGETHER`` lines."""
+    group, n = [], 0
+    for key, table in _runs(batches, len(SEGMENT)):
+        group.append((key, table))
+        n += len(table.column("__o").combine_chunks().flatten())
+        if n >= TOGETHER:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
 
 
 def chunk_ends(own: Hmm, matrices: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -189,60 +265,77 @@ def chunk_ends(own: Hmm, matrices: list[np.ndarray]) -> list[tuple[int, int]]:
 
 def estimate(rows: DataFrame, usable: Column | None = None) -> Hmm:
     """Count first roles, successions inside segments, and features per role, over all usable rows."""
-    n = len(ROLES)
+    n, size = len(ROLES), math.prod(LEVELS)
     index = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col("role")).cast("int") - 1
-    known = rows.withColumn("__r", F.when(index >= 0, index))
+    known = rows.withColumn("__r", F.when(index >= 0, index)).where("__r IS NOT NULL")
     known = known.where(usable) if usable is not None else known
-    features = known.where("__r IS NOT NULL").groupBy("__r", "__o").count().collect()
+    schema = pa.schema([("__k", pa.string()), ("__c", pa.int64()), ("__t", pa.int64()), ("__p", pa.int64()), ("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
+
+    def told(table):
+        codes, sizes = _codes(table.column("__o"))
+        marker, way = codes % LEVELS[0], ways(codes)
+        # The nearest line at or above that says who speaks: a marked one or the first of a message.
+        says = np.maximum.accumulate(np.where((marker > 0) | (way == 0), np.arange(len(codes)), 0))
+        roles = np.where(marker > 0, marker - 1, np.repeat(table.column("__r").to_numpy(), sizes))[says]
+        return codes, way, roles
 
     def successions(batches):
-        pairs, firsts = np.zeros((n, n), dtype=np.int64), np.zeros(n, dtype=np.int64)
-        for _, table in _runs(batches, len(SEGMENT)):
-            roles = [r for r in table.column("__r").to_pylist() if r is not None]
-            if roles and table.column("__c")[0].as_py() == 0:
-                firsts[roles[0]] += 1
-            for a, b in zip(roles, roles[1:], strict=False):
-                pairs[a, b] += 1
-        out = [(a, b, int(pairs[a, b])) for a in range(n) for b in range(n)] + [(-1, b, int(firsts[b])) for b in range(n)]
-        yield _batch(out, pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))
-
-    counted = _ordered(known, "__r").mapInArrow(successions, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
+        pairs, features = np.zeros((3, n, n), dtype=np.int64), np.zeros((n, size), dtype=np.int64)
+
+        def each():
+            for key, table in _runs(batches, len(SEGMENT)):
+                codes, way, roles = told(table)
+                np.add.at(features, (roles, codes), 1)
+                np.add.at(pairs, (way[1:], roles[:-1], roles[1:]), 1)
+                yield (*key, -1, int(roles[0]), int(roles[-1]), 1)
+            for kind, table in enumerate((*pairs, features)):
+                for a, b in zip(*np.nonzero(table), strict=True):
+                    yield (None, None, None, None, kind, int(a), int(b), int(table[a, b]))
+
+        yield from _emit(each(), schema)
+
+    counted = settled(_ordered(known, "__r", "__o").mapInArrow(successions, "__k string, __c bigint, __t bigint, __p bigint, kind int, a int, b int, n bigint"))
+    sums = counted.where("kind >= 0").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()
+    sums += counted.where("kind < 0 AND __c = 0").groupBy(F.lit(0).alias("kind"), F.lit(-1).alias("a"), F.col("a").alias("b")).agg(F.count("*").alias("n")).collect()
     first, after = np.full(n, PRIOR), np.full((n, n), PRIOR / 10)
     # Beliefs: users and assistants take turns, a system message comes first.
     first += (PRIOR, 2 * PRIOR, 0)
     after[0, 1] += PRIOR
     after[1, 2] += PRIOR
     after[2, 1] += PRIOR
-    for r in counted:
+    # A speaker goes on inside a message, unless a marker says otherwise.
+    within, turned = np.full((n, n), PRIOR / 10) + 10 * PRIOR * np.eye(n), after.copy()
+    for r in sums:
         if r["a"] < 0:
             first[r["b"]] += r["n"]
-        else:
-            after[r["a"], r["b"]] += r["n"]
+        elif r["kind"] < 3:
+            (after, within, turned)[r["kind"]][r["a"], r["b"]] += r["n"]
     shown = [np.full((n, k), PRIOR / k) for k in LEVELS]
     for role in range(n):
         shown[0][role, 0] += PRIOR
         shown[0][role, role + 1] += 20 * PRIOR
-    for r in features:
-        code = r["__o"]
-        for table, k in zip(shown, LEVELS, strict=True):
-            table[r["__r"], code % k] += r["count"]
+    for r in sums:
+        code = r["b"]
+        for table, k in zip(shown, LEVELS, strict=True) if r["kind"] == 3 else ():
+            table[r["a"], code % k] += r["n"]
             code //= k
-    # Markers keep their meaning, however few of the counted messages have one.
+    # Markers keep their meaning, however few of the counted lines have one.
     shown[0] = 0.5 * shown[0] / shown[0].sum(axis=1, keepdims=True)
     for role in range(n):
         shown[0][role, 0] += 0.3
         shown[0][role, role + 1] += 0.19
         shown[0][role] += 0.01 / LEVELS[0]
-    return Hmm(np.log(first / first.sum()), np.log(after / after.sum(axis=1, keepdims=True)), [np.log(t / t.sum(axis=1, keepdims=True)) for t in shown])
+    shares = [np.log(t / t.sum(axis=1, keepdims=True)) for t in (after, within, turned, *shown)]
+    return Hmm(np.log(first / first.sum()), shares[0], shares[3:], *shares[1:3])
 
 
 def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", role_col: str | None = "role", usable: Column | None = None) -> DataFrame:
-    """Per message: conversation, turn, recovered ``role`` and its ``rendered`` part.
+    """Per message and speaker in it: conversation, turn, recovered ``role``, its ``rendered`` part and its first ``line``.
 
     ``role_col``, if given, is only counted for the estimates, for rows that are
     ``usable``. A turn opens with ``<|im_start|>role`` and ends with ``<|im_end|>``;
-    messages of one role that follow each other share a turn. Markers are taken
-    off, and the two strings inside a text are broken up, so turns can't be forged.
+    lines of one role that follow each other share a turn, also across messages; a
+    message of one speaker gives one row. Markers are taken off, and the two strings inside a text are broken up, so turns can't be forged.
     """
     rows = settled(messages(df, conv_col, turn_col, text_col, role_col))
     own = estimate(rows, usable)
@@ -250,8 +343,15 @@ def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     def summed(batches):
         schema = pa.schema([*keys, ("m", pa.list_(pa.float64()))])
-        found = ((*key, best_paths(own, own.emissions(table.column("__o").to_numpy())).ravel()) for key, table in _runs(batches, len(SEGMENT)))
-        yield from _emit(found, schema)
+
+        def each():
+            for group in _groups(batches):
+                lines = [_codes(table.column("__o"))[0] for _, table in group]
+                codes = np.concatenate(lines)
+                for (key, _), m in zip(group, all_best_paths(own, own.emissions(codes), ways(codes), np.array([len(x) for x in lines])), strict=True):
+                    yield (*key, m.ravel())
+
+        yield from _emit(each(), schema)
 
     matrices = _ordered(rows, "__o").mapInArrow(summed, "__k string, __c bigint, __t bigint, __p bigint, m array<double>")
 
@@ -272,18 +372,36 @@ def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     conv_kind, turn_kind = (df.schema[c].dataType.simpleString() for c in (conv_col, turn_col))
 
     def rendered(batches):
-        for _, table in _runs(batches, len(SEGMENT)):
-            first, last, before, then = (table.column(c)[0].as_py() for c in ("first", "last", "before", "then"))
-            path = fixed_path(own, own.emissions(table.column("__o").to_numpy()), first, last)
-            around = [before, *path, then]
-            texts = []
-            for i, said in enumerate(table.column("clean").to_pylist()):
-                opens, closes = around[i] != around[i + 1], around[i + 1] != around[i + 2]
-                texts.append((f"<|im_start|>{ROLES[path[i]]}\n" if opens else "") + said + ("<|im_end|>\n" if closes else "\n"))
-            done = pa.table({"conv": table.column("conv"), "turn": table.column("turn"), "role": pa.array([ROLES[r] for r in path]), "rendered": pa.array(texts)})
-            yield from done.combine_chunks().to_batches()
-
-    clean = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), STRIP, ""), r"<\|im_(start|end)\|>", "<| im_$1 |>")
-    told = _ordered(joined.withColumn("clean", F.trim(clean)), "__o", "text", "conv", "turn", "clean", "first", "last", "before", "then")
-    out = told.mapInArrow(rendered, f"conv {conv_kind}, turn {turn_kind}, role string, rendered string")
-    return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "rendered")
+        for group in _groups(batches):
+            lines = [_codes(table.column("__o")) for _, table in group]
+            codes, sizes = np.concatenate([x for x, _ in lines]), np.array([len(x) for x, _ in lines])
+            ends = {c: np.array([table.column(c)[0].as_py() for _, table in group]) for c in ("first", "last", "before", "then")}
+            path = all_fixed_paths(own, own.emissions(codes), ways(codes), sizes, ends["first"], ends["last"])
+            begins = np.cumsum(sizes) - sizes
+            for k, (_, table) in enumerate(group):
+                own_path, own_codes = path[begins[k] : begins[k] + sizes[k]].tolist(), lines[k][0]
+                around, i = [int(ends["before"][k]), *own_path, int(ends["then"][k])], 0
+                rows, taken = [], []
+                for row, (said, cuts) in enumerate(zip(table.column("said").to_pylist(), table.column("cuts").to_pylist(), strict=True)):
+                    start = 0
+                    for at in range(len(said)):
+                        # around[j + 1] is the role of line j.
+                        if at + 1 < len(said) and around[i + at + 2] == around[i + at + 1]:
+                            continue
+                        role = around[i + at + 1]
+                        opens, closes = around[i + start] != role, role != around[i + at + 2]
+                        text = "\n".join(said[j][cuts[j] if own_codes[i + j] % LEVELS[0] == role + 1 else 0 :] for j in range(start, at + 1))
+                        text = text.strip(" ").replace("<|im_start|>", "<| im_start |>").replace("<|im_end|>", "<| im_end |>")
+                        rows.append((ROLES[role], (f"<|im_start|>{ROLES[role]}\n" if opens else "") + text + ("<|im_end|>\n" if closes else "\n"), start))
+                        taken.append(row)
+                        start = at + 1
+                    i += len(said)
+                told = table.select(["conv", "turn"]).take(pa.array(taken))
+                done = told.append_column("role", [pa.array([r[0] for r in rows])]).append_column("rendered", [pa.array([r[1] for r in rows])]).append_column("line", [pa.array([r[2] for r in rows], pa.int32())])
+                yield from done.combine_chunks().to_batches()
+
+    said = split_lines(F.col("text"))
+    cuts = F.transform(said, lambda x: F.length(x) - F.length(F.regexp_replace(x, STRIP, "")))
+    told = _ordered(joined.withColumn("said", said).withColumn("cuts", cuts), "__o", "text", "conv", "turn", "said", "cuts", "first", "last", "before", "then")
+    out = told.mapInArrow(rendered, f"conv {conv_kind}, turn {turn_kind}, role string, rendered string, line int")
+    return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "rendered", "line")

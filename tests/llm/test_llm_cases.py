@@ -259,3 +259,18 @@ def test_slices_hold_whole_texts():
     assert found == [t or "" for t in texts]
     large = [s.text(i).decode() for s in words.slices(pa.array(texts, pa.large_string())[1:], 100) for i in range(s.n)]
     assert large == found[1:]
+
+
+TALK = "conv_id bigint, turn bigint, role string, text string"
+
+
+def test_several_speakers_in_one_text(spark):
+    rows = [(1, 0, None, "User: hi\nAssistant: hello\nmore of it\nUser: thanks"), (2, 0, "user", "short?"), (2, 1, "assistant", "first\nsecond\nthird")]
+    out = chat.chat_turns(spark.createDataFrame(rows, TALK)).collect()
+    said = [(r["line"], r["role"], r["rendered"]) for r in sorted(out, key=lambda r: r["line"]) if r["conv_id"] == 1]
+    assert said == [
+        (0, "user", "<|im_start|>user\nhi<|im_end|>\n"),
+        (1, "assistant", "<|im_start|>assistant\nhello\nmore of it<|im_end|>\n"),
+        (3, "user", "<|im_start|>user\nthanks<|im_end|>\n"),
+    ]
+    assert [r["turn"] for r in out if r["conv_id"] == 2 and r["line"] == 0] == [0, 1] and sum(r["conv_id"] == 2 for r in out) == 2
