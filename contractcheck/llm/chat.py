@@ -18,7 +18,7 @@ text, then by the text; equal messages follow each other. Rows with a null
 conversation id are one conversation. A null text is one empty line and is rendered
 as an empty turn. A marker is taken off where the line gets the marker's role. In the
 estimates a line has the role of the last marker at or above it in its message, else
-the message's. Ties go to the role that comes first in ``ROLES``. Rows whose
+the message's; first roles count once a conversation, successions also across chunks. Ties go to the role that comes first in ``ROLES``. Rows whose
 role is unknown to ``ROLES`` do not take part in the estimates; without any known
 role the given priors alone decide. An empty table gives no rows.
 """
@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractcheck.functions.lineage import settled
@@ -264,7 +264,7 @@ def chunk_ends(own: Hmm, matrices: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def estimate(rows: DataFrame, usable: Column | None = None) -> Hmm:
-    """Count first roles, successions inside segments, and features per role, over all usable rows."""
+    """Count first roles, successions inside and between segments, and features per role, over all usable rows."""
     n, size = len(ROLES), math.prod(LEVELS)
     index = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col("role")).cast("int") - 1
     known = rows.withColumn("__r", F.when(index >= 0, index)).where("__r IS NOT NULL")
@@ -296,7 +296,9 @@ def estimate(rows: DataFrame, usable: Column | None = None) -> Hmm:
 
     counted = settled(_ordered(known, "__r", "__o").mapInArrow(successions, "__k string, __c bigint, __t bigint, __p bigint, kind int, a int, b int, n bigint"))
     sums = counted.where("kind >= 0").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()
-    sums += counted.where("kind < 0 AND __c = 0").groupBy(F.lit(0).alias("kind"), F.lit(-1).alias("a"), F.col("a").alias("b")).agg(F.count("*").alias("n")).collect()
+    # Between segments: the last role of one, the first of the next, none before a conversation's first.
+    ends = counted.where("kind < 0").withColumn("before", F.lag("b").over(Window.partitionBy("__k").orderBy("__c", "__t", "__p")))
+    sums += ends.groupBy(F.lit(0).alias("kind"), F.coalesce("before", F.lit(-1)).alias("a"), F.col("a").alias("b")).agg(F.count("*").alias("n")).collect()
     first, after = np.full(n, PRIOR), np.full((n, n), PRIOR / 10)
     # Beliefs: users and assistants take turns, a system message comes first.
     first += (PRIOR, 2 * PRIOR, 0)

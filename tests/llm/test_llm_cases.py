@@ -274,3 +274,17 @@ def test_several_speakers_in_one_text(spark):
         (3, "user", "<|im_start|>user\nthanks<|im_end|>\n"),
     ]
     assert [r["turn"] for r in out if r["conv_id"] == 2 and r["line"] == 0] == [0, 1] and sum(r["conv_id"] == 2 for r in out) == 2
+
+
+def test_chat_counts_do_not_depend_on_segments(spark, monkeypatch):
+    rows = [(1, i, "user" if i % 3 else "assistant", f"m{i}") for i in range(40)] + [(None, i % 3, "system" if i % 7 else "user", f"n{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, TALK)
+
+    def counted():
+        return chat.estimate(chat.messages(df, "conv_id", "turn", "text", "role"))
+
+    whole = counted()
+    monkeypatch.setattr(chat, "TURNS", 4)
+    monkeypatch.setattr(chat, "LIMIT", 5)
+    parts = counted()
+    assert np.allclose(whole.first, parts.first) and np.allclose(whole.after, parts.after)
