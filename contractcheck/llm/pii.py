@@ -5,7 +5,9 @@ and check (octets, Luhn, number of digits). Beside them, high-recall generators
 propose overlapping spans: things with an at-sign in any spelling, runs of seven
 or more digits, long mixed tokens. Boosted trees score each proposal from its
 format and its surroundings. Their labels are weak: proposals that a base rule
-accepts, or that hold an address, and tokens after words such as "key =", are positive. Format and
+accepts, or that hold an address, are positive; so are addresses spelled with at and dot,
+national phone numbers in groups, addresses and 7 to 15 digits right after a word such as
+"mail" or "phone", and tokens after words such as "key =". Format and
 surroundings are cut into few levels, so all proposals of all texts are counted
 per combination of levels, and the trees are fitted to these counts (there are at
 most as many as combinations, ``COMBINATIONS``). Half of the proposals, by a hash
@@ -49,10 +51,19 @@ GENERATORS: dict[str, str] = {
     "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+",
 }
 #: Words just before a proposal, by what they announce.
-CUES = ("mail", "phone|tel|call|fax|mobile", "card|visa|account|iban", "host|addr|ip", "key|token|secret|passw|credential")
+CUES = ("e?mail", "phone|tel|call|fax|mobile", "card|visa|account|iban", "host|addr|ip", "key|token|secret|passw|credential")
 CUE_CHARS = 24
 FEATURES = ("gen", "digits", "size", "marks", "lead", "left", "right", "cue")
-LEVELS = (3, 6, 4, 4, 4, 4, 4, 6)
+LEVELS = (3, 6, 4, 6, 4, 4, 4, 6)
+#: What labels proposals beside base formats: words right before one, spelled addresses, grouped digits that are no dates or years.
+CALLED = r"[^0-9a-z]*(?:(?:me|us|at|on|to|is|number|no|nr|address)\b[^0-9a-z]*)*$"
+MAIL_BEFORE = rf"\b(?:e-?mails?|mailto|contact){CALLED}"
+PHONE_BEFORE = rf"\b(?:phone|telephone|tel|call|fax|mobile|cell){CALLED}"
+AT_SIGN, DOT_SIGN = r" ?[\[({] ?(?:at|AT|@) ?[\])}] ?", r" ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?"
+SPELLED = rf"^{LOCAL}+(?:@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{DOT_SIGN})|{AT_SIGN}[A-Za-z0-9-]+(?:\.|{DOT_SIGN}))(?:[A-Za-z0-9-]+(?:\.|{DOT_SIGN}))*[A-Za-z]{{2,24}}$"
+GROUPED = r"^(?=.*[(./-]|0)(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{2,5}\)[ .-]?|[0-9]{2,5}[ ./-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}$"
+SHORT_GROUPED = r"^[0-9]{3}[.-][0-9]{4}$"
+DATED = r"^(?:(?:19|20)[0-9]{2}[ ./-][01]?[0-9][ ./-][0-3]?[0-9](?:[ .:/-]|$)|[0-3]?[0-9][ ./-][0-3]?[0-9][ ./-](?:19|20)[0-9]{2}(?:[ .:/-]|$)|(?:(?:19|20)[0-9]{2}[ ./-]*)+$|[0-9]+(?:\.[0-9]+){3}$)"
 COMBINATIONS = math.prod(LEVELS) * 4
 ROUNDS, RATE, PRECISION, LEAST = 40, 0.3, 0.9, 20
 
@@ -172,12 +183,17 @@ def _proposals(df: DataFrame) -> DataFrame:
             def side(c):
                 return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike("^[A-Za-z0-9]$"), 1).when(c.rlike("^[\"'=:(\\[<]$"), 2).otherwise(3)
 
-            marks = F.when(~said.rlike("[ ().:/-]"), 0).when(~said.rlike("[().:/]"), 1).when(~said.rlike("[ ()/-]"), 2).otherwise(3)
+            grouped = (said.rlike(GROUPED) | said.rlike(SHORT_GROUPED)) & ~said.rlike(DATED) & n_digits.between(7, 15)
+            marks = F.when(grouped, 4).when(said.rlike(SPELLED), 5).when(~said.rlike("[ ().:/-]"), 0).when(~said.rlike("[().:/]"), 1).when(~said.rlike("[ ()/-]"), 2).otherwise(3)
             lead = F.when(said.rlike("^[0-9]"), 0).when(said.rlike("^[A-Za-z]"), 1).when(said.startswith("+"), 2).otherwise(3)
             within = F.lit(False)
             for kind in {"contact": ("email",), "number": ("ip", "card", "phone")}.get(name, ()):
                 within = within | (said.rlike(f"^(?:{BASE[kind]})$") & F.coalesce(_valid(kind, s), F.lit(False)))
-            mine = {"contact": said.rlike(BASE["email"]), "number": within | said.rlike(IP_INSIDE), "secret": cue == len(CUES)}[name]
+            mine = {
+                "contact": said.rlike(BASE["email"]) | said.rlike(SPELLED) | before.rlike(MAIL_BEFORE),
+                "number": within | said.rlike(IP_INSIDE) | grouped | (before.rlike(PHONE_BEFORE) & n_digits.between(7, 15)),
+                "secret": cue == len(CUES),
+            }[name]
             return F.struct(
                 F.lit(g).alias("gen"), s["start"].alias("start"), s["end"].alias("end"), said.alias("text"), within.alias("within"),
                 mine.alias("true"),

@@ -288,3 +288,13 @@ def test_chat_counts_do_not_depend_on_segments(spark, monkeypatch):
     monkeypatch.setattr(chat, "LIMIT", 5)
     parts = counted()
     assert np.allclose(whole.first, parts.first) and np.allclose(whole.after, parts.after)
+
+
+def test_what_base_formats_miss_is_redacted(spark):
+    extra = [x for i in range(30) for x in (f"({400 + i}) 555-{2600 + i}", f"{300 + i}-555-{1600 + i}", f"joe{i} [at] example [dot] com", f"41555526{10 + i}", f"mary{i}@localhost")]
+    told = ["filler text " + ("phone: " if x.isdigit() else "email: " if "mary" in x else "see ") + x + " end" for x in extra]
+    told += [f"on 2024-01-15 10:22 or 15.01.2024 in 2019 2020 2021 or 1234567890 of {i}" for i in range(30)]
+    out = [r["text"] for r in pii.redacted(spark.createDataFrame(list(enumerate(told)), "doc_id bigint, text string")).collect()]
+    assert not [t for t in out if any(x in t for x in extra)]
+    assert sum("[NUMBER]" in t for t in out) == 90 and sum("[CONTACT]" in t for t in out) == 60
+    assert sum("on 2024-01-15 10:22 or 15.01.2024 in 2019 2020 2021 or 1234567890 of" in t for t in out) == 30
