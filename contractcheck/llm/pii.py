@@ -10,9 +10,11 @@ national phone numbers in groups, addresses and 7 to 15 digits right after a wor
 "mail" or "phone", and tokens after words such as "key =". Format and
 surroundings are cut into few levels, so all proposals of all texts are counted
 per combination of levels, and the trees are fitted to these counts (there are at
-most as many as combinations, ``COMBINATIONS``). Half of the proposals, by a hash
-of their text, are held back to calibrate: per generator the lowest threshold
-whose proposals are right often enough selects what is redacted.
+most as many as combinations, ``COMBINATIONS``). Each half of the proposals, by a hash
+of their text, is held back in turn and scored by trees fitted to the other one, to
+calibrate: per generator the lowest threshold whose proposals are right often enough
+selects what is redacted. A proposal with a positive label is selected whatever else the
+table holds; the threshold only adds those without one.
 
 The trees become SQL expressions; texts never leave the JVM. All positions are
 code points, ends exclusive. Patterns are possessive and anchored to the start of
@@ -65,7 +67,7 @@ GROUPED = r"^(?=.*[(./-]|0)(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{2,5}\)[ .-]?|[0-9]{
 SHORT_GROUPED = r"^[0-9]{3}[.-][0-9]{4}$"
 DATED = r"^(?:(?:19|20)[0-9]{2}[ ./-][01]?[0-9][ ./-][0-3]?[0-9](?:[ .:/-]|$)|[0-3]?[0-9][ ./-][0-3]?[0-9][ ./-](?:19|20)[0-9]{2}(?:[ .:/-]|$)|(?:(?:19|20)[0-9]{2}[ ./-]*)+$|[0-9]+(?:\.[0-9]+){3}$)"
 COMBINATIONS = math.prod(LEVELS) * 4
-ROUNDS, RATE, PRECISION, LEAST = 40, 0.3, 0.9, 20
+ROUNDS, RATE, PRECISION = 40, 0.3, 0.9
 
 
 def _running(gaps: Column) -> Column:
@@ -231,7 +233,7 @@ class Trees:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
     def chosen(self, p: Column, score: Column) -> Column:
-        return score >= F.element_at(F.array(*[F.lit(t) for t in self.thresholds]), p["gen"] + 1)
+        return p["true"] | (score >= F.element_at(F.array(*[F.lit(t) for t in self.thresholds]), p["gen"] + 1))
 
 
 def _best_split(rows: list[tuple], residual: list[float], hessian: list[float], inside: list[int]) -> tuple[float, tuple]:
@@ -276,28 +278,46 @@ def boost(counts: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS,
     return Trees(start, splits, [2.0] * len(GENERATORS))
 
 
-def calibrate(trees: Trees, held: list[tuple[tuple[int, ...], int, int]], precision: float = PRECISION, least: int = LEAST) -> Trees:
-    """Per generator the lowest score above which held-back proposals are right often enough.
+def thresholds(scored: list[tuple[int, float, int, int]], precision: float = PRECISION) -> list[float]:
+    """Per generator, from (generator, score, proposals, true ones), the lowest score above which proposals are right often enough.
 
-    The share is smoothed by one wrong proposal. With fewer than ``least`` held-back
-    proposals of a generator there is nothing to calibrate on, and it selects nothing.
+    There is no least number of proposals. Where none is right often enough,
+    2.0 stands for no score at all.
     """
-    thresholds = []
+    out = []
     for g in range(len(GENERATORS)):
-        scored = sorted(((trees.score(levels), n, pos) for levels, n, pos in held if levels[0] == g), reverse=True)
+        own = sorted((x[1:] for x in scored if x[0] == g), reverse=True)
         total = right = 0
         threshold = 2.0
-        if sum(n for _, n, _ in scored) >= least:
-            for i, (score, n, pos) in enumerate(scored):
-                total, right = total + n, right + pos
-                if (i + 1 == len(scored) or scored[i + 1][0] < score) and right / (total + 1) >= precision:
-                    threshold = score - 1e-9
-        thresholds.append(threshold)
-    return Trees(trees.start, trees.splits, thresholds)
+        for i, (score, n, pos) in enumerate(own):
+            total, right = total + n, right + pos
+            if (i + 1 == len(own) or own[i + 1][0] < score) and right / total >= precision:
+                threshold = score - 1e-9
+        out.append(threshold)
+    return out
+
+
+def calibrate(trees: Trees, held: list[tuple[tuple[int, ...], int, int]], precision: float = PRECISION) -> Trees:
+    """The trees with thresholds from proposals that they were not fitted to."""
+    return Trees(trees.start, trees.splits, thresholds([(levels[0], trees.score(levels), n, pos) for levels, n, pos in held], precision))
+
+
+def cross_fitted(halves: list[list[tuple[tuple[int, ...], int, int]]], precision: float = PRECISION) -> Trees:
+    """Trees fitted to all counts; thresholds from each half, scored by trees fitted to the other."""
+    scored = []
+    for k in (0, 1):
+        other = boost(halves[1 - k])
+        scored += [(levels[0], other.score(levels), n, pos) for levels, n, pos in halves[k]]
+    counts: dict[tuple[int, ...], tuple[int, int]] = {}
+    for levels, n, pos in halves[0] + halves[1]:
+        a, b = counts.get(levels, (0, 0))
+        counts[levels] = (a + n, b + pos)
+    fitted = boost([(levels, *x) for levels, x in sorted(counts.items())])
+    return Trees(fitted.start, fitted.splits, thresholds(scored, precision))
 
 
 def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Trees:
-    """Count all proposals by combination of levels; fit on one half, calibrate on the other."""
+    """Count all proposals by combination of levels; fit and calibrate on both halves."""
     read = _proposals(_found(df.select(F.col(text_col).alias("t")), "t")).select(F.explode("proposals").alias("p"))
     half = F.pmod(F.xxhash64(F.col("p.text")), F.lit(2))
     counted = (
@@ -306,8 +326,7 @@ def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -
         .collect()
     )
     rows = sorted((r["half"], tuple(r[f] for f in FEATURES), r["n"], r["pos"]) for r in counted)
-    fitted = boost([r[1:] for r in rows if r[0] == 0])
-    return calibrate(fitted, [r[1:] for r in rows if r[0] == 1], precision)
+    return cross_fitted([[r[1:] for r in rows if r[0] == k] for k in (0, 1)], precision)
 
 
 def _selected(df: DataFrame, text: str, trees: Trees) -> DataFrame:
@@ -317,7 +336,7 @@ def _selected(df: DataFrame, text: str, trees: Trees) -> DataFrame:
     kinds = F.array(*[F.lit(g) for g in GENERATORS])
     scored = F.transform(
         F.filter("proposals", lambda p: ~p["within"]),
-        lambda p: F.struct(F.element_at(kinds, p["gen"] + 1).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), trees.column(p).alias("score"), p["gen"].alias("gen")),
+        lambda p: F.struct(F.element_at(kinds, p["gen"] + 1).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), trees.column(p).alias("score"), p["gen"].alias("gen"), p["true"].alias("true")),
     )
     return df.withColumn("base", base).withColumn("extra", F.filter(scored, lambda p: trees.chosen(p, p["score"])))
 
@@ -326,7 +345,7 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tr
     """Per input row: id, ``base`` spans and ``extra`` spans that the trees select."""
     trees = trees or train(df, text_col)
     named = df.select(F.col(id_col).alias("__llm_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return _selected(named, "t", trees).select(F.col("__llm_id").alias(id_col), "base", F.transform("extra", lambda p: p.dropFields("gen")).alias("extra"))
+    return _selected(named, "t", trees).select(F.col("__llm_id").alias(id_col), "base", F.transform("extra", lambda p: p.dropFields("gen", "true")).alias("extra"))
 
 
 def redacted(df: DataFrame, text_col: str = "text", length_col: str | None = None, trees: Trees | None = None) -> DataFrame:

@@ -298,3 +298,14 @@ def test_what_base_formats_miss_is_redacted(spark):
     assert not [t for t in out if any(x in t for x in extra)]
     assert sum("[NUMBER]" in t for t in out) == 90 and sum("[CONTACT]" in t for t in out) == 60
     assert sum("on 2024-01-15 10:22 or 15.01.2024 in 2019 2020 2021 or 1234567890 of" in t for t in out) == 30
+
+
+def test_a_secret_does_not_depend_on_the_size_of_the_table(spark):
+    leaked = "api key = Zx81kQ7LmN02pRtVwY55aB"
+
+    def found(texts):
+        out = pii.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+        return {r["text"] for r in out.where("doc_id < 3").collect()}
+
+    alone, copies = found([leaked]), found([leaked] * 300 + [f"see Qw{i}ertyuiopas{i}dfghjkl and more" for i in range(3)])
+    assert alone == copies == {"api key = [SECRET]"}
