@@ -9,6 +9,13 @@ compared. The same bound on c leaves less than ``b - t / (2 - t) * b`` bigrams o
 notice out, so a text or passage without any of the bigrams that :func:`telling`
 picks reaches no notice and is not looked at further. DataFrame functions only, one pass, no shuffle.
 
+Notices inside longer lines or paragraphs, or wrapped under other lines, are found in
+windows: wherever a telling bigram of a notice stands among the words of the whole text
+(here without the dots at word ends), the window that puts it where the notice has it,
+as long as the notice, is compared too. Of overlapping windows the one that shares most
+bigrams stays. A window and a passage one of which holds the other are the same find:
+the longer one stays, the passage if they are equal.
+
 Defined results: null and empty texts have no licence; a passage of one word has
 that word as its only bigram. The best notice wins, ties go to the last name in
 code point order. Equal passages of a text count once. Repeated rows give repeated
@@ -52,6 +59,11 @@ def bigrams_of(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:]))) if len(words) > 1 else words
 
 
+def undotted(text: str) -> str:
+    """The text without dots at word ends, as windows are compared."""
+    return re.sub(r"[.]+(?![a-z0-9.])", "", text.translate(str.maketrans(UPPER, LOWER)))
+
+
 def telling(listed: list[list[str]], threshold: float) -> list[str]:
     """Bigrams of which every passage that reaches ``threshold`` with a notice has one.
 
@@ -82,10 +94,57 @@ def passages(normal: Column, needed: str) -> Column:
     return F.filter(F.array_distinct(F.concat(F.transform(lines, lambda x: F.trim(x)), joined, F.array(whole))), lambda p: p.rlike(needed))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _spans(m: Column) -> Column:
+    return F.concat(F.lit(" "), m["said"], F.lit(" "))
+
+
+def windows(words: Column, listed: list[tuple[str, str, list[str], int]], anchors: dict[str, list[tuple[int, int]]], threshold: float, agrees=None) -> Column:
+    """Array of (dice, licence, family, said) of the windows that reach a notice: name, family, bigrams, number of words."""
+    kind = "array<struct<k:int,o:int>>"
+    starts = F.create_map(*[x for g, at in sorted(anchors.items()) for x in (F.lit(g), F.array(*[F.struct(F.lit(k).alias("k"), F.lit(o).alias("o")) for k, o in at]).cast(kind))])
+    sizes, grams = F.array(*[F.lit(n) for *_, n in listed]), F.array(*[F.array(*[F.lit(g) for g in own]) for _, _, own, _ in listed])
+    names, families = F.array(*[F.lit(x[0]) for x in listed]), F.array(*[F.lit(x[1]) for x in listed])
+
+    def found(w):
+        n = F.size(w)
+        pairs = F.zip_with(F.slice(w, 1, F.greatest(n - 1, F.lit(0))), F.slice(w, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+        hits = F.filter(F.transform(pairs, lambda g, i: F.struct(g.alias("g"), i.alias("i"))), lambda h: h["g"].isin(sorted(anchors)))
+        placed = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(starts, h["g"]), lambda a: F.struct(a["k"].alias("k"), (h["i"] - a["o"]).alias("s"))))))
+
+        def scored(c):
+            size = F.element_at(sizes, c["k"] + 1)
+            begin, end = F.greatest(c["s"], F.lit(0)), F.least(c["s"] + size, n)
+
+            def compared(said):
+                own, mine = F.element_at(grams, c["k"] + 1), _bigrams(said)
+                shared = F.size(F.array_intersect(mine, own))
+                ok = agrees(said, c["k"]) if agrees else F.lit(True)
+                dice = F.when(ok, 2.0 * shared / (F.size(mine) + F.size(own))).otherwise(0.0)
+                return F.struct(shared.alias("shared"), dice.alias("dice"), F.element_at(names, c["k"] + 1).alias("licence"), F.element_at(families, c["k"] + 1).alias("family"), begin.alias("begin"), end.alias("end"), F.array_join(said, " ").alias("said"))
+
+            return _let(F.slice(w, begin + 1, end - begin), compared)
+
+        def rank(m):
+            return F.struct(m["shared"], m["dice"], m["licence"], -m["begin"])
+
+        reached = F.filter(F.transform(placed, scored), lambda m: m["dice"] >= threshold)
+        return _let(reached, lambda every: F.filter(every, lambda m: ~F.exists(every, lambda o: (o["begin"] < m["end"]) & (m["begin"] < o["end"]) & (rank(o) > rank(m)))))
+
+    kept = _let(words, found)
+    return F.transform(kept, lambda m: F.struct(m["dice"].alias("dice"), m["licence"].alias("licence"), m["family"].alias("family"), m["said"].alias("said")))
+
+
 def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: dict[str, tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Per input row: id, ``licence``, ``family``, ``dice`` (null without one), ``n_passages`` that match any."""
     notices = notices or NOTICES
     listed = [(name, family, bigrams_of(text)) for name, (family, text) in notices.items()]
+    bare = {name: re.sub("[^a-z0-9.]+", " ", undotted(text)).strip(" ").split(" ") for name, (_, text) in notices.items()}
+    sought = [(name, family, bigrams_of(" ".join(bare[name])), len(bare[name])) for name, (family, _) in notices.items()]
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     fewest, most = min(len(b) for *_, b in listed) * low, max(len(b) for *_, b in listed) * high
 
@@ -102,13 +161,32 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", noti
             tried.append(F.when(fits, F.struct(dice.alias("dice"), F.lit(name).alias("licence"), F.lit(family).alias("family"))))
         return F.when(n.between(fewest, most), F.greatest(*tried))
 
-    grams = telling([own for *_, own in listed], threshold)
-    told = (r"[^a-z0-9.]++".join(map(re.escape, g.split(" "))) for g in grams)
+    picked = telling([own for *_, own, _ in sought], threshold)
+    anchors: dict[str, list[tuple[int, int]]] = {}
+    for k, (name, *_) in enumerate(sought):
+        for o, g in enumerate(zip(bare[name], bare[name][1:])):
+            if " ".join(g) in picked:
+                anchors.setdefault(" ".join(g), []).append((k, o))
+    grams = sorted({undotted(g) for g in telling([own for *_, own in listed], threshold)} | set(picked))
+    told = (r"\.*+[^a-z0-9.]++".join(map(re.escape, g.split(" "))) + r"\.*+" for g in grams)
     first = "|".join(sorted({re.escape(g[0]) for g in grams}))
     needed = f"(?<![a-z0-9.])(?={first})(?:{'|'.join(told)})(?![a-z0-9.])"
     rows = df.select(F.col(id_col), F.translate(text_col, UPPER, LOWER).alias("__t"))
     rows = rows.select(id_col, F.when(F.col("__t").rlike(needed), F.regexp_replace("__t", "[^a-z0-9.\n]+", " ")).alias("__n"))
-    rows = rows.select(id_col, F.coalesce(F.when(F.col("__n").isNotNull(), passages(F.col("__n"), needed)), F.array().cast("array<string>")).alias("__p"))
-    matched = F.filter(F.transform("__p", lambda p: best(F.split(p, " "))), lambda m: m.isNotNull() & (m["dice"] >= threshold))
-    found = rows.select(id_col, matched.alias("__m")).select(id_col, F.array_max("__m").alias("__b"), F.size("__m").cast("bigint").alias("n_passages"))
+    none = F.array().cast("array<struct<dice:double,licence:string,family:string,said:string>>")
+    bared = F.regexp_replace(F.trim(F.regexp_replace("__n", "[ \n]+", " ")), r"\.+(?= |$)", "")
+
+    def own(p):
+        return _let(best(F.split(p, " ")), lambda m: F.struct(m["dice"].alias("dice"), m["licence"].alias("licence"), m["family"].alias("family"), F.regexp_replace(p, r"\.+(?= |$)", "").alias("said")))
+
+    matched = F.filter(F.transform(passages(F.col("__n"), needed), own), lambda m: m["dice"] >= threshold)
+    rows = rows.select(
+        id_col,
+        F.coalesce(F.when(F.col("__n").isNotNull(), matched), none).alias("__m"),
+        F.coalesce(F.when(F.col("__n").isNotNull(), windows(F.filter(F.split(bared, " "), lambda x: x != ""), sought, anchors, threshold)), none).alias("__w"),
+    )
+    # Of a passage and a window of which one holds the other, the longer one.
+    left = F.filter("__m", lambda m: ~F.exists("__w", lambda w: _spans(w).contains(_spans(m)) & (F.length(w["said"]) > F.length(m["said"]))))
+    more = F.filter("__w", lambda w: ~F.exists("__m", lambda m: _spans(m).contains(_spans(w))))
+    found = rows.select(id_col, F.concat(left, F.array_distinct(more)).alias("__m")).select(id_col, F.array_max("__m").alias("__b"), F.size("__m").cast("bigint").alias("n_passages"))
     return found.select(id_col, F.col("__b.licence").alias("licence"), F.col("__b.family").alias("family"), F.col("__b.dice").alias("dice"), "n_passages")

@@ -309,3 +309,17 @@ def test_a_secret_does_not_depend_on_the_size_of_the_table(spark):
 
     alone, copies = found([leaked]), found([leaked] * 300 + [f"see Qw{i}ertyuiopas{i}dfghjkl and more" for i in range(3)])
     assert alone == copies == {"api key = [SECRET]"}
+
+
+def test_notices_inside_longer_texts(spark):
+    told = {
+        "Copyright (c) 2020 Acme. All rights reserved.": "All-rights-reserved",
+        "see all rights reserved and so on for a long line of other words that follow here": "All-rights-reserved",
+        "Copyright 2020 Foo. Licensed under the Apache License, Version 2.0. See LICENSE for details.": "Apache-2.0",
+        "Copyright 2019 Foo\n" + licences.NOTICES["GPL-3.0-long"][1].replace(" under ", "\nunder ").replace(" Free ", "\nFree "): "GPL-3.0-long",
+        ("some words before it. " * 20 + licences.NOTICES["Apache-2.0-long"][1] + " and words after it " * 20): "Apache-2.0-long",
+        "nothing of that kind is said here, all rights are reserved elsewhere": None,
+    }
+    out = {r["text"]: r for r in licences.licences(spark.createDataFrame([(t,) for t in told], "text string"), "text").collect()}
+    assert {t: r["licence"] for t, r in out.items()} == told
+    assert [out[t]["n_passages"] for t in told] == [1, 1, 1, 1, 1, 0]
