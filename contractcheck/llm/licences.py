@@ -16,6 +16,9 @@ as long as the notice, is compared too. Of overlapping windows the one that shar
 bigrams stays. A window and a passage one of which holds the other are the same find:
 the longer one stays, the passage if they are equal.
 
+A notice wins only where the words that change the terms (NC, ND, SA, Lesser, Affero) are
+the same and its version is there.
+
 Defined results: null and empty texts have no licence; a passage of one word has
 that word as its only bigram. The best notice wins, ties go to the last name in
 code point order. Equal passages of a text count once. Repeated rows give repeated
@@ -49,7 +52,43 @@ NOTICES: dict[str, tuple[str, str]] = {
     "CC-BY-NC-4.0": ("noncommercial", "Licensed under CC BY-NC 4.0."),
     "CC-BY-NC-4.0-long": ("noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "All-rights-reserved": ("reserved", "All rights reserved."),
+    "CC-BY-4.0-long": ("attribution", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "CC-BY-SA-4.0-long": ("copyleft", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-ND-4.0": ("noderivatives", "Licensed under CC BY-ND 4.0."),
+    "CC-BY-ND-4.0-long": ("noderivatives", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-SA-4.0": ("noncommercial", "Licensed under CC BY-NC-SA 4.0."),
+    "CC-BY-NC-SA-4.0-long": ("noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-ND-4.0": ("noncommercial", "Licensed under CC BY-NC-ND 4.0."),
+    "CC-BY-NC-ND-4.0-long": ("noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC-BY-3.0-long": ("attribution", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    "CC-BY-SA-3.0-long": ("copyleft", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    "GPL-2.0": ("copyleft", "This work is licensed under the GNU General Public License, version 2."),
+    "GPL-2.0-long": ("copyleft", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    "LGPL-2.1": ("copyleft", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    "LGPL-2.1-long": ("copyleft", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    "LGPL-3.0-long": ("copyleft", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "AGPL-3.0-long": ("copyleft", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "BSD-2-Clause-long": ("permissive", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"),
+    "BSD-3-Clause-long": ("permissive", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    "MIT-full": ("permissive", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
+    "ISC": ("permissive", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "Unlicense": ("public", "This is free and unencumbered software released into the public domain."),
+    "EPL-2.0": ("copyleft", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "EPL-1.0": ("copyleft", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+}
+#: SPDX lines by family.
+SPDX = {
+    "permissive": ("Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"),
+    "copyleft": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "EPL-1.0", "EPL-2.0", "CC-BY-SA-4.0"),
+    "public": ("CC0-1.0", "Unlicense"),
+    "attribution": ("CC-BY-4.0",),
+    "noderivatives": ("CC-BY-ND-4.0",),
+    "noncommercial": ("CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"),
 }
+NOTICES |= {f"{x}-spdx": (family, f"SPDX-License-Identifier: {x}") for family, ids in SPDX.items() for x in ids}
+#: Words that change the terms, as the words that say them. A notice wins only where the text has the same of them, and its version.
+TERMS = {"nc": ("nc", "noncommercial", "commercial"), "nd": ("nd", "noderivatives", "noderivs", "derivatives"), "sa": ("sa", "sharealike", "alike"), "lesser": ("lesser", "lgpl"), "affero": ("affero", "agpl")}
+VERSION = r"^v?([1-9](?:\.[0-9])?)\.*$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,6 +103,25 @@ def undotted(text: str) -> str:
     return re.sub(r"[.]+(?![a-z0-9.])", "", text.translate(str.maketrans(UPPER, LOWER)))
 
 
+def terms_of(words: list[str]) -> tuple[list[str], list[str]]:
+    """The words of :data:`TERMS` and the version that a notice has; numbers of clauses are no versions."""
+    terms = [t for t, said in TERMS.items() if set(said) & set(words)]
+    found = [m[1].removesuffix(".0") for a, w in zip(["", *words], words) if (m := re.match(VERSION, w)) and ("." in m[1] or a == "version")]
+    return terms, list(dict.fromkeys(found))
+
+
+def _agrees(words: Column, terms: Column, versions: Column) -> Column:
+    """Whether words have just these terms, and all these versions."""
+    said = [F.when(F.arrays_overlap(words, F.array(*[F.lit(w) for w in how])), F.lit(t)) for t, how in TERMS.items()]
+    mine = F.filter(F.array(*said), lambda t: t.isNotNull())
+    numbers = F.transform(F.filter(words, lambda w: w.rlike(VERSION)), lambda w: F.regexp_replace(F.regexp_extract(w, VERSION, 1), r"\.0$", ""))
+    return (F.size(F.array_except(mine, terms)) == 0) & (F.size(F.array_except(terms, mine)) == 0) & (F.size(F.array_except(versions, numbers)) == 0)
+
+
+def _texts(of: list[str]) -> Column:
+    return F.array(*[F.lit(x) for x in of]).cast("array<string>")
+
+
 def telling(listed: list[list[str]], threshold: float) -> list[str]:
     """Bigrams of which every passage that reaches ``threshold`` with a notice has one.
 
@@ -124,7 +182,8 @@ def windows(words: Column, listed: list[tuple[str, str, list[str], int]], anchor
                 own, mine = F.element_at(grams, c["k"] + 1), _bigrams(said)
                 shared = F.size(F.array_intersect(mine, own))
                 ok = agrees(said, c["k"]) if agrees else F.lit(True)
-                dice = F.when(ok, 2.0 * shared / (F.size(mine) + F.size(own))).otherwise(0.0)
+                dice = 2.0 * shared / (F.size(mine) + F.size(own))
+                dice = F.when((dice >= threshold) & ok, dice).otherwise(0.0)
                 return F.struct(shared.alias("shared"), dice.alias("dice"), F.element_at(names, c["k"] + 1).alias("licence"), F.element_at(families, c["k"] + 1).alias("family"), begin.alias("begin"), end.alias("end"), F.array_join(said, " ").alias("said"))
 
             return _let(F.slice(w, begin + 1, end - begin), compared)
@@ -148,18 +207,29 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", noti
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     fewest, most = min(len(b) for *_, b in listed) * low, max(len(b) for *_, b in listed) * high
 
+    limits = {name: terms_of(words) for name, words in bare.items()}
+    every_term, every_version = (F.array(*[_texts(limits[name][i]) for name in notices]) for i in (0, 1))
+
+    def agrees(words, k):
+        return _agrees(words, F.element_at(every_term, k + 1), F.element_at(every_version, k + 1))
+
+    names, families, every = _texts([x[0] for x in listed]), _texts([x[1] for x in listed]), F.array(*[_texts(x[2]) for x in listed])
+    numbers = F.array(*[F.lit(k) for k in range(len(listed))])
+
     def best(words):
-        grams = _bigrams(words)
-        return F.transform(F.array(grams), against)[0]
+        return _let(_bigrams(words), lambda grams: F.when(F.size(grams).between(fewest, most), against(words, grams)))
 
-    def against(grams):
+    def against(words, grams):
         n = F.size(grams)
-        tried = []
-        for name, family, own in listed:
-            fits = n.between(low * len(own), high * len(own))
-            dice = 2.0 * F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in own]))) / (n + len(own))
-            tried.append(F.when(fits, F.struct(dice.alias("dice"), F.lit(name).alias("licence"), F.lit(family).alias("family"))))
-        return F.when(n.between(fewest, most), F.greatest(*tried))
+
+        def tried(k):
+            own = F.element_at(every, k + 1)
+            fits = n.between(low * F.size(own), high * F.size(own))
+            dice = F.when(fits, 2.0 * F.size(F.array_intersect(grams, own)) / (n + F.size(own))).otherwise(0.0)
+            return F.struct(dice.alias("dice"), F.element_at(names, k + 1).alias("licence"), F.element_at(families, k + 1).alias("family"), k.alias("k"))
+
+        reached = F.filter(F.transform(numbers, tried), lambda m: m["dice"] >= threshold)
+        return F.array_max(F.filter(reached, lambda m: agrees(words, m["k"])))
 
     picked = telling([own for *_, own, _ in sought], threshold)
     anchors: dict[str, list[tuple[int, int]]] = {}
@@ -183,7 +253,7 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", noti
     rows = rows.select(
         id_col,
         F.coalesce(F.when(F.col("__n").isNotNull(), matched), none).alias("__m"),
-        F.coalesce(F.when(F.col("__n").isNotNull(), windows(F.filter(F.split(bared, " "), lambda x: x != ""), sought, anchors, threshold)), none).alias("__w"),
+        F.coalesce(F.when(F.col("__n").isNotNull(), windows(F.filter(F.split(bared, " "), lambda x: x != ""), sought, anchors, threshold, agrees)), none).alias("__w"),
     )
     # Of a passage and a window of which one holds the other, the longer one.
     left = F.filter("__m", lambda m: ~F.exists("__w", lambda w: _spans(w).contains(_spans(m)) & (F.length(w["said"]) > F.length(m["said"]))))

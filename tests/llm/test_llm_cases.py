@@ -323,3 +323,21 @@ def test_notices_inside_longer_texts(spark):
     out = {r["text"]: r for r in licences.licences(spark.createDataFrame([(t,) for t in told], "text string"), "text").collect()}
     assert {t: r["licence"] for t, r in out.items()} == told
     assert [out[t]["n_passages"] for t in told] == [1, 1, 1, 1, 1, 0]
+
+
+def test_licence_versions_and_terms_agree(spark):
+    told = {
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0-long",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 7.": None,
+        licences.NOTICES["GPL-2.0-long"][1]: "GPL-2.0-long",
+        "// SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1-only-spdx",
+        licences.NOTICES["ISC"][1]: "ISC",
+        licences.NOTICES["MIT-full"][1]: "MIT-full",
+        licences.NOTICES["BSD-2-Clause-long"][1]: "BSD-2-Clause-long",
+    }
+    out = {r["text"]: r for r in licences.licences(spark.createDataFrame([(t,) for t in told], "text string"), "text").collect()}
+    assert {t: r["licence"] for t, r in out.items()} == told
+    every = licences.licences(spark.createDataFrame(list((n, t) for n, (_, t) in licences.NOTICES.items()), "name string, text string"), "name").collect()
+    assert {r["name"]: r["licence"] for r in every} == {n: n for n in licences.NOTICES}
