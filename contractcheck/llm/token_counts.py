@@ -9,7 +9,8 @@ are merged, each distinct one once per batch.
 
 The pre-token pattern runs in the ``regex`` module. Letters that its Unicode
 tables and the tokenizer's know differently all lie outside :data:`KNOWN`; a text
-with any character outside goes through the tokenizer as a whole.
+with any character outside is cut by the tokenizer's own pre-tokenizer instead, and
+its pre-tokens take the same way.
 
 Defined results: a null or empty text has 0 tokens. Special strings inside a text
 count as the one token that the library makes of them. No text is cut short.
@@ -86,15 +87,17 @@ class Counts:
         if not text:
             return 0
         plain = text.isascii() and "\0" not in text
-        if not plain and self.unknown.search(text):
-            return self.encode([text])[0]
+        strange = not plain and self.unknown.search(text)
         parts, specials = [text], 0
         if self.cut is not None and any(s in text for s in self.special):
             parts = self.cut.split(text)
             specials = len(parts) - 1
         pieces: Counter = Counter()
         for part in parts:
-            pieces.update((self.ascii_pieces if plain else self.pieces).findall(part))
+            if strange:
+                pieces.update(part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part) if part)
+            else:
+                pieces.update((self.ascii_pieces if plain else self.pieces).findall(part))
         return specials + self.merged(pieces)
 
 

@@ -170,3 +170,16 @@ def test_chunked_viterbi_is_one_long_viterbi():
     ends = chat.chunk_ends(own, [chat.best_paths(own, p) for p in pieces])
     joined = [r for p, (a, b) in zip(pieces, ends, strict=True) for r in chat.fixed_path(own, p, a, b)]
     assert joined == path[::-1]
+
+
+def test_texts_in_any_script_take_the_shortcut():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(workload.TOKENIZER)
+    library, counts = Tokenizer.from_file(path), token_counts.Counts(path)
+    asked, encode = [], counts.encode
+    counts.encode = lambda texts: asked.extend(texts) or encode(texts)
+    told = ["plain words 😀 and more", "שלום the world <|endoftext|> مرحبا  x", "हिन्दी words\n\n ไทย a\u0301 e\u0301\u0302 ", "👩‍👩‍👧 it's 12 ﷺ\u0378 \U000e0001 z", " \u3000😀\x85\u2028 "]
+    for text in told:
+        assert counts.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+    assert not set(asked) & set(told) and " words" not in asked
