@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contractcheck.llm.divergence import MIN_DOCS, SMOOTH, TERM, TOP, UNIT
 from contractcheck.llm.licences import LOWER, NOTICES, THRESHOLD, UPPER, bigrams_of
 from contractcheck.llm.rules import POLICIES, RULES, policy_mask
 
@@ -108,3 +109,40 @@ c AS (SELECT rid, count(DISTINCT said) AS n FROM r GROUP BY rid)
 SELECT doc_id, licence, family, dice, coalesce(c.n, 0) AS n_passages
 FROM d LEFT JOIN r ON r.rid = d.rid AND r.nth = 1 LEFT JOIN c ON c.rid = d.rid
 """
+
+FIM_SQL = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+             sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+d AS (SELECT doc_id, t, n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (n + 1) AS i, CAST('0x' || substr(x, 9, 8) AS BIGINT) % (n + 1) AS j,
+        CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 AS h4 FROM h),
+f AS (SELECT doc_id, t, n, least(i, j) AS a, greatest(i, j) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+             WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+"""
+
+DIVERGENCE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all({LOW}, '{TERM}') AS words FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS d FROM (SELECT lang, source, rid, unnest(words) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY ALL HAVING sum(d) >= {MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(total) AS lang_size FROM kept GROUP BY lang),
+k AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, total, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS size
+      FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT k.*, 1 + (CAST({UNIT} AS HUGEINT) * (n + {SMOOTH})) // (size + {SMOOTH} * v) AS p,
+        1 + (CAST({UNIT} AS HUGEINT) * (total + {SMOOTH})) // (lang_size + {SMOOTH} * v) AS q FROM k JOIN v USING (lang)),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(far.value, 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+terms AS (SELECT lang, source, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms)
+WHERE rank <= {TOP}
+"""

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractcheck.llm import chat, decontaminate, licences, mixing, ngram_join, pii, quality_model, rules, token_counts, toxicity
-from contractcheck.llm.oracles import ABLATION_SQL, CONTAMINATION_SQL, JACCARD_SQL, LICENCE_SQL, MIX_SQL, RULES_SQL
+from contractcheck.llm import chat, decontaminate, divergence, fill_in_middle, licences, mixing, ngram_join, pii, quality_model, rules, token_counts, toxicity
+from contractcheck.llm.oracles import ABLATION_SQL, CONTAMINATION_SQL, DIVERGENCE_SQL, FIM_SQL, JACCARD_SQL, LICENCE_SQL, MIX_SQL, RULES_SQL
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -37,6 +36,8 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
@@ -80,6 +81,14 @@ def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.ablation(rules.ledger(documents(spark, sf_dir)))
 
 
+def fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fim_digests(documents(spark, sf_dir))
+
+
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": pii_spans,
     "op2_jaccard_join": jaccard_join,
@@ -92,6 +101,8 @@ QUERIES = {
     "op9_licences": licence_scan,
     "op10_quality_rules": quality_rules,
     "rule_ablation": rule_ablation,
+    "op11_fill_in_middle": fim,
+    "op12_source_divergence": source_audit,
 }
 ORACLES = {
     "op2_jaccard_join": JACCARD_SQL,
@@ -100,4 +111,6 @@ ORACLES = {
     "op9_licences": LICENCE_SQL,
     "op10_quality_rules": RULES_SQL,
     "rule_ablation": ABLATION_SQL,
+    "op11_fill_in_middle": FIM_SQL,
+    "op12_source_divergence": DIVERGENCE_SQL,
 }
