@@ -7,6 +7,11 @@ the rest the order is cut into slices of about equal size: the window runs per (
 slice), one small row per slice carries the earlier slices' total forward, and both are
 combined. Buckets and cut points are read once and become literals, so a retried task
 always puts a row into the same place.
+
+Cut points are whole rows of the order columns, from a sample of ``SAMPLES`` rows per
+slice, and are compared as Spark compares structs. Any type that can be sorted can be
+cut, decimals and text among them, and rows that tie in the first column are cut by the
+next. Where the cuts lie decides about balance alone, never about results.
 """
 
 from __future__ import annotations
@@ -19,69 +24,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SLICES = 4096
 GROUP_BUCKETS = 65_536
 # Rows a task may sort in any case; above it, half of a task's fair share counts.
 TASK_ROWS = 5_000_000
-ORIGIN = "1970-01-01 00:00:00"
+SAMPLES = 64
+SEED = 20
+# Characters of a text that a cut point keeps.
+CUT_CHARS = 256
 
 
-def _ordinal(df: DataFrame, name: str) -> Column | None:
-    """The column as a number with the same order, or None for other types."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.col(name).cast("bigint")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.col(name).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_diff("MICROSECOND", F.lit(ORIGIN).cast(kind), F.col(name))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("bigint")
-    return None
+def _key(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order columns as one comparable value; nulls come first."""
+    return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
 
 
-def _count_below(value: Column, cuts: list, inclusive: bool) -> Column:
-    """How many cut points lie below ``value``; two short searches, not one long."""
-    width = ceil(sqrt(len(cuts)))
-    blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+def cut_points(df: DataFrame, order_by: Sequence[str], slices: int, rows: int | None = None) -> list[Column]:
+    """Rising values of the order columns that cut ``df`` into about ``slices`` equal parts.
+
+    The driver sees about ``SAMPLES`` rows per slice, texts cut to ``CUT_CHARS``. ``rows``
+    is the number of rows, where it is known.
+    """
+    kinds = [df.schema[c].dataType for c in order_by]
+    short = [F.substring(c, 1, CUT_CHARS).alias(c) if isinstance(k, T.StringType) else F.col(c) for c, k in zip(order_by, kinds, strict=True)]
+    wanted, n = SAMPLES * slices, df.count() if rows is None else rows
+    keys = df.select(*short)
+    some = keys if n <= wanted else keys.sample(wanted / n, SEED)
+    sampled = some.sort(*order_by).select(*[F.col(c).cast("string") for c in order_by]).collect()
+    picked = [tuple(sampled[i * len(sampled) // slices]) for i in range(1, slices)] if sampled else []
+    out = []
+    for cut in dict.fromkeys(picked):
+        values = [F.lit(v).cast(k) for v, k in zip(cut, kinds, strict=True)]
+        out.append(values[0] if len(values) == 1 else F.struct(*[v.alias(f"o{i}") for i, v in enumerate(values)]))
+    return out
 
-    def below(cut: Column) -> Column:
-        return cut <= value if inclusive else cut < value
 
-    heads = F.array(*[F.lit(b[0]) for b in blocks])
-    full = F.size(F.filter(heads, below))
-    body = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
-    inside = F.size(F.filter(F.element_at(body, full), below))
+def slice_number(value: Column, cuts: list[Column]) -> Column:
+    """How many cut points are at most ``value``; two short searches, not one long."""
+    if not cuts:
+        return F.lit(0)
+    width = ceil(sqrt(len(cuts)))
+    blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    full = F.size(F.filter(F.array(*[b[0] for b in blocks]), lambda cut: cut <= value))
+    body = F.array(*[F.array(*b) for b in blocks])
+    inside = F.size(F.filter(F.element_at(body, full), lambda cut: cut <= value))
     return F.when(full > 0, (full - 1) * width + inside).otherwise(0)
 
 
-def _slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
-    """A struct of slice numbers that sorts like ``order_by``, from the values in ``df``.
-
-    A value that equals a cut point gets a slice of its own, which the next order
-    column cuts further; ties on the first column can therefore be split too.
-    """
-    numbers = []
-    for name in order_by:
-        value = _ordinal(df, name)
-        if value is None:
-            break
-        numbers.append(value)
-    if not numbers:
-        return F.struct(F.lit(0).alias("s0"))
-    steps = [i / slices for i in range(1, slices)]
-    found = df.agg(
-        *[F.percentile_approx(v, F.array(*[F.lit(s) for s in steps])).alias(f"c{i}") for i, v in enumerate(numbers)]
-    ).first()
-    parts, open_tie = [], F.lit(True)
-    for i, value in enumerate(numbers):
-        cuts = sorted(set(found[i] or []))
-        if not cuts:
-            break
-        lower, upper = _count_below(value, cuts, False), _count_below(value, cuts, True)
-        parts.append(F.when(open_tie, F.coalesce(lower + upper, F.lit(-1))).otherwise(0).alias(f"s{i}"))
-        open_tie = open_tie & F.coalesce(lower != upper, F.lit(True))
-    return F.struct(*(parts or [F.lit(0).alias("s0")]))
+def slice_of(df: DataFrame, order_by: Sequence[str], slices: int, rows: int | None = None) -> Column:
+    """A slice number that rises with ``order_by``, from the values in ``df``."""
+    return slice_number(_key(df, order_by), cut_points(df, order_by, slices, rows))
 
 
 def _task_count(df: DataFrame) -> int:
@@ -92,16 +83,17 @@ def _bucket(partition_by: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*partition_by), F.lit(GROUP_BUCKETS)).cast("int")
 
 
-def hot_buckets(df: DataFrame, partition_by: Sequence[str]) -> list[int]:
-    """Buckets whose groups may be too large for one task. Each task sends one count
-    per bucket and the driver sees at most one number per bucket."""
+def hot_buckets(df: DataFrame, partition_by: Sequence[str]) -> dict[int, int]:
+    """Buckets whose groups may be too large for one task, and their rows. Each task sends
+    one count per bucket and the driver sees at most one number per bucket."""
     sizes = df.groupBy(_bucket(partition_by).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
     limit = max(TASK_ROWS, sum(r.n for r in sizes) // (2 * _task_count(df)))
-    return sorted(r.b for r in sizes if r.n > limit)
+    return {r.b: r.n for r in sizes if r.n > limit}
 
 
 def needed_slices(df: DataFrame) -> int:
-    return max(2, min(MAX_SLICES, _task_count(df)))
+    """Two per task, so that one large slice does not end last."""
+    return max(2, 2 * _task_count(df))
 
 
 def with_prior(
@@ -127,14 +119,13 @@ def with_prior(
     if slices is not None:
         return _plain(df, shape) if slices < 2 else _sliced(df, shape, source, slices)
     if not partition_by:
-        if source.count() <= TASK_ROWS:
-            return _plain(df, shape)
-        return _sliced(df, shape, source, needed_slices(df))
+        n = source.count()
+        return _plain(df, shape) if n <= TASK_ROWS else _sliced(df, shape, source, needed_slices(df), n)
     hot = hot_buckets(source, partition_by)
     if not hot:
         return _plain(df, shape)
-    heavy = _bucket(partition_by).isin(hot)
-    large = _sliced(df.filter(heavy), shape, source.filter(heavy), needed_slices(df))
+    heavy = _bucket(partition_by).isin(list(hot))
+    large = _sliced(df.filter(heavy), shape, source.filter(heavy), needed_slices(df), sum(hot.values()))
     return _plain(df.filter(~heavy), shape).unionByName(large)
 
 
@@ -167,12 +158,12 @@ def _plain(df: DataFrame, shape: _Shape) -> DataFrame:
     )
 
 
-def _sliced(df: DataFrame, shape: _Shape, source: DataFrame, slices: int) -> DataFrame:
+def _sliced(df: DataFrame, shape: _Shape, source: DataFrame, slices: int, rows: int | None = None) -> DataFrame:
     """One task per group and slice."""
     values, fold = shape.values, shape.fold
     partition_by, order_by, totals = shape.partition_by, shape.order_by, shape.totals
     group = F.struct(*partition_by) if partition_by else F.struct(F.lit(0).alias("all"))
-    base = df.select("*", group.alias("_group"), _slice_of(source, order_by, slices).alias("_slice"))
+    base = df.select("*", group.alias("_group"), slice_of(source, order_by, slices, rows).alias("_slice"))
 
     earlier = (
         Window.partitionBy("_group", "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contractcheck.operators import values
+from contractcheck.operators.ordered import with_prior
 from contractcheck.workload.base import AS_OF, query, table
 
 
@@ -33,6 +34,38 @@ def group_quantiles(spark, d):
     return values.group_quantiles(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", (25, 50, 75))
 
 
+@query(
+    "group_quantiles_decimal",
+    f"""
+WITH v AS (SELECT CASE WHEN l_linenumber < 5 THEN 'common' ELSE l_linestatus END AS kind,
+                  CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM lineitem),
+{_quartiles('kind', 'price', 'v')} SELECT kind, n_values, CAST(p25 AS DOUBLE) AS p25, CAST(p50 AS DOUBLE) AS p50, CAST(p75 AS DOUBLE) AS p75 FROM q""",
+)
+def group_quantiles_decimal(spark, d):
+    """Decimal values; one group holds more than half of the rows and is cut into slices."""
+    kind = F.when(F.col("l_linenumber") < 5, "common").otherwise(F.col("l_linestatus"))
+    prices = table(spark, d, "lineitem").select(kind.alias("kind"), F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    return values.group_quantiles(prices, ["kind"], "price", (25, 50, 75), slices=8)
+
+
+@query(
+    "sequence_text",
+    """
+WITH k AS (SELECT p_brand, concat('part#', lpad(CAST(p_partkey AS VARCHAR), 9, '0'), '/', p_type) AS code FROM part),
+s AS (SELECT p_brand, code, lag(code) OVER (PARTITION BY p_brand ORDER BY code) AS before FROM k)
+SELECT p_brand, count(*) AS rows_total, count(before) AS rows_after_another, min(code) AS first_code, max(before) AS last_but_one
+FROM s GROUP BY 1""",
+)
+def sequence_text(spark, d):
+    """Text keys with a long common prefix, cut into slices by the text itself."""
+    code = F.concat(F.lit("part#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit("/"), F.col("p_type"))
+    parts = table(spark, d, "part").select("p_brand", code.alias("code"))
+    seen = with_prior(parts, ["p_brand"], ["code"], maxima={"before": F.col("code")}, slices=8)
+    return seen.groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("rows_total"), F.count("before").alias("rows_after_another"), F.min("code").alias("first_code"), F.max("before").alias("last_but_one")
+    )
+
+
 @query(
     "outlier_iqr",
     f"""

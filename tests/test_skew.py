@@ -48,21 +48,43 @@ def test_prior_equals_a_plain_window(hot, rows, slices, groups, monkeypatch):
 
 
 def test_only_the_hot_group_is_sliced(hot, monkeypatch):
-    assert ordered.hot_buckets(hot, ["g"]) == []
+    assert ordered.hot_buckets(hot, ["g"]) == {}
     monkeypatch.setattr(ordered, "TASK_ROWS", 50)
     assert len(ordered.hot_buckets(hot, ["g"])) == 1
 
 
 def test_slices_split_the_hot_group_and_its_hot_moment(hot):
-    from contractcheck.operators.ordered import _slice_of
-
-    sliced = hot.select("*", _slice_of(hot, ["t", "id"], 50).alias("s"))
-    biggest = sliced.groupBy("g", "s").count().agg(F.max("count")).first()[0]
-    assert biggest <= 3 * 902 // 50
+    sliced = hot.select("*", ordered.slice_of(hot, ["t", "id"], 50).alias("s"))
+    biggest = sliced.groupBy("s").count().agg(F.max("count")).first()[0]
+    assert biggest < 3 * 902 / 50
     moment = sliced.filter("t = 50").select("s").distinct().count()
     assert moment > 5
 
 
+KEYS = {
+    "decimal(18,2)": "CAST(1000 * sin(id) AS DECIMAL(18,2))",
+    "decimal(38,10)": "CAST('-9999999999999999999999999' AS DECIMAL(38,10)) + CAST(id AS DECIMAL(38,10)) / 7",
+    "text with one prefix": "concat('https://a.very.long.prefix.example.org/', hex(id * 7919 % 10007))",
+    "other letters": "concat(CASE id % 3 WHEN 0 THEN 'é' WHEN 1 THEN 'z' ELSE '😀' END, id)",
+    "one value": "'same'",
+    "double": "CASE id % 5 WHEN 0 THEN double('NaN') WHEN 1 THEN -double('Infinity') ELSE id / 3 END",
+    "binary": "unhex(hex(id))",
+    "nulls": "CASE WHEN id % 2 = 0 THEN CAST(id AS DECIMAL(10,1)) END",
+}
+
+
+@pytest.mark.parametrize("name", sorted(KEYS))
+def test_every_sortable_type_is_cut(spark, rows, name):
+    """Slices rise with the order and none holds three times its share."""
+    df = spark.range(6000).selectExpr("id", f"{KEYS[name]} AS o")
+    sliced = df.select("*", ordered.slice_of(df, ["o", "id"], 40).alias("s"))
+    assert sliced.groupBy("s").count().agg(F.max("count")).first()[0] < 3 * 6000 / 40
+    order = Window.orderBy("o", "id")
+    assert sliced.withColumn("before", F.lag("s").over(order)).filter("before > s").count() == 0
+    want = df.select("*", F.sum("id").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("t"))
+    assert rows(with_prior(df, [], ["o", "id"], sums={"t": F.col("id")}, slices=40), "id", "t") == rows(want, "id", "t")
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "double", "string"])
 def test_prior_for_other_order_types(spark, rows, kind):
     base = spark.range(60).selectExpr("id % 3 AS g", "id", "timestampadd(DAY, CAST(id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS ts")
