@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractcheck.llm import chat, decontaminate, divergence, fill_in_middle, licences, mixing, ngram_join, pii, quality_model, rules, token_counts, toxicity
+from contractcheck.llm import chat, decontaminate, divergence, fill_in_middle, fingerprints, licences, mixing, ngram_join, pii, quality_model, rules, token_counts, toxicity
 from contractcheck.llm.oracles import ABLATION_SQL, CONTAMINATION_SQL, DIVERGENCE_SQL, FIM_SQL, JACCARD_SQL, LICENCE_SQL, MIX_SQL, RULES_SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -89,6 +89,10 @@ def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(documents(spark, sf_dir))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": pii_spans,
     "op2_jaccard_join": jaccard_join,
@@ -103,6 +107,7 @@ QUERIES = {
     "rule_ablation": rule_ablation,
     "op11_fill_in_middle": fim,
     "op12_source_divergence": source_audit,
+    "op13_fingerprints": document_fingerprints,
 }
 ORACLES = {
     "op2_jaccard_join": JACCARD_SQL,
