@@ -21,34 +21,75 @@ are 0. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractcheck.functions.lineage import settled
+from contractcheck.llm import words
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The same on bytes in which A-Z have become a-z.
+TERM_BYTES = words.byte_table(bytes([*range(97, 123), *range(128, 256)]))
+SLICE_BYTES = 4 << 20
 MIN_DOCS, UNIT, SMOOTH, TOP = 30, 1_000_000_000, 5, 50
-BLOCK_TERMS, TILE_SOURCES = 2048, 64
+BLOCK_TERMS, TILE_SOURCES = 512, 64
 BLOCK = ["lang", "magnitude", "block"]
 
 
-def terms_of(text: Column) -> Column:
-    """All terms of a text; only A-Z change case. ``lower`` does just that on ASCII texts, and faster."""
-    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(lowered, F.lit(TERM), 0)
+def _counted(s: words.Slice, groups: np.ndarray) -> dict[str, np.ndarray]:
+    """Terms of a slice per group: start and length of one occurrence in the lowered bytes, ``n`` and ``d``."""
+    low = words.LOWER[s.buf]
+    starts, ends = s.spans(TERM_BYTES, low)
+    text = np.searchsorted(s.offsets, starts, "right") - 1
+    _, first, same = np.unique(words.hash_spans(low, starts, ends), return_index=True, return_inverse=True)
+    if not _equal_bytes(low, starts, ends, first[same]):
+        _, first, same = np.unique([low[x:y].tobytes() for x, y in zip(starts, ends, strict=True)], return_index=True, return_inverse=True)
+    n_terms = max(1, len(first))
+    keys, n = np.unique(groups[text] * n_terms + same, return_counts=True)
+    once = np.unique(text * n_terms + same)
+    d = np.bincount(np.searchsorted(keys, groups[once // n_terms] * n_terms + once % n_terms), minlength=len(keys))
+    at = first[keys % n_terms] if len(first) else keys
+    return {"group": keys // n_terms, "start": starts[at], "length": (ends - starts)[at], "n": n, "d": d, "low": low}
+
+
+def _equal_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
+    """Whether every span has the bytes of span ``like``: equal hashes alone would not prove it."""
+    length = ends - starts
+    if (length != length[like]).any():
+        return False
+    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    return bool((buf[np.repeat(starts, length) + inside] == buf[np.repeat(starts[like], length) + inside]).all())
+
+
+def _strings(buf: np.ndarray, starts: np.ndarray, length: np.ndarray) -> pa.Array:
+    ends = np.cumsum(length)
+    inside = np.arange(int(length.sum())) - np.repeat(ends - length, length)
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(buf[np.repeat(starts, length) + inside]))
+
+
+def _batches(batches):
+    for batch in batches:
+        names = [batch.column(i).dictionary_encode() for i in (0, 1)]
+        codes = [c.indices.to_numpy().astype(np.int64) for c in names]
+        width = max(1, len(names[1].dictionary))
+        for s in words.slices(batch.column(2), SLICE_BYTES):
+            found = _counted(s, (codes[0] * width + codes[1])[s.first : s.first + s.n])
+            lang, source = (d.dictionary.take(pa.array(c)) for d, c in zip(names, np.divmod(found["group"], width), strict=True))
+            terms = _strings(found["low"], found["start"], found["length"])
+            yield pa.RecordBatch.from_arrays([lang, source, terms, pa.array(found["n"], pa.int64()), pa.array(found["d"], pa.int64())], ["lang", "source", "term", "n", "d"])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``lang``, ``source``, ``term``: occurrences ``n`` and number of rows ``d`` that hold the term.
 
-    ``docs`` has ``lang``, ``source`` and ``text`` without nulls.
+    ``docs`` has ``lang``, ``source`` and ``text`` without nulls. Each task counts slices of
+    its texts first, so that only sums travel.
     """
-    said = docs.select("lang", "source", terms_of(F.col("text")).alias("terms"))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d")))
-    each = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d")))
-    rows = said.select("lang", "source", F.inline(F.concat(each, once)))
-    return rows.groupBy("lang", "source", "term").agg(F.sum(1 - F.col("d")).alias("n"), F.sum("d").cast("bigint").alias("d"))
+    part = docs.select("lang", "source", "text").mapInArrow(_batches, "lang string, source string, term string, n bigint, d bigint")
+    return part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
 
 
 def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -92,9 +133,6 @@ def levels(kept: DataFrame, places: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _pair_sums(key, rows):
     """Sums of one block over the pairs of two tiles' groups (of one tile: each pair once)."""
-    import numpy as np
-    import pyarrow as pa
-
     first, second = key[-2].as_py(), key[-1].as_py()
     columns = {c: rows.column(c).to_numpy() for c in ("word", "bits", "p", "n_terms", "tile")}
     source = np.array(rows.column("source").to_pylist(), dtype=object)

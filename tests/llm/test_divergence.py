@@ -2,6 +2,7 @@
 
 import random
 import re
+import string
 from collections import Counter, defaultdict
 
 import pytest
@@ -12,7 +13,7 @@ SCHEMA = "doc_id bigint, text string, lang string, source string"
 
 
 def by_hand(rows, min_docs, top):
-    docs = [(lang or "", source or "", re.findall(divergence.TERM, (text or "").translate(str.maketrans(divergence.UPPER, divergence.LOWER)))) for _, text, lang, source in rows]
+    docs = [(lang or "", source or "", re.findall(divergence.TERM, (text or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))) for _, text, lang, source in rows]
     held, counts = defaultdict(Counter), defaultdict(Counter)
     for lang, source, words in docs:
         held[lang].update(set(words))
@@ -72,3 +73,13 @@ def test_large_counts_stay_exact(spark):
     n, size = 9 * 10**15, 9 * 10**17
     got = spark.range(1).select(divergence.share(F.lit(n), F.lit(size), F.lit(10**7)).alias("p")).first().p
     assert got == 1 + 10**9 * (n + 5) // (size + 5 * 10**7)
+
+
+def test_equal_hashes_do_not_merge_terms(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(divergence.words, "hash_spans", lambda buf, starts, ends: np.zeros(len(starts), np.uint64))
+    for s in divergence.words.slices(divergence.pa.array(["b a B", "", "a", None])):
+        found = divergence._counted(s, np.array([0, 1, 1, 0]))
+        terms = divergence._strings(found["low"], found["start"], found["length"]).to_pylist()
+        assert list(zip(found["group"], terms, found["n"], found["d"], strict=True)) == [(0, "a", 1, 1), (0, "b", 2, 1), (1, "a", 1, 1)]
