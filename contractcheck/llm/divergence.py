@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from contractcheck.functions.lineage import settled
 from contractcheck.llm import words
+from contractcheck.operators.lookups import lookup_join
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: The same on bytes in which A-Z have become a-z.
@@ -44,7 +45,7 @@ def _counted(s: words.Slice, groups: np.ndarray) -> dict[str, np.ndarray]:
     starts, ends = s.spans(TERM_BYTES, low)
     text = np.searchsorted(s.offsets, starts, "right") - 1
     _, first, same = np.unique(words.hash_spans(low, starts, ends), return_index=True, return_inverse=True)
-    if not _equal_bytes(low, starts, ends, first[same]):
+    if not words.equal_spans(low, starts, ends, first[same]):
         _, first, same = np.unique([low[x:y].tobytes() for x, y in zip(starts, ends, strict=True)], return_index=True, return_inverse=True)
     n_terms = max(1, len(first))
     keys, n = np.unique(groups[text] * n_terms + same, return_counts=True)
@@ -54,15 +55,6 @@ def _counted(s: words.Slice, groups: np.ndarray) -> dict[str, np.ndarray]:
     return {"group": keys // n_terms, "start": starts[at], "length": (ends - starts)[at], "n": n, "d": d, "low": low}
 
 
-def _equal_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
-    """Whether every span has the bytes of span ``like``: equal hashes alone would not prove it."""
-    length = ends - starts
-    if (length != length[like]).any():
-        return False
-    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-    return bool((buf[np.repeat(starts, length) + inside] == buf[np.repeat(starts[like], length) + inside]).all())
-
-
 def _strings(buf: np.ndarray, starts: np.ndarray, length: np.ndarray) -> pa.Array:
     ends = np.cumsum(length)
     inside = np.arange(int(length.sum())) - np.repeat(ends - length, length)
@@ -119,7 +111,7 @@ def numbered(kept: DataFrame) -> DataFrame:
     """Every kept term's ``magnitude``, ``block`` and number ``at`` in the block."""
     terms = kept.groupBy("lang", "term").agg(F.max("total").alias("total")).withColumn("magnitude", F.length(F.bin("total")))
     blocks = terms.groupBy("lang", "magnitude").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TERMS).alias("blocks"))
-    placed = terms.join(blocks, ["lang", "magnitude"]).withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
+    placed = lookup_join(terms, blocks, ["lang", "magnitude"], "inner", spread_by=["term"]).withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
     order = Window.partitionBy(*BLOCK).orderBy(F.desc("total"), "term")
     return placed.select("lang", "term", "magnitude", "block", (F.row_number().over(order) - 1).alias("at"))
 

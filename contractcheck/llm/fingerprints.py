@@ -144,16 +144,20 @@ def with_next(rows: DataFrame, order_by: list[str], derive: Callable[[DataFrame]
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = rows.withColumn("_slice", slice_of(rows, order_by[:2], slices or 2 * tasks))
     whole = derive(numbered)
-    columns = F.struct(*[c for c in whole.columns if c != "_slice"])
+    columns = [c for c in whole.columns if c != "_slice"]
     order = Window.partitionBy("_slice").orderBy(*order_by)
-    inside = whole.select("*", F.lag(columns).over(order).alias("_before"))
+    # Column by column: a struct would be made before the shuffle and travel beside its parts.
+    lags = [F.lag(c).over(order).alias(f"_before_{c}") for c in columns]
+    inside = whole.select("*", F.lag("_slice").over(order).isNull().alias("_first"), *lags)
     top = numbered.groupBy("_slice").agg(F.max(F.struct(*order_by)).alias("top"))
-    ends = derive(top.select("_slice", "top.*")).select("_slice", columns.alias("_end"))
+    ends = derive(top.select("_slice", "top.*")).select("_slice", F.struct(*columns).alias("_end"))
     # One row per slice: the end of the slice before, and for the first slice that of the last.
     around = Window.orderBy("_slice")
     last = F.max_by("_end", "_slice").over(Window.partitionBy())
     edges = ends.select("_slice", F.coalesce(F.lag("_end").over(around), last).alias("_edge"))
-    return inside.join(edges, "_slice", "left").withColumn("next", F.coalesce("_before", "_edge")).drop("_slice", "_before", "_edge")
+    before = F.struct(*[F.col(f"_before_{c}").alias(c) for c in columns])
+    found = inside.join(edges, "_slice", "left")
+    return found.select(*columns, F.when(F.col("_first"), F.col("_edge")).otherwise(before).alias("next"))
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices: int | None = None) -> DataFrame:

@@ -102,6 +102,15 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((total[ends] - total[starts]) * q[starts])
 
 
+def equal_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
+    """Whether every span equals span ``like``: equal hashes alone would not prove it."""
+    length = ends - starts
+    if (length != length[like]).any():
+        return False
+    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    return bool((buf[np.repeat(starts, length) + inside] == buf[np.repeat(starts[like], length) + inside]).all())
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Cut a text column into slices of whole texts; nulls are empty texts.
 
