@@ -55,9 +55,14 @@ def hours2(micros: Column) -> Column:
 
 
 def fraction_to_percent(value: Column) -> Column:
-    """Thresholds are written as 0.99 or as 99; both mean 99 percent."""
+    """Thresholds are written as 0.99 or as 99; both mean 99 percent.
+
+    The point moves in decimals, so 0.99999 gives 99.999 and no digit more.
+    """
     value = value.cast("double")
-    return F.when(value <= 1, value * 100).otherwise(value)
+    written = value.try_cast("decimal(20,18)")
+    moved = F.when(written.cast("double") == value, (written * F.lit(100)).cast("double"))
+    return F.when(value <= 1, F.coalesce(moved, value * 100)).otherwise(value)
 
 
 def count_where(condition: Column) -> Column:

@@ -82,11 +82,11 @@ def extract_contracts(contracts: DataFrame) -> DataFrame:
 
 def _hours() -> Column:
     text = F.coalesce("d.slos.freshness.max_age_hours", "d.slo.freshness_hours")
-    return _number(text).cast("double").cast("int")
+    return _number(text).cast("double")
 
 
 def _share(name: str, inner: str) -> Column:
-    return _number(F.coalesce(f"d.slos.{name}.{inner}", f"d.slo.{name}")).cast("double").cast("decimal(10,4)")
+    return _number(F.coalesce(f"d.slos.{name}.{inner}", f"d.slo.{name}")).cast("double")
 
 
 def contract_models(contracts: DataFrame) -> DataFrame:
@@ -193,8 +193,8 @@ def extract_models(models: DataFrame) -> DataFrame:
         F.lit(DEFAULT_SCHEMA).alias("schema_name"),
         F.col("d.meta.contract").alias("contract_id"),
         F.coalesce("d.config.materialized", F.lit("view")).alias("materialized_as"),
-        _number(F.col("d.meta.slo_freshness_hours")).cast("double").cast("int").alias("freshness_slo_hours"),
-        _number(F.col("d.meta.slo_completeness")).cast("decimal(10,4)").alias("completeness_slo"),
+        _number(F.col("d.meta.slo_freshness_hours")).cast("double").alias("freshness_slo_hours"),
+        _number(F.col("d.meta.slo_completeness")).cast("double").alias("completeness_slo"),
         F.coalesce("d.meta.critical", F.lit(False)).alias("critical"),
         F.coalesce("d.meta.pii_flag", F.lit(False)).alias("pii_flag"),
         F.col("d.meta.owner").alias("owner_name"),

@@ -86,9 +86,9 @@ def problem(df: DataFrame, check: Check) -> str | None:
     """Why a row check can't be evaluated on a table, looking at its schema only."""
     try:
         if check.column is None or check.column in df.columns:
-            df.limit(0).select(_counter(check).alias("n")).schema  # noqa: B018
+            df.limit(0).select(row_counter(check).alias("n")).schema  # noqa: B018
     except Exception as exc:  # a check that can't be built is a finding of its own
-        return type(exc).__name__
+        return (str(exc) or type(exc).__name__).strip().split("\n", 1)[0]
     return None
 
 
@@ -96,7 +96,7 @@ def is_row_check(check: Check) -> bool:
     return check.kind in ROW_CHECKS or check.kind in ("expression_is_true", "at_least_one")
 
 
-def _counter(check: Check) -> Column:
+def row_counter(check: Check) -> Column:
     if check.kind == "at_least_one":
         return (F.count(F.col(quote_name(check.column))) == 0).cast("bigint")
     return F.count_if(failing_rows(check))
@@ -111,7 +111,7 @@ def column_counters(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     for start in range(0, max(len(numbered), 1), MAX_COUNTERS_PER_PASS):
         part = numbered[start : start + MAX_COUNTERS_PER_PASS]
         counts = [
-            _counter(k).alias(f"n{i}") for i, k in part if k.column is None or k.column in have
+            row_counter(k).alias(f"n{i}") for i, k in part if k.column is None or k.column in have
         ]
         wide = df.agg(F.count(F.lit(1)).alias("rows_total"), *counts)
         rows = [

@@ -103,19 +103,30 @@ def run_summary(results: DataFrame, critical: Sequence[str] = ("unique", "not_nu
     return counts.withColumn("level", level)
 
 
-def with_levels_and_rejects(summary: DataFrame, slos: DataFrame, rejects: DataFrame, run_id: str, as_of: str) -> DataFrame:
-    """The summary of a run with its failed levels and rejected documents.
+def with_levels_and_rejects(
+    summary: DataFrame, slos: DataFrame, rejects: DataFrame, run_id: str, as_of: str, quality: DataFrame | None = None
+) -> DataFrame:
+    """The summary of a run with its failed levels, quality issues and rejected documents.
 
-    Adds ``slo_failed`` and ``rejected`` and raises ``level``: 2 if a table was not
-    available, 1 for any other failed level or rejected document. A run without any
-    test still gives a row.
+    Adds ``slo_failed``, ``quality_failed`` and ``rejected`` and raises ``level``: 2 if a table
+    was not available or an issue is critical, 1 for any other failed level, issue or rejected
+    document. A run without any test still gives a row.
     """
-    failed = F.col("status") == "fail"
-    levels = slos.filter(F.col("measurement_ts") == F.lit(as_of).cast("timestamp_ntz")).agg(
+    failed, moment = F.col("status") == "fail", F.lit(as_of).cast("timestamp_ntz")
+    levels = slos.filter(F.col("measurement_ts") == moment).agg(
         F.count_if(failed).alias("slo_failed"), F.count_if(failed & (F.col("metric_type") == "availability")).alias("_gone")
     )
-    other = levels.crossJoin(rejects.agg(F.count(F.lit(1)).alias("rejected"))).withColumn("run_id", F.lit(run_id))
+    if quality is None:
+        issues = levels.select(F.lit(0).cast("bigint").alias("quality_failed"), F.lit(0).cast("bigint").alias("_critical"))
+    else:
+        issues = quality.filter(F.col("detected_at") == moment).agg(
+            F.count_if(failed).alias("quality_failed"), F.count_if(failed & (F.col("severity") == "critical")).alias("_critical")
+        )
+    # One row each.
+    other = levels.crossJoin(issues).crossJoin(rejects.agg(F.count(F.lit(1)).alias("rejected"))).withColumn("run_id", F.lit(run_id))
     both = other.join(summary, ["run_id"], "left")
-    raised = F.when(F.col("_gone") > 0, 2).when((F.col("slo_failed") > 0) | (F.col("rejected") > 0), 1).otherwise(0)
+    worst = (F.col("_gone") > 0) | (F.col("_critical") > 0)
+    some = (F.col("slo_failed") > 0) | (F.col("quality_failed") > 0) | (F.col("rejected") > 0)
+    raised = F.when(worst, 2).when(some, 1).otherwise(0)
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in summary.columns if c not in ("run_id", "level")]
-    return both.select("run_id", *zero, "slo_failed", "rejected", F.greatest(F.coalesce("level", F.lit(0)), raised).alias("level"))
+    return both.select("run_id", *zero, "slo_failed", "quality_failed", "rejected", F.greatest(F.coalesce("level", F.lit(0)), raised).alias("level"))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contractcheck.functions.numbers import age_micros, fraction_to_percent, hours2, mean_pct2, ntz, pct2
 from contractcheck.functions.text import stable_id
-from contractcheck.operators.lookups import lookup_join
+from contractcheck.operators.lookups import lookup_join, union_all
 from contractcheck.schemas import SLO_METRICS, conform
 
 # Thresholds used when an agreement gives none.
@@ -21,9 +22,12 @@ DEFAULT_TIMESTAMP_COLUMNS = ("created_at", "updated_at", "_updated_ts")
 METRIC = ["metric_type", "expected_value", "actual_value", "status", "severity", "details"]
 
 
-def _metric(df: DataFrame, name: str, expected: Column, actual: Column, status: Column, details: Column) -> DataFrame:
+def _metric(
+    df: DataFrame, name: str, expected: Column, actual: Column, status: Column, details: Column, keys: Sequence[str] = ()
+) -> DataFrame:
     bad = "critical" if name == "availability" else "high"
     return df.select(
+        *keys,
         F.lit(name).alias("metric_type"),
         expected.cast("double").alias("expected_value"),
         actual.cast("double").alias("actual_value"),
@@ -44,24 +48,34 @@ def newest(df: DataFrame, ts_columns: Sequence[str]) -> Column:
 def freshness(df: DataFrame, ts_columns: Sequence[str], max_hours: float, as_of: str) -> DataFrame:
     """Age of the newest row; equal to the limit still passes."""
     latest = df.agg(newest(df, ts_columns).alias("latest"))
+    return _freshness(latest, F.lit(max_hours), as_of)
+
+
+def _freshness(moments: DataFrame, max_hours: Column, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The level of each row's ``latest``."""
     age = hours2(age_micros(F.col("latest"), ntz(as_of)))
-    limit = F.lit(max_hours).cast("double")
+    limit = max_hours.cast("double")
     status = F.when(age.isNull(), "unknown").when(age <= limit, "pass").otherwise("fail")
     details = F.when(age.isNull(), F.lit("no timestamp found")).otherwise(
         F.concat(F.lit("latest data is "), age.cast("string"), F.lit(" hours old"))
     )
-    return _metric(latest, "freshness", limit, age, status, details)
+    return _metric(moments, "freshness", limit, age, status, details, keys)
+
+
+def _scores() -> list[Column]:
+    """What the mean share of a profile's required columns needs."""
+    return [F.count("column_name").alias("columns"), F.count("non_null_bp").alias("scored"), F.sum("non_null_bp").alias("points")]
 
 
 def completeness(profile: DataFrame, min_pct: float = DEFAULT_COMPLETENESS_PCT) -> DataFrame:
     """Mean non-null share of the required columns in ``profile``
     (:func:`contractcheck.operators.counters.null_profile`)."""
-    total = profile.agg(
-        F.count(F.lit(1)).alias("columns"),
-        F.count("non_null_bp").alias("scored"),
-        F.sum("non_null_bp").alias("points"),
-    )
-    limit = fraction_to_percent(F.lit(min_pct))
+    return _completeness(profile.agg(*_scores()), F.lit(min_pct))
+
+
+def _completeness(scores: DataFrame, min_pct: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """The level of each row's scores."""
+    limit = fraction_to_percent(min_pct)
     none = F.col("columns") == 0
     actual = F.when(none, F.lit(100.0)).otherwise(mean_pct2(F.col("points"), F.col("scored")))
     status = (
@@ -70,7 +84,7 @@ def completeness(profile: DataFrame, min_pct: float = DEFAULT_COMPLETENESS_PCT)
     details = F.when(none, F.lit("no required columns")).otherwise(
         F.concat(F.lit("mean over "), F.col("columns").cast("string"), F.lit(" required columns"))
     )
-    return _metric(total, "completeness", limit, actual, status, details)
+    return _metric(scores, "completeness", limit, actual, status, details, keys)
 
 
 def availability(spark: SparkSession, path: str) -> DataFrame:
@@ -79,18 +93,51 @@ def availability(spark: SparkSession, path: str) -> DataFrame:
         n, problem = spark.read.parquet(path).count(), None
     except Exception as exc:  # whatever makes the table unreadable is the finding
         n, problem = None, type(exc).__name__
-    one = spark.createDataFrame([(n, problem)], "n bigint, problem string")
+    return _availability(spark.createDataFrame([(n, problem)], "n bigint, problem string"))
+
+
+def _availability(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The level of each row's ``n``, the rows that were counted, or ``problem``."""
     ok = F.col("n").isNotNull()
     return _metric(
-        one,
+        counts,
         "availability",
         F.lit(AVAILABILITY_PCT),
         F.when(ok, 100.0).otherwise(0.0),
         F.when(ok, "pass").otherwise("fail"),
         F.when(ok, F.concat(F.lit("table is accessible with "), F.col("n").cast("string"), F.lit(" rows"))).otherwise(
-            F.concat(F.lit("table not accessible: "), "problem")
+            F.concat(F.lit("table not accessible: "), F.coalesce("problem", F.lit("not read")))
         ),
+        keys,
+    )
+
+
+def levels(targets: DataFrame, counts: DataFrame, profile: DataFrame, as_of: str) -> DataFrame:
+    """Freshness, completeness and availability of every agreement's model at once.
+
+    ``targets`` comes from :func:`slo_targets`; ``counts`` holds a run's measures per table
+    (:mod:`contractcheck.plans.shared_scan`) and ``profile`` the null shares of the required
+    columns per table. A level asked for twice is measured once. Levels of a table that
+    nobody could read are its availability alone.
+    """
+    keys = ["contract_id", "model_name"]
+    facts = counts.filter(F.col("severity") == "table").groupBy(F.col("table_name").alias("model_name")).agg(
+        F.max(F.when(F.col("check_type") == "table", F.col("rows_total"))).alias("n"),
+        F.max(F.when(F.col("check_type") == "table", F.col("reason"))).alias("problem"),
+        F.max("latest").alias("latest"),
     )
+    scores = profile.groupBy(F.col("table_name").alias("model_name")).agg(*_scores())
+    known = targets.join(facts, ["model_name"], "left")
+    scored = known.join(scores, ["model_name"], "left").fillna({"columns": 0, "scored": 0})
+    read = F.col("n").isNotNull()
+    fresh = known.filter(read & F.col("freshness_slo_hours").isNotNull())
+    full = scored.filter(read & F.col("completeness_slo").isNotNull())
+    parts = [
+        _freshness(fresh, F.col("freshness_slo_hours"), as_of, keys),
+        _completeness(full, F.col("completeness_slo"), keys),
+        _availability(known, keys),
+    ]
+    return union_all(parts).distinct()
 
 
 def uptime(slo_metrics: DataFrame, target: float = 0.999) -> DataFrame:
@@ -116,28 +163,31 @@ def reconcile(
 ) -> DataFrame:
     """Two sums agree within a tolerance.
 
-    Sums are exact decimals with ten places; only the shown difference is rounded.
+    Whole numbers and decimals are summed as they are. So are doubles by the decimals they
+    are written as, while 18 places and 20 digits before them hold them all; otherwise their
+    sums are sums of doubles. Only the shown difference has two places, and all of them
+    where it would show as nothing.
     """
-    exact = "decimal(38,10)"
-
-    def amount(v: str | Column) -> Column:
-        return (F.col(v) if isinstance(v, str) else v).cast(exact)
-
-    sides = a.select(amount(a_value).alias("a"), F.lit(None).cast(exact).alias("b")).unionAll(
-        b.select(F.lit(None).cast(exact).alias("a"), amount(b_value).alias("b"))
-    )
-    sums = sides.agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    def parts(df: DataFrame, v: str | Column, name: str) -> DataFrame:
+        rows = df.select((F.col(v) if isinstance(v, str) else v).alias("v"))
+        value, floating = F.col("v"), isinstance(rows.schema["v"].dataType, T.FractionalType) and not isinstance(rows.schema["v"].dataType, T.DecimalType)
+        exact = value.try_cast("decimal(38,18)") if floating else value
+        lossless = F.coalesce(exact.cast("double") == value, value.isNull()) if floating else F.lit(True)
+        sums = rows.agg(F.try_sum(exact).alias("exact"), F.min(lossless).alias("lossless"), F.sum(value.cast("double")).alias("rough"))
+        held = sums.schema["exact"].dataType
+        # One digit less keeps the scale of the difference.
+        short = F.col("exact").try_cast(T.DecimalType(37, held.scale)) if isinstance(held, T.DecimalType) and held.precision > 37 else F.col("exact")
+        return sums.select(F.when(F.col("lossless"), short).alias(name), F.col("rough").alias(f"{name}_rough"))
+
+    # One row each.
+    sums = parts(a, a_value, "a").crossJoin(parts(b, b_value, "b"))
+    left, right = (F.coalesce(F.col(c).cast("double"), F.col(f"{c}_rough")) for c in "ab")
     gap = F.abs(F.col("a") - F.col("b"))
-    allowed = F.abs(F.col("b")).cast("double") * tolerance_pct / 100
-    status = F.when(gap.isNull(), "unknown").when(gap.cast("double") <= allowed, "pass").otherwise("fail")
-    return _metric(
-        sums,
-        "accuracy",
-        F.col("b"),
-        F.col("a"),
-        status,
-        F.concat(F.lit("difference "), gap.cast("decimal(38,2)").cast("string")),
-    )
+    apart = F.coalesce(gap.cast("double"), F.abs(left - right))
+    status = F.when(apart.isNull(), "unknown").when(apart <= F.abs(right) * tolerance_pct / 100, "pass").otherwise("fail")
+    short, tiny = gap.try_cast("decimal(38,2)"), (apart > 0) & (apart < 0.005)
+    shown = F.when(tiny | short.isNull(), F.coalesce(gap.cast("string"), apart.cast("string"))).otherwise(short.cast("string"))
+    return _metric(sums, "accuracy", right, left, status, F.concat(F.lit("difference "), shown))
 
 
 def custom_metric(values: DataFrame, min_value: float) -> DataFrame:
@@ -154,13 +204,14 @@ def custom_metric(values: DataFrame, min_value: float) -> DataFrame:
     )
 
 
-def measured(metrics: DataFrame, contract_id: str, as_of: str, model_name: str = "") -> DataFrame:
+def measured(metrics: DataFrame, contract_id: str | Column, as_of: str, model_name: str | Column = "") -> DataFrame:
     """Metric rows as they are appended to the ``slo_metrics`` log."""
     moment = ntz(as_of)
-    key = (F.lit(contract_id), F.lit(model_name), F.col("metric_type"), F.col("expected_value"))
+    contract, model = (F.lit(v) if isinstance(v, str) else v for v in (contract_id, model_name))
+    key = (contract, model, F.col("metric_type"), F.col("expected_value"))
     rows = metrics.select(
         stable_id(*key, moment).alias("id"),
-        F.lit(contract_id).alias("contract_id"),
+        contract.alias("contract_id"),
         *[c for c in METRIC if c != "details"],
         F.to_json(F.struct("details")).alias("measurement_details_json"),
         moment.alias("measurement_ts"),
@@ -182,16 +233,21 @@ def slo_targets(contracts: DataFrame, models: DataFrame, schemas: DataFrame | No
     ).distinct()
 
 
-def with_default_targets(targets: DataFrame) -> DataFrame:
-    """Fill levels an agreement leaves open with the common defaults."""
+def filled_targets(targets: DataFrame) -> DataFrame:
+    """Levels an agreement leaves open are the common defaults; the others stay as written."""
     return targets.withColumns(
         {
             "freshness_slo_hours": F.coalesce("freshness_slo_hours", F.lit(DEFAULT_FRESHNESS_HOURS)),
-            "completeness_slo": fraction_to_percent(F.coalesce("completeness_slo", F.lit(DEFAULT_COMPLETENESS_PCT))),
+            "completeness_slo": F.coalesce("completeness_slo", F.lit(DEFAULT_COMPLETENESS_PCT)),
         }
     )
 
 
+def with_default_targets(targets: DataFrame) -> DataFrame:
+    """The same with shares in percent."""
+    return filled_targets(targets).withColumn("completeness_slo", fraction_to_percent(F.col("completeness_slo")))
+
+
 def required_columns(columns: DataFrame, models: DataFrame) -> DataFrame:
     """Required columns per model name."""
     m = models.select(F.col("id").alias("model_id"), "model_name")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import ntz
 from contractcheck.operators.lookups import lookup_join
+from contractcheck.operators.ordered import with_prior
 
 
 def blank_to_date(text: Column, strict: bool = True) -> Column:
@@ -51,17 +52,62 @@ def standardise(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     )
 
 
+def _one_rate(rates: DataFrame) -> DataFrame:
+    """One row per currency and day: its ``rate``, NULL where several differ, and how many there are."""
+    per_day = rates.dropna(subset=["currency", "day", "rate"]).groupBy("currency", "day").agg(F.min("rate").alias("_low"), F.max("rate").alias("_high"))
+    conflict = F.col("_low") != F.col("_high")
+    return per_day.select("currency", "day", F.when(~conflict, F.col("_low")).alias("rate"), conflict.alias("conflict"))
+
+
+def _converted(amount: Column, rate: Column, scale: int) -> Column:
+    """The product of both as they are, rounded once."""
+    return F.round(amount * rate, scale).cast(f"decimal(38,{scale})")
+
+
+def _rate_status(found: Column, conflict: Column) -> Column:
+    return F.when(conflict, "several rates").when(found.isNull(), "no rate").otherwise("ok")
+
+
 def convert_currency(
-    df: DataFrame, amount: str, currency: str, day: str, rates: DataFrame, into: str = "amount_usd"
+    df: DataFrame, amount: str, currency: str, day: str, rates: DataFrame, into: str = "amount_usd", scale: int = 2
 ) -> DataFrame:
     """Multiply by the rate of the day. ``rates`` holds ``currency, day, rate``.
-    Rows without a rate keep NULL."""
-    daily = rates.groupBy(F.col("currency").alias(currency), F.col("day").alias(day)).agg(
-        F.max("rate").cast("decimal(12,6)").alias("_rate")
+
+    Amounts and rates are multiplied with all their digits and the product is rounded once.
+    ``<into>_status`` is ``ok``, ``no rate``, or ``several rates`` where a day has rates
+    that differ; the last two keep a NULL amount.
+    """
+    daily = _one_rate(rates).select(
+        F.col("currency").alias(currency), F.col("day").alias(day), F.col("rate").alias("_rate"), F.col("conflict").alias("_conflict")
     )
     joined = lookup_join(df, daily, [currency, day], "left")
-    product = (F.col(amount).cast("decimal(18,2)") * F.col("_rate")).cast("decimal(18,2)")
-    return joined.select(*df.columns, product.alias(into))
+    status = _rate_status(F.col("_rate"), F.col("_conflict"))
+    return joined.select(*df.columns, _converted(F.col(amount), F.col("_rate"), scale).alias(into), status.alias(f"{into}_status"))
+
+
+def convert_as_of(
+    df: DataFrame, amount: str, currency: str, day: str, rates: DataFrame, key: str, into: str = "amount_usd", scale: int = 2, slices: int | None = None
+) -> DataFrame:
+    """Multiply by the newest rate up to the row's day.
+
+    Rates and amounts are put in one order per currency and the last rate is carried on. A
+    currency that owns most rows is cut into slices of that order (:func:`with_prior`), so
+    none is one task's work. ``key`` identifies the rows of ``df``. Adds ``rate_day`` too.
+    """
+    known = _one_rate(rates).select(
+        F.col("currency").alias("_c"), F.col("day").alias("_d"), F.lit(0).alias("_kind"), F.lit(None).cast(df.schema[key].dataType).alias("_key"),
+        F.struct(F.col("day").alias("d"), F.col("rate").alias("r"), F.col("conflict").alias("x")).alias("_known"), F.lit(None).cast(df.schema).alias("_row"),
+    )
+    wanted = df.select(
+        F.col(currency).alias("_c"), F.col(day).alias("_d"), F.lit(1).alias("_kind"), F.col(key).alias("_key"),
+        F.lit(None).cast(known.schema["_known"].dataType).alias("_known"), F.struct(*df.columns).alias("_row"),
+    )
+    carried = with_prior(known.unionAll(wanted), ["_c"], ["_d", "_kind", "_key"], maxima={"_last": F.col("_known")}, slices=slices)
+    status = _rate_status(F.col("_last.r"), F.coalesce("_last.x", F.lit(False)))
+    rows = carried.filter(F.col("_kind") == 1)
+    return rows.select(
+        "_row.*", F.col("_last.d").alias("rate_day"), _converted(F.col(f"_row.{amount}"), F.col("_last.r"), scale).alias(into), status.alias(f"{into}_status")
+    )
 
 
 def last_known_rates(rates: DataFrame, as_of: str) -> DataFrame:

@@ -7,7 +7,7 @@ next, so a lost executor never repeats more than the step it was in.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,6 @@ from contractcheck.operators import drift, readiness, reports, slo, storage, ver
 from contractcheck.operators.counters import (
     Check,
     check_from_row,
-    column_counters,
     is_row_check,
     null_spike,
     problem,
@@ -29,15 +28,10 @@ from contractcheck.operators.counters import (
 from contractcheck.operators.drift import column_types
 from contractcheck.operators.lookups import union_all
 from contractcheck.plans.declared import counted, declared_counts
-from contractcheck.schemas import SLO_METRICS, empty
+from contractcheck.plans.shared_scan import Probe, measured, reason_of, table_probes
 from contractcheck.sources.documents import read_contracts, read_model_definitions, split_contracts
 from contractcheck.sources.tables import table_columns
 
-COUNT_COLUMNS = (
-    "table_name string, test_id string, column_name string, check_type string, severity string,"
-    " rows_total bigint, rows_failed bigint"
-)
-
 TABLES_PER_JOB = 20
 
 # Which columns an upsert refreshes; the others are set on insert only.
@@ -66,7 +60,8 @@ CustomTest = Callable[[DataFrame, Check], DataFrame]
 @dataclass(frozen=True)
 class Run:
     """Where a run works and what it does. ``tables`` maps model names to Parquet
-    paths; ``custom_tests`` maps test names to functions giving failing rows."""
+    paths; ``custom_tests`` maps test names to functions giving failing rows. With
+    ``default_levels`` an agreement that names no level is held to the common ones."""
 
     spark: SparkSession
     root: str
@@ -77,6 +72,7 @@ class Run:
     null_spikes: bool = True
     null_spike_threshold: float = 10
     slos: bool = True
+    default_levels: bool = False
     critical_models_block: bool = False
     timestamp_columns: tuple[str, ...] = slo.DEFAULT_TIMESTAMP_COLUMNS
     custom_tests: Mapping[str, CustomTest] = field(default_factory=dict)
@@ -105,13 +101,6 @@ class Run:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def kept_in_batches(self, frames: list[DataFrame], name: str, nothing: DataFrame) -> DataFrame:
-        """As :meth:`kept` for many frames: a few tables per job keep plans small."""
-        if not frames:
-            return self.kept(nothing, name)
-        batches = [frames[i : i + TABLES_PER_JOB] for i in range(0, len(frames), TABLES_PER_JOB)]
-        return union_all([self.kept(union_all(b), f"{name}/{i}") for i, b in enumerate(batches)])
-
     def table(self, model_name: str) -> DataFrame | None:
         path = self.tables.get(model_name)
         try:
@@ -215,21 +204,6 @@ def planned_checks(run: Run) -> dict[str, list[tuple[str, Check]]]:
     return plan
 
 
-def _single(run: Run, table: str, test_id: str, check: Check, counts: DataFrame | None) -> DataFrame:
-    """A counter row for a check that does not fit the common pass."""
-    if counts is None:
-        counts = run.spark.createDataFrame([(None, None)], "rows_total bigint, rows_failed bigint")
-    return counts.select(
-        F.lit(table).alias("table_name"),
-        F.lit(test_id).alias("test_id"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        F.lit(check.kind).alias("check_type"),
-        F.lit(check.severity).alias("severity"),
-        F.col("rows_total").cast("bigint").alias("rows_total"),
-        F.col("rows_failed").cast("bigint").alias("rows_failed"),
-    )
-
-
 def _cross_row_counts(run: Run, df: DataFrame, check: Check) -> DataFrame | None:
     """Counts of a check that needs a shuffle, a second table or the schema."""
     if check.column not in df.columns:
@@ -244,7 +218,7 @@ def _cross_row_counts(run: Run, df: DataFrame, check: Check) -> DataFrame | None
     def other(name: str) -> DataFrame:
         found = run.table(name.strip().removeprefix("ref(").removesuffix(")").strip(" '\""))
         if found is None:
-            raise LookupError(name)
+            raise LookupError(f"table {name} is not mapped or readable")
         return found
 
     counts = declared_counts(df, check, other, run.as_of)
@@ -253,29 +227,24 @@ def _cross_row_counts(run: Run, df: DataFrame, check: Check) -> DataFrame | None
     return counts
 
 
-def _counts_or_none(run: Run, df: DataFrame, check: Check) -> DataFrame | None:
+def _probe(run: Run, table: str, df: DataFrame, test_id: str, check: Check) -> Probe:
+    """The check as a probe, with a reason if it can't be built."""
+    if is_row_check(check):
+        return Probe(table, test_id, check, reason=problem(df, check))
     try:
-        return _cross_row_counts(run, df, check)
-    except Exception:  # such as a missing parameter; logged as an error of this check
-        return None
+        counts, reason = _cross_row_counts(run, df, check), None
+    except Exception as exc:  # such as a missing parameter; an error of this check alone
+        counts, reason = None, reason_of(exc)
+    if counts is None and reason is None:
+        reason = f"no test {check.test_name} for column {check.column}"
+    return Probe(table, test_id, check, counts, reason)
 
 
-def table_counts(run: Run, table: str, df: DataFrame, checks: list[tuple[str, Check]], required: list[str]) -> DataFrame:
-    """Counters of one table. All row-level checks and the null counts of the
-    required columns share one scan. A check that can't be built is an error of
-    its own and costs the others nothing."""
-    broken = {i for i, k in checks if is_row_check(k) and problem(df, k) is not None}
-    fused = [(i, k) for i, k in checks if is_row_check(k) and i not in broken]
-    fused += [(f"required/{c}", Check(c, "not_null", severity="required")) for c in required]
-    names = run.spark.createDataFrame([(p, i) for p, (i, _) in enumerate(fused)], "pos int, test_id string")
-    frames = [_single(run, table, i, k, _counts_or_none(run, df, k)) for i, k in checks if not is_row_check(k)]
-    frames += [_single(run, table, i, k, None) for i, k in checks if i in broken]
-    if fused:
-        counted = column_counters(df, [k for _, k in fused]).join(names, ["pos"])
-        frames.append(
-            counted.select(F.lit(table).alias("table_name"), "test_id", "column_name", "check_type", "severity", "rows_total", "rows_failed")
-        )
-    return union_all(frames) if frames else run.spark.createDataFrame([], COUNT_COLUMNS)
+def table_probes_of(run: Run, table: str, df: DataFrame, checks: list[tuple[str, Check]], required: list[str]) -> list[Probe]:
+    """Declared checks, null counts of the required columns and the table's own facts."""
+    probes = [_probe(run, table, df, i, k) for i, k in checks]
+    probes += [Probe(table, f"required/{c}", Check(c, "not_null", severity="required")) for c in required]
+    return probes + table_probes(table)
 
 
 def required_by_model(run: Run) -> dict[str, list[str]]:
@@ -287,20 +256,24 @@ def required_by_model(run: Run) -> dict[str, list[str]]:
 
 
 def count_all(run: Run) -> DataFrame:
-    """Counters of all planned checks, written once and used by every later step.
+    """Counts of all planned checks and the facts of all registered tables, written once
+    and used by every later step: one scan per table.
 
     Checks of a table that is not mapped or can't be read have no counts and are
     logged as errors; nobody is told "ready" about a table that nobody read.
     """
     plan, required = planned_checks(run), required_by_model(run)
-    frames = []
-    for name in sorted(set(plan) | set(required)):
+    registered = [r.model_name for r in run.read("models").select("model_name").distinct().collect()]
+    tables, probes = {}, []
+    for name in sorted({*plan, *required, *registered}):
         df = run.table(name)
         if df is not None:
-            frames.append(table_counts(run, name, df, plan.get(name, []), required.get(name, [])))
-        elif name in plan:
-            frames.append(union_all([_single(run, name, i, k, None) for i, k in plan[name]]))
-    return run.kept_in_batches(frames, "counts", run.spark.createDataFrame([], COUNT_COLUMNS))
+            tables[name] = df
+            probes += table_probes_of(run, name, df, plan.get(name, []), required.get(name, []))
+        else:
+            gone = [Probe(name, i, k) for i, k in plan.get(name, [])] + table_probes(name, with_moment=False)
+            probes += [replace(p, reason="table is not mapped or readable") for p in gone]
+    return run.kept(measured(run.spark, tables, probes, run.timestamp_columns, TABLES_PER_JOB), "counts")
 
 
 def log_tests(run: Run, counts: DataFrame) -> None:
@@ -310,7 +283,7 @@ def log_tests(run: Run, counts: DataFrame) -> None:
     by_contract = owner.groupBy("table_name").agg(
         F.min_by("contract_id", F.struct((F.col("model_id") != F.col("contract_id")).cast("int"), "model_id")).alias("contract_id")
     )
-    tests = counts.filter(F.col("severity") != "required").join(by_contract, ["table_name"], "left")
+    tests = counts.filter(~F.col("severity").isin("required", "table")).join(by_contract, ["table_name"], "left")
     status = status_of(F.col("rows_total"), F.col("rows_failed"))
     rows = tests.select(
         stable_id(F.lit(run.run_id), F.col("test_id")).alias("id"),
@@ -322,7 +295,7 @@ def log_tests(run: Run, counts: DataFrame) -> None:
         F.col("check_type").alias("test_name"),
         F.col("check_type").alias("test_type"),
         status.alias("status"),
-        F.when(status == "fail", F.concat(F.col("rows_failed").cast("string"), F.lit(" failing"))).alias("failure_message"),
+        F.when(status == "fail", F.concat(F.col("rows_failed").cast("string"), F.lit(" failing"))).when(status == "error", F.col("reason")).alias("failure_message"),
         F.when(status == "fail", F.col("rows_failed")).alias("rows_affected"),
         moment.alias("run_timestamp"),
         F.lit(run.user).alias("configured_by"),
@@ -332,24 +305,13 @@ def log_tests(run: Run, counts: DataFrame) -> None:
 
 
 def log_slos(run: Run, counts: DataFrame) -> None:
-    """Append freshness, completeness and availability of every agreement's model."""
-    targets: dict[tuple[str, str], tuple[set, set]] = {}
-    for t in slo.slo_targets(run.read("contracts"), run.read("models")).collect():
-        hours, shares = targets.setdefault((t.contract_id, t.model_name), (set(), set()))
-        hours.add(t.freshness_slo_hours)
-        shares.add(t.completeness_slo)
-    frames = []
-    for (contract_id, model_name), (hours, shares) in sorted(targets.items()):
-        df, metrics = run.table(model_name), []
-        if df is not None:
-            metrics += [slo.freshness(df, run.timestamp_columns, h, run.as_of) for h in sorted(filter(None, hours))]
-            required = (F.col("table_name") == model_name) & (F.col("severity") == "required")
-            profile = profile_from_counts(counts.filter(required), ())
-            metrics += [slo.completeness(profile, float(c)) for c in sorted(filter(None, shares))]
-        metrics.append(slo.availability(run.spark, run.tables.get(model_name, f"{run.root}/_not_mapped/{model_name}")))
-        if metrics:
-            frames.append(slo.measured(union_all(metrics), contract_id, run.as_of, model_name))
-    rows = run.kept_in_batches(frames, "slos", empty(run.spark, SLO_METRICS))
+    """Append freshness, completeness and availability of every agreement's model, all out of the run's counts."""
+    targets = slo.slo_targets(run.read("contracts"), run.read("models"))
+    if run.default_levels:
+        targets = slo.filled_targets(targets)
+    profile = profile_from_counts(counts.filter(F.col("severity") == "required"), ("table_name",))
+    found = slo.levels(targets, counts, profile, run.as_of)
+    rows = run.kept(slo.measured(found, F.col("contract_id"), run.as_of, F.col("model_name")), "slos")
     storage.append_once(rows, run.root, "slo_metrics", run.day)
 
 
@@ -420,4 +382,6 @@ def run_daily(run: Run, contracts_path: str, models_path: str | None = None) ->
             run.spark, run.root, table, run.retention_days, run.as_of, run.archive, run.retention_enabled
         )
     summary = reports.run_summary(run.log("test_results", run.day).filter(F.col("run_id") == run.run_id))
-    return reports.with_levels_and_rejects(summary, run.log("slo_metrics", run.day), rejects, run.run_id, run.as_of)
+    return reports.with_levels_and_rejects(
+        summary, run.log("slo_metrics", run.day), rejects, run.run_id, run.as_of, run.log("data_quality_log", run.day)
+    )

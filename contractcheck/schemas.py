@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _L, _I, _B = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType()
-_TS, _D, _DEC = T.TimestampNTZType(), T.DoubleType(), T.DecimalType(10, 4)
+_TS, _D = T.TimestampNTZType(), T.DoubleType()
 
 
 def _table(required: dict[str, T.DataType], optional: dict[str, T.DataType]) -> T.StructType:
@@ -19,14 +19,14 @@ CONTRACTS = _table(
     {"id": _S, "name": _S, "version": _S, "domain": _S},
     {
         "owner_name": _S, "owner_email": _S, "owner_slack": _S, "source_path": _S, "description": _S,
-        "slo_freshness_hours": _I, "slo_completeness": _DEC, "slo_accuracy": _DEC, "slo_availability": _DEC,
+        "slo_freshness_hours": _D, "slo_completeness": _D, "slo_accuracy": _D, "slo_availability": _D,
         "published_at": _TS, "published_by": _S, "contract_json": _S, "_created_ts": _TS, "_updated_ts": _TS,
     },
 )
 MODELS = _table(
     {"id": _S, "model_name": _S, "schema_name": _S},
     {
-        "contract_id": _S, "materialized_as": _S, "freshness_slo_hours": _I, "completeness_slo": _DEC,
+        "contract_id": _S, "materialized_as": _S, "freshness_slo_hours": _D, "completeness_slo": _D,
         "critical": _B, "pii_flag": _B, "owner_name": _S, "meta_json": _S, "_created_ts": _TS, "_updated_ts": _TS,
     },
 )

@@ -9,6 +9,7 @@ from contractcheck.operators.counters import Check, column_counters, null_profil
 from contractcheck.operators.drift import column_types
 from contractcheck.operators.slo import completeness
 from contractcheck.operators.values import check_accepted, check_expression
+from contractcheck.plans.shared_scan import Probe, measured, table_probes
 from contractcheck.workload.base import AS_OF, query, sql_pct2, table
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -307,3 +308,43 @@ def orders_contract_results(spark, d):
     """The common result rows of one table's agreement, from one scan."""
     counts = column_counters(orders_with_gaps(spark, d), ORDER_CHECKS)
     return to_results(counts, AS_OF, "orders", "sales/orders", "sales/orders")
+
+
+INVALID_PROBES = {
+    "parts": [
+        Check("p_partkey", "not_null"),
+        Check("size_text", "expression_is_true", {"expression": "> 0"}),
+        Check("p_name", "not_null"),
+        Check("size_text", "max_length", {"value": 2}),
+        Check("p_retailprice", "expression_is_true", {"expression": "> 1000"}),
+    ],
+    "customers": [Check("c_acctbal", "expression_is_true", {"expression": "< 0"}), Check("c_name", "expression_is_true", {"expression": "= 1"})],
+}
+
+
+@query(
+    "invalid_checks",
+    """
+WITH p AS (SELECT *, CASE WHEN p_size % 10 = 3 THEN 'oops' ELSE CAST(p_size AS VARCHAR) END AS size_text FROM part),
+n AS (
+  SELECT 'parts' AS table_name, 'p_partkey' AS column_name, 'not_null' AS check_type, count(*) AS rows_total, count(*) FILTER (p_partkey IS NULL) AS rows_failed, NULL AS reason FROM p
+  UNION ALL SELECT 'parts', 'size_text', 'expression_is_true', NULL, NULL, 'CAST_INVALID_INPUT'
+  UNION ALL SELECT 'parts', 'p_name', 'not_null', count(*), count(*) FILTER (p_name IS NULL), NULL FROM p
+  UNION ALL SELECT 'parts', 'size_text', 'max_length', count(*), count(*) FILTER (length(size_text) > 2), NULL FROM p
+  UNION ALL SELECT 'parts', 'p_retailprice', 'expression_is_true', count(*), count(*) FILTER (NOT p_retailprice > 1000), NULL FROM p
+  UNION ALL SELECT 'parts', NULL, 'table', count(*), 0, NULL FROM p
+  UNION ALL SELECT 'customers', 'c_acctbal', 'expression_is_true', count(*), count(*) FILTER (NOT c_acctbal < 0), NULL FROM customer
+  UNION ALL SELECT 'customers', 'c_name', 'expression_is_true', NULL, NULL, 'CAST_INVALID_INPUT'
+  UNION ALL SELECT 'customers', NULL, 'table', count(*), 0, NULL FROM customer)
+SELECT table_name, column_name, check_type, rows_total, rows_failed, reason,
+       CASE WHEN rows_failed IS NULL THEN 'error' WHEN rows_total = 0 THEN 'unknown' WHEN rows_failed = 0 THEN 'pass' ELSE 'fail' END AS status FROM n""",
+)
+def invalid_checks(spark, d):
+    """Checks that fail while they run stand as errors with their reason; all others of both tables are counted."""
+    size = F.when(F.col("p_size") % 10 == 3, "oops").otherwise(F.col("p_size").cast("string"))
+    tables = {"parts": table(spark, d, "part").withColumn("size_text", size), "customers": table(spark, d, "customer")}
+    probes = [Probe(name, f"{name}/{i}", k) for name, checks in INVALID_PROBES.items() for i, k in enumerate(checks)]
+    probes += [p for name in tables for p in table_probes(name, with_moment=False)]
+    rows = measured(spark, tables, probes)
+    shown = F.regexp_extract("reason", r"\[([A-Z_]+)", 1)
+    return rows.select("table_name", "column_name", "check_type", "rows_total", "rows_failed", shown.alias("reason"), status_of(F.col("rows_total"), F.col("rows_failed")).alias("status"))

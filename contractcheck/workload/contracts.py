@@ -26,9 +26,9 @@ name: part_<key>
 owner: {name: "<ptype> team", email: "<ptype>@example.com"}
 critical: <critical>
 slos:
-  freshness: {max_age_hours: <size>}
-  completeness: {min_coverage: 0.9<digit>}
-  accuracy: {tolerance: "± 0.0<digit>1%"}
+  freshness: {max_age_hours: <size>.5}
+  completeness: {min_coverage: 0.9999<digit>}
+  accuracy: {tolerance: "± <digit>e-05 %"}
   availability: {target_uptime: 0.99<digit>}
 tags:
   - core
@@ -113,15 +113,13 @@ cols AS (
     f"""
 WITH {PARTS_SQL}
 SELECT id, name, '1.' || CAST(p_size % 4 AS VARCHAR) AS version, domain, p_type || ' team' AS owner_name, p_type || '@example.com' AS owner_email,
-       CAST(NULL AS VARCHAR) AS owner_slack, source_path, p_name AS description, p_size AS slo_freshness_hours,
-       CAST('0.9' || CAST(fault AS VARCHAR) AS DOUBLE) AS slo_completeness, CAST('0.0' || CAST(fault AS VARCHAR) || '1' AS DOUBLE) AS slo_accuracy,
+       CAST(NULL AS VARCHAR) AS owner_slack, source_path, p_name AS description, CAST(p_size + 0.5 AS DOUBLE) AS slo_freshness_hours,
+       CAST('0.9999' || CAST(fault AS VARCHAR) AS DOUBLE) AS slo_completeness, CAST(CAST(fault AS VARCHAR) || 'e-05' AS DOUBLE) AS slo_accuracy,
        CAST('0.99' || CAST(fault AS VARCHAR) AS DOUBLE) AS slo_availability
 FROM good""",
 )
 def extract_contracts(spark, d):
-    rows = reg.extract_contracts(usable(spark, d)).drop("contract_json")
-    shares = ("slo_completeness", "slo_accuracy", "slo_availability")
-    return rows.withColumns({c: F.col(c).cast("double") for c in shares})
+    return reg.extract_contracts(usable(spark, d)).drop("contract_json")
 
 
 @query(
@@ -152,12 +150,12 @@ def contract_lint(spark, d):
     "contract_models",
     f"""
 WITH {PARTS_SQL}
-SELECT id, name AS model_name, 'analytics' AS schema_name, id AS contract_id, 'table' AS materialized_as, p_size AS freshness_slo_hours,
-       CAST('0.9' || CAST(fault AS VARCHAR) AS DOUBLE) AS completeness_slo, p_size % 2 = 0 AS critical, false AS pii_flag, p_type || ' team' AS owner_name
+SELECT id, name AS model_name, 'analytics' AS schema_name, id AS contract_id, 'table' AS materialized_as, CAST(p_size + 0.5 AS DOUBLE) AS freshness_slo_hours,
+       CAST('0.9999' || CAST(fault AS VARCHAR) AS DOUBLE) AS completeness_slo, p_size % 2 = 0 AS critical, false AS pii_flag, p_type || ' team' AS owner_name
 FROM good""",
 )
 def contract_models(spark, d):
-    return reg.contract_models(usable(spark, d)).withColumn("completeness_slo", F.col("completeness_slo").cast("double"))
+    return reg.contract_models(usable(spark, d))
 
 
 @query(
@@ -211,7 +209,7 @@ models:
     meta:
       contract: "<contract>"
       owner: "owner <nation>"
-      slo_freshness_hours: <nation>
+      slo_freshness_hours: <nation>.25
       slo_completeness: 0.<nation>
       critical: <critical>
     config: {materialized: table, tags: [a, b]}
@@ -252,7 +250,7 @@ sup AS (SELECT *, CAST(s_suppkey AS VARCHAR) AS k, CAST(s_nationkey AS VARCHAR)
                     ELSE 'nowhere' END AS contract FROM supplier),
 models AS (
   SELECT 'dbt/m_' || k AS id, 'm_' || k AS model_name, 'analytics' AS schema_name, contract AS contract_id, 'table' AS materialized_as,
-         s_nationkey AS freshness_slo_hours, CAST('0.' || n AS DOUBLE) AS completeness_slo, s_suppkey % 2 = 0 AS critical, false AS pii_flag,
+         CAST(s_nationkey + 0.25 AS DOUBLE) AS freshness_slo_hours, CAST('0.' || n AS DOUBLE) AS completeness_slo, s_suppkey % 2 = 0 AS critical, false AS pii_flag,
          'owner ' || n AS owner_name FROM sup
   UNION ALL
   SELECT 'dbt/v_' || k, 'v_' || k, 'analytics', NULL, 'view', NULL, NULL, false, false, NULL FROM sup)"""
@@ -261,7 +259,7 @@ models AS (
 @query("model_definitions", f"WITH {MODELS_SQL} SELECT * FROM models")
 def model_definitions(spark, d):
     rows = reg.extract_models(model_docs(spark, d)).drop("meta_json")
-    return rows.withColumn("completeness_slo", F.col("completeness_slo").cast("double"))
+    return rows
 
 
 @query(
@@ -320,7 +318,7 @@ FROM resolved JOIN sup ON contract_id = 'agreed/' || k""",
 def slo_targets(spark, d):
     contracts = supplier_contracts(spark, d)
     models = reg.resolve_contract(reg.extract_models(model_docs(spark, d)), contracts)
-    return slo.slo_targets(contracts, models, schemas=models).withColumn("completeness_slo", F.col("completeness_slo").cast("double"))
+    return slo.slo_targets(contracts, models, schemas=models)
 
 
 @query(

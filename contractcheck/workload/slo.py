@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from contractcheck.operators import keys, slo
-from contractcheck.operators.counters import null_profile
+from contractcheck.operators.counters import Check, null_profile, profile_from_counts
 from contractcheck.operators.lookups import union_all
+from contractcheck.plans.shared_scan import Probe, measured, table_probes
 from contractcheck.sources.tables import run_metrics
 from contractcheck.workload.base import AS_OF, query, sql_pct2, table
 from contractcheck.workload.columns import ORDER_COLUMNS, ORDERS_SQL, _per_column, orders_with_gaps
@@ -75,7 +78,66 @@ FROM s""",
 def accuracy_recon(spark, d):
     lines = table(spark, d, "lineitem")
     shifted = F.col("l_extendedprice") + F.when(F.col("l_orderkey") % 1000 == 0, 1).otherwise(0)
-    return slo.reconcile(lines, shifted, lines, "l_extendedprice", 0.01)
+    return slo.reconcile(lines, shifted.cast("decimal(18,2)"), lines, F.col("l_extendedprice").cast("decimal(18,2)"), 0.01)
+
+
+@query(
+    "accuracy_recon_small",
+    """
+WITH s AS (
+  SELECT sum(CAST(l_quantity AS DECIMAL(18,0)) * CAST(0.000000000004 AS DECIMAL(14,12))) AS a,
+         sum(CAST(l_quantity AS DECIMAL(18,0)) * CAST(0.000000000001 AS DECIMAL(14,12))) AS b FROM lineitem)
+SELECT 'accuracy' AS metric_type, CAST(b AS DOUBLE) AS expected_value, CAST(a AS DOUBLE) AS actual_value, 'fail' AS status, 'high' AS severity,
+       'difference ' || CAST(a - b AS VARCHAR) AS details
+FROM s""",
+)
+def accuracy_recon_small(spark, d):
+    """Sums far below a ten-billionth are compared as they are."""
+    lines = table(spark, d, "lineitem")
+
+    def part(share: str):
+        return F.col("l_quantity").cast("decimal(18,0)") * F.lit(share).cast("decimal(14,12)")
+
+    return slo.reconcile(lines, part("0.000000000004"), lines, part("0.000000000001"), 0.01)
+
+
+TARGETS = [
+    ("sales/events", "events", 0.5, 0.99999),
+    ("sales/events", "events", 1000000.0, 1e-05),
+    ("sales/open", "events", None, None),
+    ("sales/lines", "lines", 0.25, 0.5),
+    ("sales/ghost", "ghost", 1.0, 0.5),
+]
+
+
+@query(
+    "run_levels",
+    f"""
+WITH t(contract_id, model_name, hours, share) AS (VALUES ('sales/events', 'events', 0.5::DOUBLE, 99.999::DOUBLE), ('sales/events', 'events', 1000000, 0.001),
+       ('sales/open', 'events', 24, 99), ('sales/lines', 'lines', 0.25, 50)),
+f AS (SELECT 'events' AS model_name, max(ts) AS latest, count(*) AS n, 2 AS columns,
+        (20000 * count(*) FILTER (user_id % 7 <> 0) + count(*)) // (2 * count(*)) + (20000 * count(value) + count(*)) // (2 * count(*)) AS points FROM events
+      UNION ALL SELECT 'lines', NULL, count(*), 0, 0 FROM lineitem),
+m AS (SELECT t.*, n, columns, CAST((200 * date_diff('microsecond', latest, TIMESTAMP '{AS_OF}') + 3600000000) // 7200000000 AS DOUBLE) / 100 AS age,
+        CASE WHEN columns = 0 THEN 100.0 ELSE CAST((2 * CAST(points AS BIGINT) + columns) // (2 * columns) AS DOUBLE) / 100 END AS pct FROM t JOIN f USING (model_name)),
+r AS (
+  SELECT contract_id, model_name, 'freshness' AS metric_type, hours AS expected_value, age AS actual_value,
+         CASE WHEN age IS NULL THEN 'unknown' WHEN age <= hours THEN 'pass' ELSE 'fail' END AS status FROM m
+  UNION ALL SELECT contract_id, model_name, 'completeness', share, pct, CASE WHEN columns = 0 THEN 'unknown' WHEN pct >= share THEN 'pass' ELSE 'fail' END FROM m
+  UNION ALL SELECT DISTINCT contract_id, model_name, 'availability', 99.9::DOUBLE, 100.0::DOUBLE, 'pass' FROM m
+  UNION ALL SELECT 'sales/ghost', 'ghost', 'availability', 99.9::DOUBLE, 0.0::DOUBLE, 'fail')
+SELECT * FROM r""",
+)
+def run_levels(spark, d):
+    """All levels of several agreements out of one scan per table; levels left open take the defaults."""
+    events = table(spark, d, "events").select(F.col("ts").alias("updated_at"), F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id"), "value")
+    probes = [*table_probes("events"), *table_probes("lines")]
+    probes += [Probe("events", f"required/{c}", Check(c, "not_null", severity="required")) for c in ("user_id", "value")]
+    probes += [replace(p, reason="table is not mapped or readable") for p in table_probes("ghost")]
+    counts = measured(spark, {"events": events, "lines": table(spark, d, "lineitem")}, probes, slo.DEFAULT_TIMESTAMP_COLUMNS)
+    targets = spark.createDataFrame(TARGETS, "contract_id string, model_name string, freshness_slo_hours double, completeness_slo double")
+    profile = profile_from_counts(counts.filter(F.col("severity") == "required"), ("table_name",))
+    return slo.levels(slo.filled_targets(targets), counts, profile, AS_OF).drop("severity", "details")
 
 
 @query(

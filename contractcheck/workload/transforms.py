@@ -87,19 +87,52 @@ def rates(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+FINE_SQL = f"""{RATES_SQL},
+fine AS (SELECT currency, day, CAST(rate AS DECIMAL(18,8)) + CAST(0.00000037 AS DECIMAL(9,8)) AS rate FROM rates),
+amounts AS (SELECT o_orderkey, o_custkey % 25 AS currency, CAST(o_orderdate AS DATE) AS day,
+              CAST(o_totalprice AS DECIMAL(14,2)) + CAST(0.0049 AS DECIMAL(5,4)) AS amount FROM orders)"""
+
+
+def fine_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates with eight places; currency 3 has two rates a day that differ."""
+    some = rates(spark, d).withColumn("rate", F.col("rate").cast("decimal(18,8)") + F.lit("0.00000037").cast("decimal(9,8)"))
+    return some.unionByName(some.filter("currency = 3").withColumn("rate", F.col("rate") + F.lit(1).cast("decimal(1,0)")))
+
+
+def fine_amounts(spark: SparkSession, d: str) -> DataFrame:
+    amount = F.col("o_totalprice").cast("decimal(14,2)") + F.lit("0.0049").cast("decimal(5,4)")
+    return table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 25).alias("currency"), F.to_date("o_orderdate").alias("day"), amount.alias("amount"))
+
+
 @query(
     "fx_convert",
-    f"""WITH {RATES_SQL}
-SELECT o_orderkey, o_custkey % 25 AS currency, CAST(o_orderdate AS DATE) AS day,
-       CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(12,6)) AS DECIMAL(18,2)) AS DOUBLE) AS amount_usd
-FROM orders LEFT JOIN rates ON currency = o_custkey % 25 AND day = CAST(o_orderdate AS DATE)""",
+    f"""WITH {FINE_SQL}
+SELECT o_orderkey, amounts.currency, amounts.day, CASE WHEN amounts.currency <> 3 THEN CAST(CAST(amount * rate AS DECIMAL(38,2)) AS DOUBLE) END AS amount_usd,
+       CASE WHEN rate IS NULL THEN 'no rate' WHEN amounts.currency = 3 THEN 'several rates' ELSE 'ok' END AS amount_usd_status
+FROM amounts LEFT JOIN fine ON fine.currency = amounts.currency AND fine.day = amounts.day""",
 )
 def fx_convert(spark, d):
-    amounts = table(spark, d, "orders").select(
-        "o_orderkey", (F.col("o_custkey") % 25).alias("currency"), F.to_date("o_orderdate").alias("day"), "o_totalprice"
-    )
-    done = transforms.convert_currency(amounts, "o_totalprice", "currency", "day", rates(spark, d))
-    return done.select("o_orderkey", "currency", "day", F.col("amount_usd").cast("double").alias("amount_usd"))
+    """Amounts of four and rates of eight places, rounded once; a day with two rates is no amount but a finding."""
+    done = transforms.convert_currency(fine_amounts(spark, d), "amount", "currency", "day", fine_rates(spark, d))
+    return done.drop("amount").withColumn("amount_usd", F.col("amount_usd").cast("double"))
+
+
+@query(
+    "fx_asof",
+    f"""WITH {FINE_SQL},
+gaps AS (SELECT * FROM fine WHERE day(day) IN (1, 11) AND currency <> 7),
+hot AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 5 ELSE currency END AS currency, day, amount FROM amounts)
+SELECT o_orderkey, hot.currency, hot.day, gaps.day AS rate_day, CASE WHEN hot.currency <> 3 THEN CAST(CAST(amount * rate AS DECIMAL(38,2)) AS DOUBLE) END AS amount_usd,
+       CASE WHEN rate IS NULL THEN 'no rate' WHEN hot.currency = 3 THEN 'several rates' ELSE 'ok' END AS amount_usd_status
+FROM hot ASOF LEFT JOIN gaps ON gaps.currency = hot.currency AND hot.day >= gaps.day""",
+)
+def fx_asof(spark, d):
+    """The newest rate up to the day. Rates come on few days, one currency owns half of the rows, one has no rate."""
+    currency = F.when(F.col("o_orderkey") % 2 == 0, 5).otherwise(F.col("currency"))
+    amounts = fine_amounts(spark, d).withColumn("currency", currency)
+    known = fine_rates(spark, d).filter("day(day) IN (1, 11) AND currency <> 7")
+    done = transforms.convert_as_of(amounts, "amount", "currency", "day", known, "o_orderkey", slices=8)
+    return done.drop("amount").withColumn("amount_usd", F.col("amount_usd").cast("double"))
 
 
 @query(

@@ -1,6 +1,7 @@
 """Row-level and cross-row checks on small frames with the awkward cases."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import ntz
 from contractcheck.operators import drift, keys, slo, values
@@ -170,6 +171,20 @@ def test_reconcile(spark, rows):
     assert rows(slo.reconcile(a.limit(0), "v", b, "v"))[0]["status"] == "unknown"
 
 
+def test_reconcile_values_of_any_size(spark, rows):
+    def status(x, y, kind="double", tolerance=0.01):
+        one, two = (spark.createDataFrame([(v,)], "v string").select(F.col("v").cast(kind).alias("v")) for v in (x, y))
+        r = rows(slo.reconcile(one, "v", two, "v", tolerance))[0]
+        return r["status"], r["details"]
+
+    assert status("4e-12", "1e-12") == ("fail", "difference 0.000000000003000000")
+    assert status("4e-30", "1e-30")[0] == "fail" and status("1e-30", "1e-30")[0] == "pass"
+    assert status("1e300", "1e300")[0] == "pass" and status("2e300", "1e300")[0] == "fail"
+    assert status("1" * 30, "1" * 30, "decimal(38,0)") == ("pass", "difference 0.00")
+    assert status("0.0000000000003", "0.0000000000001", "decimal(38,13)")[0] == "fail"
+    assert status("7", "7", "bigint") == ("pass", "difference 0.00")
+
+
 def test_default_targets(spark, rows):
     df = spark.createDataFrame([(None, None), (3, 0.5)], "freshness_slo_hours int, completeness_slo double")
     assert rows(slo.with_default_targets(df)) == [
