@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import pct2
-from contractcheck.operators.lookups import key_counts, renamed_keys
+from contractcheck.functions.text import quote_name
+from contractcheck.operators.lookups import all_of, key_counts, renamed_keys
 
 
 def _one(df: DataFrame, *aggs) -> DataFrame:
@@ -41,6 +42,39 @@ def check_unique(df: DataFrame, keys: Sequence[str], digest: bool = False) -> Da
     )
 
 
+def check_unique_many(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """:func:`check_unique` of several keys out of one scan and one shuffle.
+
+    The rows of all key sets go through one aggregate (grouping sets), which counts in each
+    task before the shuffle, so a hot key travels as one row per task and set. Adds ``pos``,
+    the place of the key set in the list.
+    """
+    sets = [list(dict.fromkeys(keys)) for keys in key_sets]
+    columns = list(dict.fromkeys(c for keys in sets for c in keys))
+    # The bits of grouping_id: the first column is the highest, 1 if it is not in the set.
+    bits = {c: 1 << i for i, c in enumerate(reversed(columns))}
+    number = [sum(b for c, b in bits.items() if c not in keys) for keys in sets]
+    distinct_sets = {n: keys for n, keys in zip(number, sets, strict=True)}
+    named = df.select(*[F.col(quote_name(c)).alias(f"k{i}") for i, c in enumerate(columns)])
+    place = {c: F.col(f"k{i}") for i, c in enumerate(columns)}
+    grouped = named.groupingSets([[place[c] for c in keys] for keys in distinct_sets.values()], *[place[c] for c in columns])
+    per_key = grouped.agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    present = F.lit(False)
+    for n, keys in distinct_sets.items():
+        present = present | ((F.col("_set") == n) & all_of([place[c].isNotNull() for c in keys]))
+    repeated = present & (F.col("_n") > 1)
+    per_set = per_key.groupBy("_set").agg(
+        F.sum("_n").alias("rows_total"),
+        F.count_if(present).alias("keys_total"),
+        F.count_if(repeated).alias("rows_failed"),
+        F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0)).alias("duplicate_rows"),
+    )
+    # One row per set; an empty table has none there.
+    wanted = df.sparkSession.createDataFrame(list(enumerate(number)), "pos int, _set bigint")
+    counts = ["rows_total", "keys_total", "rows_failed", "duplicate_rows"]
+    return wanted.join(per_set, ["_set"], "left").select("pos", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+
+
 def orphan_keys(child: DataFrame, key: Sequence[str], parent: DataFrame, parent_key: Sequence[str]) -> DataFrame:
     """Child keys without a parent. Both sides are reduced to one row per key
     before they meet, so a hot key costs no more than any other."""

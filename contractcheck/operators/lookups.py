@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALT = "_salt"
-MAX_SALTS = 64
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -18,15 +17,9 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, complex_types)]
 
 
-def _spark_would_broadcast(dim: DataFrame) -> bool:
-    """Spark's own size estimate of ``dim`` against its broadcast limit."""
-    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
-
-
 def default_salts(df: DataFrame) -> int:
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_SALTS, tasks // 4))
+    """A quarter of the tasks of a shuffle."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
 
 
 def lookup_join(
@@ -39,19 +32,18 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to ``dim``, which holds about one row per key.
 
-    A ``dim`` whose estimated size is below the session's broadcast limit is left
-    to Spark, which broadcasts it. Beyond that the rows of one key are spread over
-    ``salts`` tasks by a hash of the row itself (repeatable when a task is retried)
-    and ``dim`` is repeated once per salt, so a key that owns a third of ``facts``
-    never lands in one task. The kind of join is left open: an aggregate that turns
-    out small when it is written to the shuffle is still broadcast by its real size.
+    Without ``salts`` the join is adaptive: by the sizes measured when both sides have been
+    written to the shuffle, Spark broadcasts a small ``dim`` or splits the partitions that a
+    hot key makes large, repeating their part of ``dim``. No estimate decides. With ``salts``
+    the rows of one key are spread over so many tasks by a hash of the row itself
+    (repeatable on retry) and ``dim`` is repeated once per salt: for joins whose keys are
+    known to be few and hot, or sessions without adaptive execution.
     """
-    if _spark_would_broadcast(dim):
+    if salts is None:
         return facts.join(dim, list(on), how)
-    n = salts or default_salts(facts)
     spread = list(spread_by or _hashable(facts))
-    salted = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
-    copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    salted = facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, SALT], how).drop(SALT)
 
 

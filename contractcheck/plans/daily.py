@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import ntz
-from contractcheck.functions.text import stable_id
+from contractcheck.functions.text import quote_name, stable_id
 from contractcheck.operators import contracts as registry
 from contractcheck.operators import drift, readiness, reports, slo, storage, versions
 from contractcheck.operators.counters import (
@@ -27,7 +27,7 @@ from contractcheck.operators.counters import (
 )
 from contractcheck.operators.drift import column_types
 from contractcheck.operators.lookups import union_all
-from contractcheck.plans.declared import counted, declared_counts
+from contractcheck.plans.declared import counted, declared_counts, unique_key
 from contractcheck.plans.shared_scan import Probe, measured, reason_of, table_probes
 from contractcheck.sources.documents import read_contracts, read_model_definitions, split_contracts
 from contractcheck.sources.tables import table_columns
@@ -232,6 +232,10 @@ def _probe(run: Run, table: str, df: DataFrame, test_id: str, check: Check) -> P
     if is_row_check(check):
         return Probe(table, test_id, check, reason=problem(df, check))
     try:
+        key = None if check.test_name in run.custom_tests else unique_key(check)
+        if key:
+            df.select(*[quote_name(c) for c in key]).schema  # noqa: B018  (absent columns show here)
+            return Probe(table, test_id, check, key=tuple(key))
         counts, reason = _cross_row_counts(run, df, check), None
     except Exception as exc:  # such as a missing parameter; an error of this check alone
         counts, reason = None, reason_of(exc)

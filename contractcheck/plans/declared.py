@@ -37,13 +37,17 @@ def _summed(groups: DataFrame) -> DataFrame:
     return groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_total", "rows_failed")])
 
 
-def _unique(df: DataFrame, check: Check, other: Other) -> DataFrame:
-    """``columns`` makes the key composite."""
-    return keys.check_unique(df, _names(check.params.get("columns")) or [check.column])
+def unique_key(check: Check) -> list[str] | None:
+    """The columns that a uniqueness test declares, None for other tests; ``columns`` makes the key composite."""
+    if check.kind == "unique":
+        return _names(check.params.get("columns")) or [check.column]
+    if check.kind == "unique_combination_of_columns":
+        return _names(check.params["combination_of_columns"])
+    return None
 
 
-def _unique_combination(df: DataFrame, check: Check, other: Other) -> DataFrame:
-    return keys.check_unique(df, _names(check.params["combination_of_columns"]))
+def _unique(df: DataFrame, check: Check, other: Other) -> DataFrame:
+    return keys.check_unique(df, unique_key(check))
 
 
 def _relationships(df: DataFrame, check: Check, other: Other) -> DataFrame:
@@ -87,7 +91,7 @@ def _sequential_values(df: DataFrame, check: Check, other: Other) -> DataFrame:
 
 TESTS: dict[str, Callable[[DataFrame, Check, Other], DataFrame]] = {
     "unique": _unique,
-    "unique_combination_of_columns": _unique_combination,
+    "unique_combination_of_columns": _unique,
     "relationships": _relationships,
     "equal_rowcount": _equal_rowcount,
     "cardinality_equality": _cardinality_equality,

@@ -1,7 +1,8 @@
 """Everything a run wants to know about its tables, one aggregate per table.
 
 The probes of a table (row checks, null counts of required columns, its row count, its
-newest moment) become one aggregate and so one scan; those of many tables make one job.
+newest moment) become one aggregate and so one scan, all its unique keys a second one with
+one shuffle; those of many tables make one job.
 A probe that fails while it runs, such as a cast of ``oops`` to a number, would take the
 whole job with it. Then the probes are halved and each half is counted again, until the
 culprits stand alone: they become error rows with their reason and all others keep their
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from contractcheck.operators.counters import MAX_COUNTERS_PER_PASS, Check, is_row_check, row_counter
+from contractcheck.operators.keys import check_unique_many
 from contractcheck.operators.lookups import union_all
 from contractcheck.operators.slo import newest
 
@@ -37,12 +39,14 @@ ROW_COUNT, NEWEST = "table", "newest"
 @dataclass(frozen=True)
 class Probe:
     """One thing to count. ``counts`` holds ``rows_total, rows_failed`` of a check that
-    needs more than its table's rows; ``reason`` says why a probe cannot be counted."""
+    needs more than its table's rows, ``key`` the columns of a key that must be unique;
+    ``reason`` says why a probe cannot be counted."""
 
     table: str
     test_id: str
     check: Check
     counts: DataFrame | None = None
+    key: tuple[str, ...] = ()
     reason: str | None = None
 
 
@@ -84,7 +88,7 @@ def _measures(total, failed, latest=None) -> list:
 
 
 def _in_scan(p: Probe) -> bool:
-    return p.counts is None and (is_row_check(p.check) or p.check.kind in (ROW_COUNT, NEWEST))
+    return p.counts is None and not p.key and (is_row_check(p.check) or p.check.kind in (ROW_COUNT, NEWEST))
 
 
 def _scan(df: DataFrame, probes: Sequence[Probe], ts_columns: Sequence[str]) -> DataFrame:
@@ -105,6 +109,13 @@ def _scan(df: DataFrame, probes: Sequence[Probe], ts_columns: Sequence[str]) ->
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
+def _unique_keys(df: DataFrame, probes: Sequence[Probe]) -> DataFrame:
+    """All unique keys of one table in one shuffle."""
+    labels = F.element_at(F.array(*[F.struct(*_labels(p)) for p in probes]), F.col("pos") + 1)
+    found = check_unique_many(df, [p.key for p in probes]).withColumn("label", labels)
+    return found.select("label.*", *_measures(F.col("rows_total"), F.col("rows_failed")))
+
+
 def one_pass(tables: Mapping[str, DataFrame], probes: Sequence[Probe], ts_columns: Sequence[str]) -> DataFrame:
     """The counts of all probes as one frame: a scan per table, and one per ``MAX_COUNTERS_PER_PASS`` more of its probes."""
     frames = []
@@ -112,8 +123,11 @@ def one_pass(tables: Mapping[str, DataFrame], probes: Sequence[Probe], ts_column
         own = [p for p in probes if p.table == name and _in_scan(p)]
         for start in range(0, len(own), MAX_COUNTERS_PER_PASS):
             frames.append(_scan(tables[name], own[start : start + MAX_COUNTERS_PER_PASS], ts_columns))
+        unique = [p for p in probes if p.table == name and p.key]
+        if unique:
+            frames.append(_unique_keys(tables[name], unique))
     for p in probes:
-        if not _in_scan(p):
+        if p.counts is not None:
             frames.append(p.counts.select(*_labels(p), *_measures(F.col("rows_total"), F.col("rows_failed"))))
     return union_all(frames)
 

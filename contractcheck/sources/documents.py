@@ -12,14 +12,16 @@ YAML_FILES = "*.{yaml,yml}"
 
 
 def read_text_files(spark: SparkSession, path: str, pattern: str = YAML_FILES) -> DataFrame:
-    """One row per file below ``path``: ``source_path, text``. Spark has no row for a
-    file of zero bytes."""
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("text"))
-    )
+    """One row per file below ``path``: ``source_path, text``.
+
+    Spark's readers have no row for a file of zero bytes, but list it; it gets an empty text.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    files = reader.text(path, wholetext=True)
+    texts = files.select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("text"))
+    # A local path is listed as file:///x and read as file:/x.
+    listed = spark.createDataFrame([(f.replace(":///", ":/"),) for f in files.inputFiles()], "source_path string")
+    return listed.join(texts, ["source_path"], "left").select("source_path", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def parse_documents(files: DataFrame) -> DataFrame:

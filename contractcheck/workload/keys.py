@@ -23,6 +23,16 @@ def unique_composite(spark, d):
     return keys.check_unique(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+KEY_SETS = [["l_orderkey", "l_linenumber"], ["l_partkey"], ["l_suppkey", "l_partkey", "l_orderkey"], ["l_returnflag"], ["l_orderkey", "l_linenumber"]]
+MANY_SQL = "\nUNION ALL\n".join(f"SELECT {i} AS pos, * FROM ({UNIQUE_SQL.format(keys=', '.join(k), table='lineitem')})" for i, k in enumerate(KEY_SETS))
+
+
+@query("unique_many_keys", MANY_SQL)
+def unique_many_keys(spark, d):
+    """Five declared keys of one table, one scan and one shuffle."""
+    return keys.check_unique_many(table(spark, d, "lineitem"), KEY_SETS)
+
+
 @query(
     "duplicate_keys",
     """SELECT l_orderkey, l_linenumber, count(*) AS rows_per_key FROM lineitem

@@ -297,3 +297,12 @@ def test_text_without_content(spark):
     files = spark.createDataFrame([("a", "x: 1"), ("b", None), ("c", "")], "source_path string, text string")
     got = {r.source_path: (r.content, r.parse_error) for r in parse_documents(files).collect()}
     assert got == {"a": ('{"x": 1}', None), "b": (None, "not a mapping"), "c": (None, "not a mapping")}
+
+
+def test_an_empty_file_is_a_reject(spark, tmp_path):
+    (tmp_path / "sub dir").mkdir()
+    (tmp_path / "sub dir" / "nothing é.yaml").write_text("")
+    (tmp_path / "good.yaml").write_text('{"version": "1", "name": "n", "domain": "d", "schema": {}}')
+    good, rejects = split_contracts(read_contracts(spark, str(tmp_path)))
+    assert good.count() == 1
+    assert [(r.source_path.rsplit("/", 1)[-1], bool(r.reject_reason)) for r in rejects.collect()] == [("nothing%20é.yaml", True)]

@@ -131,3 +131,26 @@ def test_as_of_rates(spark, rows, slices):
         assert got[i] == ((since, 10 * rate, "ok") if i >= 2 else (None, None, "no rate"))
     assert got[20] == (day(5), None, "several rates") and got[21] == (day(6), 4, "ok")
     assert got[22] == got[23] == got[24] == (None, None, "no rate") and got[25] == (day(3), None, "ok")
+
+
+def test_many_keys_equal_the_single_checks(spark, tables):
+    """Same counts with nulls, a hot key and names that need quotes; one scan and one shuffle of rows."""
+    from contractcheck.operators.keys import check_unique, check_unique_many
+
+    df = tables["a"].selectExpr("IF(id % 7 = 0, NULL, id) AS id", "IF(id < 60, 'hot', code) AS `a.b`", "k", "IF(k = 1, NULL, k) AS n")
+    sets = [["id"], ["a.b"], ["id", "k"], ["k", "n"], ["n"], ["id"], ["a.b", "k", "id"]]
+    many = check_unique_many(df, sets)
+    assert plan(many).count("FileScan parquet") == 1 and plan(many).count("Exchange hashpartitioning(k0") == 1
+    got = {r.pos: tuple(r)[1:] for r in many.collect()}
+    plain = df.withColumnRenamed("a.b", "ab")
+    for i, keys in enumerate(sets):
+        assert got[i] == tuple(check_unique(plain, [k.replace(".", "") for k in keys]).first()), keys
+    empty = {tuple(r)[1:] for r in check_unique_many(df.limit(0), sets).collect()}
+    assert empty == {(0, 0, 0, 0)}
+
+
+def test_unique_keys_of_a_run_share_one_shuffle(tables):
+    probes = [Probe("a", "u1", Check("id", "unique"), key=("id",)), Probe("a", "u2", Check("k", "unique"), key=("k",)), expression("a", "id", "> 5")]
+    frame = one_pass(tables, probes, ())
+    assert plan(frame).count("FileScan parquet") == 2
+    assert {r.test_id: (r.rows_total, r.rows_failed) for r in frame.collect()} == {"u1": (100, 0), "u2": (100, 5), "a/id> 5": (100, 6)}
