@@ -16,7 +16,9 @@ the chunk the rest follows. The result is that of one long Viterbi pass.
 Defined results: messages are ordered by turn (null last), then by a hash of the
 text, then by the text; equal messages follow each other. Rows with a null
 conversation id are one conversation. A null text is one empty line and is rendered
-as an empty turn. A marker is taken off where the line gets the marker's role. In the
+as an empty turn. Only a marker that opens a part is taken off, with one blank after it, and
+only where the line gets the marker's role; every other character stays, indents, tables, lists
+and outer blanks among them (but see ``chat_turns`` on forged turns). In the
 estimates a line has the role of the last marker at or above it in its message, else
 the message's; first roles count once a conversation, successions also across chunks. Ties go to the role that comes first in ``ROLES``. Rows whose
 role is unknown to ``ROLES`` do not take part in the estimates; without any known
@@ -36,13 +38,16 @@ from pyspark.sql import functions as F
 from contractcheck.functions.lineage import settled
 
 ROLES = ("system", "user", "assistant")
-#: Speaker markers at the start of a line, per role.
-MARKERS = (
-    r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:system|instructions?|sys)\s*(?:\||\]|>|:|\*\*)",
-    r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:user|human|customer|question|q|you|me|prompt)\s*(?:\||\]|>|:|\*\*)",
-    r"^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:assistant|ai|bot|agent|answer|a|gpt|model|response)\s*(?:\||\]|>|:|\*\*)",
+#: Words of speaker markers per role, those that name a speaker and those that
+#: are as often a label, a heading or an item of a list.
+SPEAKERS = (("system", "sys"), ("user", "human"), ("assistant", "ai", "bot", "gpt"))
+LABELS = (("instruction", "instructions"), ("question", "q", "customer", "you", "me", "prompt"), ("answer", "a", "agent", "model", "response"))
+_WORDS = "|".join(w for words in (*SPEAKERS, *LABELS) for w in words)
+#: The forms a marker may have at the very start of a line, and one blank after it.
+MARKER = (
+    rf"(?i)^(?:(?:{_WORDS}):|#{{1,6}} ?(?:{_WORDS})(?::|(?=[ \t\r]*$))|\[(?:{_WORDS})\]:?"
+    rf"|<\|?(?:{_WORDS})\|?>:?|\*\*(?:{_WORDS})(?::\*\*|\*\*:?)) ?"
 )
-STRIP = r"(?i)^\s*(?:#+\s*|\[|<\|?|\*\*)?(?:system|instructions?|sys|user|human|customer|question|q|you|me|prompt|assistant|ai|bot|agent|answer|a|gpt|model|response)\s*(?:\||\]|>|:|\*\*)+[>:\]\s]*"
 #: Levels of the observed features: marker, length, number of the line in its message, question mark at the end.
 LEVELS = (len(ROLES) + 1, 8, 4, 2)
 #: Weight of the given beliefs, in messages.
@@ -90,18 +95,50 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _words(line: Column) -> Column:
+    """1 to 3 if the line starts with a speaker's word, 4 to 6 with a label's, by role; else 0."""
+    word = F.lower(F.regexp_replace(F.regexp_extract(line, MARKER, 0), "[^A-Za-z]", ""))
+    out = F.lit(0)
+    for k, words in enumerate((*SPEAKERS, *LABELS)):
+        out = F.when(word.isin(*words), k + 1).otherwise(out)
+    return out
+
+
+def _markers(words: Column) -> Column:
+    """Per line the role that its marker names, or 0: what the message gives evidence for.
+
+    A speaker's word counts on the first line, and on others where the message names at
+    least two speakers. A label's word counts only in an exchange: the message's marked
+    lines begin with a user and no two that follow each other name the same role.
+    """
+    roles = F.transform(F.filter(words, lambda w: w > 0), lambda w: (w - 1) % 3 + 1)
+    speakers = F.size(F.array_distinct(F.filter(words, lambda w: (w > 0) & (w < 4)))) > 1
+
+    def exchange(found: Column) -> Column:
+        twice = F.zip_with(found, F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), lambda x, y: F.coalesce(x == y, F.lit(False)))
+        return (F.size(found) > 1) & (F.get(found, F.lit(0)) == 2) & ~F.exists(twice, lambda x: x)
+
+    known = F.transform(F.array(roles), lambda found: F.struct(exchange(found).alias("exchange"), speakers.alias("speakers")))
+
+    def marker(word: Column, i: Column) -> Column:
+        told = (F.get(known, F.lit(0))["exchange"]) | ((word < 4) & ((i == 0) | F.get(known, F.lit(0))["speakers"]))
+        return F.when((word > 0) & told, (word - 1) % 3 + 1).otherwise(F.lit(0))
+
+    return F.when(F.exists(words, lambda w: w > 0), F.transform(words, marker)).otherwise(words)
+
+
 def observed(text: Column) -> Column:
     """The features of each line of a message as a number below the product of ``LEVELS``."""
+    lines = split_lines(text)
+    markers = F.transform(F.array(F.transform(lines, _words)), _markers)[0]
 
-    def code(line, i):
-        marker = F.lit(0)
-        for k, pattern in reversed(list(enumerate(MARKERS))):
-            marker = F.when(line.rlike("(?i)" + pattern), k + 1).otherwise(marker)
+    def code(line, marker, i):
         length = F.least(F.floor(F.log2(F.length(line) / 16 + 1)).cast("int"), F.lit(LEVELS[1] - 1))
         asks = F.rtrim(line).endswith("?").cast("int")
         return marker + LEVELS[0] * (length + LEVELS[1] * (F.least(i, F.lit(LEVELS[2] - 1)) + LEVELS[2] * asks))
 
-    return F.transform(split_lines(text), code)
+    both = F.arrays_zip(lines.alias("line"), markers.alias("marker"))
+    return F.transform(both, lambda x, i: code(x["line"], x["marker"], i))
 
 
 def messages(df: DataFrame, conv_col: str, turn_col: str, text_col: str, role_col: str | None) -> DataFrame:
@@ -321,12 +358,6 @@ def estimate(rows: DataFrame, usable: Column | None = None) -> Hmm:
         for table, k in zip(shown, LEVELS, strict=True) if r["kind"] == 3 else ():
             table[r["a"], code % k] += r["n"]
             code //= k
-    # Markers keep their meaning, however few of the counted lines have one.
-    shown[0] = 0.5 * shown[0] / shown[0].sum(axis=1, keepdims=True)
-    for role in range(n):
-        shown[0][role, 0] += 0.3
-        shown[0][role, role + 1] += 0.19
-        shown[0][role] += 0.01 / LEVELS[0]
     shares = [np.log(t / t.sum(axis=1, keepdims=True)) for t in (after, within, turned, *shown)]
     return Hmm(np.log(first / first.sum()), shares[0], shares[3:], *shares[1:3])
 
@@ -392,8 +423,10 @@ def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                             continue
                         role = around[i + at + 1]
                         opens, closes = around[i + start] != role, role != around[i + at + 2]
-                        text = "\n".join(said[j][cuts[j] if own_codes[i + j] % LEVELS[0] == role + 1 else 0 :] for j in range(start, at + 1))
-                        text = text.strip(" ").replace("<|im_start|>", "<| im_start |>").replace("<|im_end|>", "<| im_end |>")
+                        # Only the marker that opens the part goes; all else stays as it is.
+                        marked = own_codes[i + start] % LEVELS[0] == role + 1
+                        text = "\n".join(said[start : at + 1])[cuts[start] if marked else 0 :]
+                        text = text.replace("<|im_start|>", "<| im_start |>").replace("<|im_end|>", "<| im_end |>")
                         rows.append((ROLES[role], (f"<|im_start|>{ROLES[role]}\n" if opens else "") + text + ("<|im_end|>\n" if closes else "\n"), start))
                         taken.append(row)
                         start = at + 1
@@ -403,7 +436,7 @@ def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                 yield from done.combine_chunks().to_batches()
 
     said = split_lines(F.col("text"))
-    cuts = F.transform(said, lambda x: F.length(x) - F.length(F.regexp_replace(x, STRIP, "")))
+    cuts = F.transform(said, lambda x: F.length(F.regexp_extract(x, MARKER, 0)))
     told = _ordered(joined.withColumn("said", said).withColumn("cuts", cuts), "__o", "text", "conv", "turn", "said", "cuts", "first", "last", "before", "then")
     out = told.mapInArrow(rendered, f"conv {conv_kind}, turn {turn_kind}, role string, rendered string, line int")
     return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "rendered", "line")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from contractcheck.functions.lineage import settled
 from contractcheck.llm import words
-from contractcheck.operators.lookups import lookup_join
+from contractcheck.operators.lookups import default_salts, lookup_join
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: The same on bytes in which A-Z have become a-z.
@@ -111,7 +111,7 @@ def numbered(kept: DataFrame) -> DataFrame:
     """Every kept term's ``magnitude``, ``block`` and number ``at`` in the block."""
     terms = kept.groupBy("lang", "term").agg(F.max("total").alias("total")).withColumn("magnitude", F.length(F.bin("total")))
     blocks = terms.groupBy("lang", "magnitude").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TERMS).alias("blocks"))
-    placed = lookup_join(terms, blocks, ["lang", "magnitude"], "inner", spread_by=["term"]).withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
+    placed = lookup_join(terms, blocks, ["lang", "magnitude"], "inner", default_salts(terms), ["term"]).withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")))
     order = Window.partitionBy(*BLOCK).orderBy(F.desc("total"), "term")
     return placed.select("lang", "term", "magnitude", "block", (F.row_number().over(order) - 1).alias("at"))
 
