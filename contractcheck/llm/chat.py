@@ -95,6 +95,11 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _any_marker(text: Column) -> Column:
+    """Whether any line looks like a marked one; texts without are spared the search line by line."""
+    return F.coalesce(text, F.lit("")).rlike("(?m)" + MARKER)
+
+
 def _words(line: Column) -> Column:
     """1 to 3 if the line starts with a speaker's word, 4 to 6 with a label's, by role; else 0."""
     word = F.lower(F.regexp_replace(F.regexp_extract(line, MARKER, 0), "[^A-Za-z]", ""))
@@ -130,15 +135,17 @@ def _markers(words: Column) -> Column:
 def observed(text: Column) -> Column:
     """The features of each line of a message as a number below the product of ``LEVELS``."""
     lines = split_lines(text)
-    markers = F.transform(F.array(F.transform(lines, _words)), _markers)[0]
+    words = F.when(_any_marker(text), F.transform(lines, _words))
+    markers = F.transform(F.array(words), _markers)[0]
 
     def code(line, marker, i):
         length = F.least(F.floor(F.log2(F.length(line) / 16 + 1)).cast("int"), F.lit(LEVELS[1] - 1))
         asks = F.rtrim(line).endswith("?").cast("int")
         return marker + LEVELS[0] * (length + LEVELS[1] * (F.least(i, F.lit(LEVELS[2] - 1)) + LEVELS[2] * asks))
 
+    plain = F.transform(lines, lambda line, i: code(line, F.lit(0), i))
     both = F.arrays_zip(lines.alias("line"), markers.alias("marker"))
-    return F.transform(both, lambda x, i: code(x["line"], x["marker"], i))
+    return F.when(_any_marker(text), F.transform(both, lambda x, i: code(x["line"], x["marker"], i))).otherwise(plain)
 
 
 def messages(df: DataFrame, conv_col: str, turn_col: str, text_col: str, role_col: str | None) -> DataFrame:
@@ -436,7 +443,8 @@ def chat_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                 yield from done.combine_chunks().to_batches()
 
     said = split_lines(F.col("text"))
-    cuts = F.transform(said, lambda x: F.length(F.regexp_extract(x, MARKER, 0)))
+    none = F.transform(said, lambda x: F.lit(0))
+    cuts = F.when(_any_marker(F.col("text")), F.transform(said, lambda x: F.length(F.regexp_extract(x, MARKER, 0)))).otherwise(none)
     told = _ordered(joined.withColumn("said", said).withColumn("cuts", cuts), "__o", "text", "conv", "turn", "said", "cuts", "first", "last", "before", "then")
     out = told.mapInArrow(rendered, f"conv {conv_kind}, turn {turn_kind}, role string, rendered string, line int")
     return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "rendered", "line")
