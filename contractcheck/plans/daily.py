@@ -29,7 +29,7 @@ from contractcheck.operators.drift import column_types
 from contractcheck.operators.lookups import union_all
 from contractcheck.plans.declared import counted, declared_counts, unique_key
 from contractcheck.plans.shared_scan import Probe, measured, reason_of, table_probes
-from contractcheck.sources.documents import read_contracts, read_model_definitions, split_contracts
+from contractcheck.sources.documents import explode_models, parse_changed, read_text_files, split_contracts
 from contractcheck.sources.tables import table_columns
 
 TABLES_PER_JOB = 20
@@ -140,10 +140,18 @@ def _listed_once(tests: DataFrame) -> DataFrame:
     return tests.groupBy(*same).agg(F.min("pos").alias("pos")).select(*tests.columns)
 
 
+def _documents(run: Run, path: str, table: str) -> DataFrame:
+    """The parsed files below ``path``. They are kept as a snapshot, so the next run, or this
+    one repeated after a crash, parses only files that are new or have changed."""
+    parsed = parse_changed(read_text_files(run.spark, path), run.read(table))
+    storage.write_snapshot(parsed, run.root, table)
+    return run.read(table)
+
+
 def refresh_registry(run: Run, contracts_path: str, models_path: str | None = None) -> DataFrame:
     """Load documents into the registry and return the rejected ones."""
     storage.ensure_tables(run.spark, run.root)
-    documents = run.kept(read_contracts(run.spark, contracts_path), "documents")
+    documents = _documents(run, contracts_path, "contract_documents")
     good, rejects = split_contracts(documents)
     good, copies = first_of_each(good)
     rejects = run.kept(rejects.select("source_path", "reject_reason").unionAll(copies), "rejects")
@@ -153,7 +161,7 @@ def refresh_registry(run: Run, contracts_path: str, models_path: str | None = No
     _merge(run, "columns", registry.contract_columns(current), ["_created_ts"])
     _merge(run, "tests", _listed_once(registry.contract_tests(current)), ["_created_ts"])
     if models_path:
-        models = run.kept(read_model_definitions(run.spark, models_path), "models")
+        models = run.kept(explode_models(_documents(run, models_path, "model_documents")), "models")
         resolved = registry.resolve_contract(registry.extract_models(models), run.read("contracts"))
         _merge(run, "models", resolved, ["meta_json", "_created_ts"])
         _merge(run, "columns", registry.model_columns(models), ["_created_ts"])

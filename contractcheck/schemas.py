@@ -95,7 +95,11 @@ RESULT = _table(
     },
 )
 
+DOCUMENTS = _table({"source_path": _S, "digest": _S}, {"content": _S, "parse_error": _S})
+
 REGISTRY_TABLES = {
+    "contract_documents": DOCUMENTS,
+    "model_documents": DOCUMENTS,
     "contracts": CONTRACTS,
     "models": MODELS,
     "columns": COLUMNS,

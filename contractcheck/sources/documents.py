@@ -35,6 +35,23 @@ def parse_documents(files: DataFrame) -> DataFrame:
     return parsed.select("source_path", "_doc.content", "_doc.parse_error")
 
 
+def parse_changed(files: DataFrame, known: DataFrame) -> DataFrame:
+    """``source_path, digest, content, parse_error`` of all files, parsing only new and changed ones.
+
+    ``known`` is what an earlier call returned. A file whose text has the digest recorded
+    under its path keeps its parsed document; those that could not be read then are tried
+    again, and files that are gone have no row.
+    """
+    hashed = files.withColumn("digest", F.sha2("text", 256))
+    parsed = known.filter(F.col("content").isNotNull()).select("source_path", "digest", "content").withColumn("_known", F.lit(True))
+    judged = hashed.join(parsed, ["source_path", "digest"], "left")
+    kept = judged.filter("_known").select("source_path", "digest", "content", F.lit(None).cast("string").alias("parse_error"))
+    changed = judged.filter(F.col("_known").isNull())
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fresh = changed.repartition(tasks, "source_path").select("source_path", "digest", yaml_to_json("text").alias("_doc"))
+    return kept.unionAll(fresh.select("source_path", "digest", "_doc.content", "_doc.parse_error"))
+
+
 def read_contracts(spark: SparkSession, path: str) -> DataFrame:
     """Every agreement file below ``path``, good or bad."""
     return parse_documents(read_text_files(spark, path))

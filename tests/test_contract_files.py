@@ -100,7 +100,7 @@ def test_contract_rows(good, rows):
     thing, orders = by_id["shop/dim_thing"], by_id["shop/orders"]
     assert (thing["version"], orders["version"]) == ("1.0", "2")
     assert (thing["slo_freshness_hours"], orders["slo_freshness_hours"]) == (12, 6)
-    assert [str(thing[f"slo_{k}"]) for k in ("completeness", "accuracy", "availability")] == ["0.9800", "0.0500", "0.9990"]
+    assert [str(thing[f"slo_{k}"]) for k in ("completeness", "accuracy", "availability")] == ["0.98", "0.05", "0.999"]
     assert orders["slo_availability"] is None and orders["description"] == ""
     assert thing["owner_slack"] == "#shop"
     assert json.loads(thing["contract_json"])["owner"]["email"] == "shop@example.com"
@@ -306,3 +306,48 @@ def test_an_empty_file_is_a_reject(spark, tmp_path):
     good, rejects = split_contracts(read_contracts(spark, str(tmp_path)))
     assert good.count() == 1
     assert [(r.source_path.rsplit("/", 1)[-1], bool(r.reject_reason)) for r in rejects.collect()] == [("nothing%20é.yaml", True)]
+
+
+DOC = '{{"version": "1", "name": "{name}", "domain": "d", "schema": {{"properties": {{}}}}}}'
+
+
+def test_only_new_and_changed_files_are_parsed(spark, tmp_path, monkeypatch):
+    """Three arrivals, a crash between, a file of zero bytes, one that goes."""
+    from contractcheck.operators import storage
+    from contractcheck.plans import daily
+
+    folder, root = tmp_path / "agreements", str(tmp_path / "registry")
+    folder.mkdir()
+    run = daily.Run(spark, root, "2024-03-02 06:00:00", {})
+
+    def names():
+        return {r["id"] for r in run.read("contracts").collect()}
+
+    def mark():
+        """Kept documents get a sign that only a fresh parse would not have."""
+        marked = run.read("contract_documents").withColumn("content", F.regexp_replace("content", '"domain": "d"', '"domain": "kept"'))
+        storage.write_snapshot(marked, root, "contract_documents")
+
+    (folder / "a.yaml").write_text(DOC.format(name="a"))
+    (folder / "none.yaml").write_text("")
+    rejects = daily.refresh_registry(run, str(folder)).collect()
+    assert names() == {"d/a"} and [r["source_path"].rsplit("/", 1)[-1] for r in rejects] == ["none.yaml"]
+
+    mark()
+    (folder / "b.yaml").write_text(DOC.format(name="b"))
+    with monkeypatch.context() as m:
+        m.setattr(daily, "_merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            daily.refresh_registry(run, str(folder))
+    assert names() == {"d/a"}
+    daily.refresh_registry(run, str(folder))
+    assert names() == {"d/a", "kept/a", "d/b"}  # a came from its kept document, b was parsed
+
+    mark()
+    (folder / "a.yaml").write_text(DOC.format(name="a") + "\n")
+    (folder / "none.yaml").write_text(DOC.format(name="late"))
+    (folder / "b.yaml").unlink()
+    rejects = daily.refresh_registry(run, str(folder)).collect()
+    assert rejects == [] and names() == {"d/a", "kept/a", "d/b", "d/late"}
+    kept = {r["source_path"].rsplit("/", 1)[-1]: r["content"] for r in run.read("contract_documents").collect()}
+    assert set(kept) == {"a.yaml", "none.yaml"} and not any("kept" in c for c in kept.values())
