@@ -4,17 +4,19 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers by format
 and check (octets, Luhn, number of digits). Beside them, high-recall generators
 propose overlapping spans: things with an at-sign in any spelling, runs of seven
 or more digits, long mixed tokens. Boosted trees score each proposal from its
-format and its surroundings. Their labels are weak: proposals that a base rule
-accepts, or that hold an address, are positive; so are addresses spelled with at and dot,
-national phone numbers in groups, addresses and 7 to 15 digits right after a word such as
-"mail" or "phone", and tokens after words such as "key =". Format and
-surroundings are cut into few levels, so all proposals of all texts are counted
-per combination of levels, and the trees are fitted to these counts (there are at
-most as many as combinations, ``COMBINATIONS``). Each half of the proposals, by a hash
-of their text, is held back in turn and scored by trees fitted to the other one, to
-calibrate: per generator the lowest threshold whose proposals are right often enough
-selects what is redacted. A proposal with a positive label is selected whatever else the
-table holds; the threshold only adds those without one.
+format and its surroundings, and only their calibrated thresholds select.
+
+Labels come from evidence that no feature holds: worked examples (``EXAMPLES``, judged by
+hand, with digits and letters drawn per example) and, in the corpus, check digits and octet
+ranges of numbers that have the form of a card or an address. All other proposals of the
+corpus have no label. Format and surroundings are cut into few levels, so all labelled
+proposals of all texts are counted per combination of levels, and the trees are fitted to
+these counts (there are at most as many as combinations, ``COMBINATIONS``); the corpus is
+scaled to the weight of the examples, so that tables of every size are judged alike.
+Examples and proposals are parted in two halves (proposals by a hash of their text). Each
+half has its own trees, whose thresholds are set on the other half: per generator the lowest
+score, ``LEAST`` or more, from which on proposals are right often enough. A proposal is selected if the trees of either
+half put it at or above their threshold.
 
 The trees become SQL expressions; texts never leave the JVM. All positions are
 code points, ends exclusive. Patterns are possessive and anchored to the start of
@@ -28,6 +30,7 @@ input are not read, or kept unchanged by :func:`redacted`.
 from __future__ import annotations
 
 import math
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,14 +56,13 @@ GENERATORS: dict[str, str] = {
     "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+",
 }
 #: Words just before a proposal, by what they announce.
-CUES = ("e?mail", "phone|tel|call|fax|mobile", "card|visa|account|iban", "host|addr|ip", "key|token|secret|passw|credential")
+CUES = ("e-?mails?|mailto|contact", "phone|telephone|tel|call|fax|mobile|cell", "card|visa|account|iban", "host|addr|ip", "key|token|secret|passw|credential")
 CUE_CHARS = 24
+#: Characters that may stand between such a word and what it announces.
+FILLER = r"[^0-9a-z]*(?:(?:me|us|at|on|to|is|number|no|nr|address)\b[^0-9a-z]*)*$"
 FEATURES = ("gen", "digits", "size", "marks", "lead", "left", "right", "cue")
 LEVELS = (3, 6, 4, 6, 4, 4, 4, 6)
-#: What labels proposals beside base formats: words right before one, spelled addresses, grouped digits that are no dates or years.
-CALLED = r"[^0-9a-z]*(?:(?:me|us|at|on|to|is|number|no|nr|address)\b[^0-9a-z]*)*$"
-MAIL_BEFORE = rf"\b(?:e-?mails?|mailto|contact){CALLED}"
-PHONE_BEFORE = rf"\b(?:phone|telephone|tel|call|fax|mobile|cell){CALLED}"
+#: Formats with a level of their own: spelled addresses, and digits in groups that are no dates or years.
 AT_SIGN, DOT_SIGN = r" ?[\[({] ?(?:at|AT|@) ?[\])}] ?", r" ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?"
 SPELLED = rf"^{LOCAL}+(?:@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{DOT_SIGN})|{AT_SIGN}[A-Za-z0-9-]+(?:\.|{DOT_SIGN}))(?:[A-Za-z0-9-]+(?:\.|{DOT_SIGN}))*[A-Za-z]{{2,24}}$"
 GROUPED = r"^(?=.*[(./-]|0)(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{2,5}\)[ .-]?|[0-9]{2,5}[ ./-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}$"
@@ -68,6 +70,51 @@ SHORT_GROUPED = r"^[0-9]{3}[.-][0-9]{4}$"
 DATED = r"^(?:(?:19|20)[0-9]{2}[ ./-][01]?[0-9][ ./-][0-3]?[0-9](?:[ .:/-]|$)|[0-3]?[0-9][ ./-][0-3]?[0-9][ ./-](?:19|20)[0-9]{2}(?:[ .:/-]|$)|(?:(?:19|20)[0-9]{2}[ ./-]*)+$|[0-9]+(?:\.[0-9]+){3}$)"
 COMBINATIONS = math.prod(LEVELS) * 4
 ROUNDS, RATE, PRECISION = 40, 0.3, 0.9
+LEAST = 0.8
+#: Weight of a worked example; a corpus weighs no more than all examples together.
+EXAMPLE_WEIGHT = 10
+#: Worked examples: generator, text with the proposal in «», whether it is to be redacted. ``#`` stands
+#: for a digit, ``~`` for a letter, ``^`` for a letter of either case or a digit, ``%`` for a hexadecimal digit.
+EXAMPLES = (
+    ("contact", "see «~~~~# [at] ~~~~~~~ [dot] com» end", True), ("contact", "«~~~~~ (at) ~~~~.~~~»", True),
+    ("contact", "reach «~~~~.~~~[at]~~~~~~[dot]org», please", True), ("contact", "write to «~~~@~~~~~~ [dot] net» now", True),
+    ("contact", "via «~~~~##{at}~~~~~.~~~~~~~.com» or", True), ("contact", "email: «~~~~#@~~~~~~~~~» end", True),
+    ("contact", "contact «~~~~@~~~~~»", True), ("contact", "E-Mail: «~~~~~~~~~~~~~##@~~~~~~~~» end", True),
+    ("contact", "from «~~~~~.##@~~~~#.~~~~~~~.com» to", True), ("contact", "<«~~~@~~~~~~.org»>", True),
+    ("contact", "run «~~~@~~~~~~» here", False), ("contact", "«~~~~@~~~~»:~$ ls", False), ("contact", "look «~~~~ (at) ~~~~» and", False),
+    ("contact", "buy «#@#» each", False), ("contact", "see «~~~#@~~~~~~~~~~» there", False), ("contact", "clone '«~~~@~~~~~~~~~~~~~~~~~~~»'", False),
+    ("number", "see «(4##) 555-2###» end", True), ("number", "see «3##-555-1###» end", True), ("number", "or «555-1###», say", True),
+    ("number", "at «+44 20 7### 0###» today", True), ("number", "under «0151 2### 6###»", True), ("number", "dial «01 2# 4# 6# 8#» please", True),
+    ("number", "phone: «4155552###» end", True), ("number", "call me at «0301234###».", True), ("number", "Tel. «2#5##7#9»", True),
+    ("number", "fax no «49891234####» end", True), ("number", "mobile: «+49891234567##», yes", True), ("number", "from «+1 (8##) 555-4###» on", True),
+    ("number", "phone no. «4## 55 6###»", True), ("number", "number is «+1-4##-555-0###»", True),
+    ("number", "on «2024-01-1# 10:2#» or", False), ("number", "or «15.01.20##» in", False), ("number", "in «2019 2020 202#» or", False),
+    ("number", "or «1#3#5#7#9#» of", False), ("number", "order «9#8#7#6#5»", False), ("number", "pi is «3.1#1#9#6#» or", False),
+    ("number", "at «10:22:3#.1##», then", False), ("number", "«2024-01-1# 10:2#:3#» start", False), ("number", "took «0:0#:1#.25####» in", False), ("number", "id «#######4#####4##» and", False), ("number", "«75367#4127#130## 48451#8114#073##» und", False),
+    ("number", 'token = "«18#6#1#56»abcdef#a#b"', False), ("number", "of «1##### 2#####» rows", False), ("number", "«12/0#/2021 1#:30» or", False),
+    ("number", "row «#######»", False), ("number", "sum «1##.###.###» in", False), ("number", "code «########################»", False),
+    ("secret", 'the token = "«%%%%a%%%%%%%%1%%%%%%%%%%%%%%%%%%%%%%%%%%»" end', True), ("secret", "api key = «^^#^~^^^^^#^^^^^^^^^^^»", True),
+    ("secret", "password: «^^^#^^^~^^^^#^^^^^^^^^^^^^»,", True), ("secret", 'SECRET="«~^^^^^^^^^#^^^^^^^^^^^^^^^^^^^^^^^^^^^^»"', True),
+    ("secret", "access_key=«^^^^#^^^/^^^^^^~^^^^+^^^^^^^^^^^^^^^^^^^»", True), ("secret", "credentials '«%%%%%1%%%%%%a%%%%%%%%%%%%%%%%%%»'", True),
+    ("secret", "TOKEN: «#########~~~~~########» or", True), ("secret", "see «~~~#~~~~~~~~~~~#~~~~~~~~~~» and", False),
+    ("secret", "commit «%%%%1%%%%%%a%%%%%%%%%%%%%%%%%%%%%%%%%%%%» of", False), ("secret", "in /«~~~~~~/~~~~~~~/2024/~~~~~»/", False),
+    ("secret", "the «~~~~~-~~~~~~~-v#-~~~~~-20##» model", False), ("secret", "«~~~~_2024_01_1#_~~~~~~»", False),
+    ("secret", "(«%%%%%%%%1%%%%%%a%%%%%%%%%%%%%%%%»)", False), ("secret", '"«%%%a%%%1%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%»"', False),
+)
+DRAWS = 6
+
+
+def examples() -> list[tuple[str, str, str, bool, int]]:
+    """(generator, text, proposal, label, half) of all worked examples, drawn with a fixed seed."""
+    rng = random.Random(7)
+    kinds = {"#": "0123456789", "~": "abcdefghijklmnopqrstuvwxyz", "^": "abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", "%": "0123456789abcdef"}
+    out = []
+    for gen, form, label in EXAMPLES:
+        for draw in range(DRAWS):
+            text = "".join(rng.choice(kinds[c]) if c in kinds else c for c in form)
+            inner = text[text.index("«") + 1 : text.index("»")]
+            out.append((gen, text.replace("«", "").replace("»", ""), inner, label, draw % 2))
+    return out
 
 
 def _running(gaps: Column) -> Column:
@@ -166,9 +213,10 @@ def _level(value: Column, *bounds: int) -> Column:
 
 
 def _proposals(df: DataFrame) -> DataFrame:
-    """Adds ``proposals``: spans with the levels of their features and the weak label ``true``.
+    """Adds ``proposals``: spans with the levels of their features.
 
-    ``within`` says that the proposal is itself a base match, and so no addition.
+    ``within`` says that the proposal is itself a base match, and so no addition. ``checked`` is
+    the verdict of check digits or octet ranges, null where there is nothing to check.
     """
     arrays = []
     for g, name in enumerate(GENERATORS):
@@ -179,29 +227,30 @@ def _proposals(df: DataFrame) -> DataFrame:
             before = F.lower(s["before"])
             cue = F.lit(0)
             for i, words in reversed(list(enumerate(CUES))):
-                cue = F.when(before.rlike(rf"\b(?:{words})"), F.lit(i + 1)).otherwise(cue)
+                told = rf"(?<![a-z])(?:{words})" + ("" if i + 1 == len(CUES) else rf"\b{FILLER}")
+                cue = F.when(before.rlike(told), F.lit(i + 1)).otherwise(cue)
             left, right = F.substring(s["before"], -1, 1), s["after"]
 
             def side(c):
                 return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike("^[A-Za-z0-9]$"), 1).when(c.rlike("^[\"'=:(\\[<]$"), 2).otherwise(3)
 
             grouped = (said.rlike(GROUPED) | said.rlike(SHORT_GROUPED)) & ~said.rlike(DATED) & n_digits.between(7, 15)
-            marks = F.when(grouped, 4).when(said.rlike(SPELLED), 5).when(~said.rlike("[ ().:/-]"), 0).when(~said.rlike("[().:/]"), 1).when(~said.rlike("[ ()/-]"), 2).otherwise(3)
+            marks = F.when(grouped, 4).when(said.rlike(SPELLED), 5).when(~said.rlike("[ ().:/-]"), 0).when(~said.rlike("[().:/]"), 2).when(~said.rlike("[ ():/-]"), 3).otherwise(1)
             lead = F.when(said.rlike("^[0-9]"), 0).when(said.rlike("^[A-Za-z]"), 1).when(said.startswith("+"), 2).otherwise(3)
             within = F.lit(False)
             for kind in {"contact": ("email",), "number": ("ip", "card", "phone")}.get(name, ()):
                 within = within | (said.rlike(f"^(?:{BASE[kind]})$") & F.coalesce(_valid(kind, s), F.lit(False)))
-            mine = {
-                "contact": said.rlike(BASE["email"]) | said.rlike(SPELLED) | before.rlike(MAIL_BEFORE),
-                "number": within | said.rlike(IP_INSIDE) | grouped | (before.rlike(PHONE_BEFORE) & n_digits.between(7, 15)),
-                "secret": cue == len(CUES),
-            }[name]
+            checked = F.lit(None).cast("boolean")
+            if name == "number":
+                for kind in ("card", "ip"):
+                    shaped = said.rlike(f"^(?:{BASE[kind]})$") & (n_digits.between(16, 19) if kind == "card" else F.lit(True))
+                    checked = F.when(shaped, F.coalesce(_valid(kind, s), F.lit(False))).otherwise(checked)
             return F.struct(
                 F.lit(g).alias("gen"), s["start"].alias("start"), s["end"].alias("end"), said.alias("text"), within.alias("within"),
-                mine.alias("true"),
+                checked.alias("checked"),
                 _level(n_digits, 0, 7, 12, 15, 19).alias("digits"), _level(F.length(said), 11, 19, 31).alias("size"),
                 marks.alias("marks"), lead.alias("lead"), side(left).alias("left"), side(right).alias("right"),
-                (F.lit(0) if name == "secret" else cue).alias("cue"),
+                cue.alias("cue"),
             )
 
         source = F.filter(name, lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]")) if name == "secret" else F.col(name)
@@ -232,8 +281,9 @@ class Trees:
             z = z + F.when(p[FEATURES[f]] <= t, low_leaf).otherwise(high_leaf)
         return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
-    def chosen(self, p: Column, score: Column) -> Column:
-        return p["true"] | (score >= F.element_at(F.array(*[F.lit(t) for t in self.thresholds]), p["gen"] + 1))
+    def margin(self, p: Column, score: Column) -> Column:
+        """How far a score is above the threshold of its generator; selected from 0 on."""
+        return score - F.element_at(F.array(*[F.lit(t) for t in self.thresholds]), p["gen"] + 1)
 
 
 def _best_split(rows: list[tuple], residual: list[float], hessian: list[float], inside: list[int]) -> tuple[float, tuple]:
@@ -254,7 +304,7 @@ def _best_split(rows: list[tuple], residual: list[float], hessian: list[float],
     return best
 
 
-def boost(counts: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS, rate: float = RATE) -> Trees:
+def boost(counts: list[tuple[tuple[int, ...], float, float]], rounds: int = ROUNDS, rate: float = RATE) -> Trees:
     """Logistic boosting on (levels, proposals, true ones); thresholds are left open."""
     rows, n, pos = [c[0] for c in counts], [c[1] for c in counts], [c[2] for c in counts]
     start = math.log((sum(pos) + 1) / (sum(n) - sum(pos) + 1))
@@ -281,12 +331,12 @@ def boost(counts: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS,
 def thresholds(scored: list[tuple[int, float, int, int]], precision: float = PRECISION) -> list[float]:
     """Per generator, from (generator, score, proposals, true ones), the lowest score above which proposals are right often enough.
 
-    There is no least number of proposals. Where none is right often enough,
-    2.0 stands for no score at all.
+    There is no least number of proposals, and no score below ``LEAST``. Where
+    none is right often enough, 2.0 stands for no score at all.
     """
     out = []
     for g in range(len(GENERATORS)):
-        own = sorted((x[1:] for x in scored if x[0] == g), reverse=True)
+        own = sorted((x[1:] for x in scored if x[0] == g and x[1] >= LEAST), reverse=True)
         total = right = 0
         threshold = 2.0
         for i, (score, n, pos) in enumerate(own):
@@ -302,53 +352,64 @@ def calibrate(trees: Trees, held: list[tuple[tuple[int, ...], int, int]], precis
     return Trees(trees.start, trees.splits, thresholds([(levels[0], trees.score(levels), n, pos) for levels, n, pos in held], precision))
 
 
-def cross_fitted(halves: list[list[tuple[tuple[int, ...], int, int]]], precision: float = PRECISION) -> Trees:
-    """Trees fitted to all counts; thresholds from each half, scored by trees fitted to the other."""
-    scored = []
-    for k in (0, 1):
-        other = boost(halves[1 - k])
-        scored += [(levels[0], other.score(levels), n, pos) for levels, n, pos in halves[k]]
-    counts: dict[tuple[int, ...], tuple[int, int]] = {}
-    for levels, n, pos in halves[0] + halves[1]:
-        a, b = counts.get(levels, (0, 0))
-        counts[levels] = (a + n, b + pos)
-    fitted = boost([(levels, *x) for levels, x in sorted(counts.items())])
-    return Trees(fitted.start, fitted.splits, thresholds(scored, precision))
-
-
-def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Trees:
-    """Count all proposals by combination of levels; fit and calibrate on both halves."""
-    read = _proposals(_found(df.select(F.col(text_col).alias("t")), "t")).select(F.explode("proposals").alias("p"))
-    half = F.pmod(F.xxhash64(F.col("p.text")), F.lit(2))
+def cross_fitted(halves: list[list[tuple[tuple[int, ...], float, float]]], precision: float = PRECISION) -> list[Trees]:
+    """The trees of each half, with thresholds from the other one."""
+    return [calibrate(boost(halves[k]), halves[1 - k], precision) for k in (0, 1)]
+
+
+def train(df: DataFrame, text_col: str = "text", precision: float = PRECISION) -> list[Trees]:
+    """Count labelled proposals by combination of levels; fit and calibrate on both halves."""
+    worked = df.sparkSession.createDataFrame(examples(), "told string, t string, said string, label boolean, half int")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in worked.schema if f.name != "t"]
+    texts = df.select(F.col(text_col).alias("t"), *nothing).unionByName(worked)
+    read = _proposals(_found(texts, "t")).select("told", "said", "label", "half", F.explode("proposals").alias("p"))
+    names = F.array(*[F.lit(g) for g in GENERATORS])
+    taught = F.when((F.element_at(names, F.col("p.gen") + 1) == F.col("told")) & (F.col("p.text") == F.col("said")), F.col("label"))
+    half = F.coalesce("half", F.pmod(F.xxhash64("p.text"), F.lit(2)).cast("int"))
     counted = (
-        read.groupBy(half.alias("half"), *[F.col(f"p.{f}").alias(f) for f in FEATURES])
-        .agg(F.count("*").alias("n"), F.sum(F.col("p.true").cast("int")).alias("pos"))
+        read.select(half.alias("half"), F.col("told").isNotNull().alias("taught"), F.when(F.col("told").isNull(), F.col("p.checked")).otherwise(taught).alias("label"), *[F.col(f"p.{f}").alias(f) for f in FEATURES])
+        .where(F.col("label").isNotNull())
+        .groupBy("half", "taught", *FEATURES)
+        .agg(F.count("*").alias("n"), F.sum(F.col("label").cast("int")).alias("pos"))
         .collect()
     )
-    rows = sorted((r["half"], tuple(r[f] for f in FEATURES), r["n"], r["pos"]) for r in counted)
-    return cross_fitted([[r[1:] for r in rows if r[0] == k] for k in (0, 1)], precision)
-
-
-def _selected(df: DataFrame, text: str, trees: Trees) -> DataFrame:
-    """Adds ``base`` and ``extra``: arrays of (kind, start, end), extra also with ``score``."""
+    halves = []
+    for k in (0, 1):
+        mine = [r for r in counted if r["half"] == k]
+        weight = {t: sum(r["n"] for r in mine if r["taught"] == t) for t in (True, False)}
+        scale = {True: EXAMPLE_WEIGHT, False: min(EXAMPLE_WEIGHT, EXAMPLE_WEIGHT * weight[True] / max(weight[False], 1))}
+        sums: dict[tuple[int, ...], list[float]] = {}
+        for r in sorted(mine, key=lambda r: (r["taught"], *[r[f] for f in FEATURES])):
+            own = sums.setdefault(tuple(r[f] for f in FEATURES), [0.0, 0.0])
+            own[0] += scale[r["taught"]] * r["n"]
+            own[1] += scale[r["taught"]] * r["pos"]
+        halves.append([(levels, n, pos) for levels, (n, pos) in sorted(sums.items())])
+    return cross_fitted(halves, precision)
+
+
+def _selected(df: DataFrame, text: str, trees: list[Trees]) -> DataFrame:
+    """Adds ``base`` and ``extra``: arrays of (kind, start, end), extra also with ``score``, its best one."""
     df = _proposals(_found(df, text))
     base = F.concat(*[F.transform(k, _kinded(k)) for k in BASE])
     kinds = F.array(*[F.lit(g) for g in GENERATORS])
-    scored = F.transform(
-        F.filter("proposals", lambda p: ~p["within"]),
-        lambda p: F.struct(F.element_at(kinds, p["gen"] + 1).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), trees.column(p).alias("score"), p["gen"].alias("gen"), p["true"].alias("true")),
-    )
-    return df.withColumn("base", base).withColumn("extra", F.filter(scored, lambda p: trees.chosen(p, p["score"])))
 
+    def scored(p):
+        scores = F.array(*[t.column(p) for t in trees])
+        margins = F.zip_with(scores, F.array(*[t.margin(p, F.lit(0.0)) for t in trees]), lambda a, b: a + b)
+        return F.struct(F.element_at(kinds, p["gen"] + 1).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), F.array_max(scores).alias("score"), F.array_max(margins).alias("margin"))
 
-def find_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: Trees | None = None) -> DataFrame:
+    every = F.transform(F.filter("proposals", lambda p: ~p["within"]), scored)
+    return df.withColumn("base", base).withColumn("extra", F.filter(every, lambda p: p["margin"] >= 0))
+
+
+def find_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: list[Trees] | None = None) -> DataFrame:
     """Per input row: id, ``base`` spans and ``extra`` spans that the trees select."""
     trees = trees or train(df, text_col)
     named = df.select(F.col(id_col).alias("__llm_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return _selected(named, "t", trees).select(F.col("__llm_id").alias(id_col), "base", F.transform("extra", lambda p: p.dropFields("gen", "true")).alias("extra"))
+    return _selected(named, "t", trees).select(F.col("__llm_id").alias(id_col), "base", F.transform("extra", lambda p: p.dropFields("margin")).alias("extra"))
 
 
-def redacted(df: DataFrame, text_col: str = "text", length_col: str | None = None, trees: Trees | None = None) -> DataFrame:
+def redacted(df: DataFrame, text_col: str = "text", length_col: str | None = None, trees: list[Trees] | None = None) -> DataFrame:
     """The rows of ``df``, all columns kept, with every span replaced by its kind in brackets.
 
     Overlapping spans become one, named after the first. ``length_col``, if given,
@@ -382,6 +443,5 @@ def digest(spans: Column) -> Column:
 
 
 
-
 def number_of(kind: str, spans: str = "base") -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind))
