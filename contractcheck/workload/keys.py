@@ -53,19 +53,26 @@ def relationships(spark, d):
     return keys.check_relationship(table(spark, d, "documents"), ["doc_id"], table(spark, d, "labels"), ["doc_id"])
 
 
-@query(
-    "relationships_lineitem",
-    """
+LINES_SQL = """
 WITH parents AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
 SELECT count(*) AS rows_total, count(*) FILTER (NOT EXISTS (SELECT 1 FROM parents WHERE o_orderkey = l_orderkey)) AS rows_failed,
        count(DISTINCT l_orderkey) FILTER (NOT EXISTS (SELECT 1 FROM parents WHERE o_orderkey = l_orderkey)) AS keys_failed
-FROM lineitem""",
-)
+FROM lineitem"""
+
+
+@query("relationships_lineitem", LINES_SQL)
 def relationships_lineitem(spark, d):
     parents = table(spark, d, "orders").filter("o_orderstatus <> 'P'")
     return keys.check_relationship(table(spark, d, "lineitem"), ["l_orderkey"], parents, ["o_orderkey"])
 
 
+@query("relationships_filtered", LINES_SQL)
+def relationships_filtered(spark, d):
+    """The same check with the orders' keys as broadcast bitmaps: lines with an order are not shuffled."""
+    parents = table(spark, d, "orders").filter("o_orderstatus <> 'P'")
+    return keys.check_relationship_by_bitmap(table(spark, d, "lineitem"), ["l_orderkey"], parents, ["o_orderkey"])
+
+
 @query(
     "orphan_keys",
     """
