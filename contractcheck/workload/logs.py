@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractcheck.operators import readiness, reports, storage
+from contractcheck.operators import distincts, readiness, reports, storage
 from contractcheck.workload.base import AS_OF, query, table
 
 DAY = "2024-01-30"
@@ -63,6 +63,17 @@ def latest_result_by_max(spark, d):
     )
 
 
+@query(
+    "distinct_tests_range",
+    f"""
+WITH {RESULTS_SQL}
+SELECT model_name, count(*) AS rows, count(DISTINCT test_id) AS distinct_values FROM results
+WHERE run_timestamp >= TIMESTAMP '2024-01-05' AND run_timestamp < TIMESTAMP '2024-01-26' GROUP BY 1""",
+)
+def distinct_tests_range(spark, d):
+    return distincts.distinct_in_range(result_log(spark, d), "run_timestamp", "2024-01-05", "2024-01-25", ["model_name"], "test_id")
+
+
 @query(
     "contract_health",
     """
