@@ -51,7 +51,7 @@ def _unique(df: DataFrame, check: Check, other: Other) -> DataFrame:
 
 
 def _relationships(df: DataFrame, check: Check, other: Other) -> DataFrame:
-    return keys.check_relationship(df, [check.column], other(check.params["to"]), [check.params["field"]])
+    return keys.check_relationship_by_bitmap(df, [check.column], other(check.params["to"]), [check.params["field"]])
 
 
 def _equal_rowcount(df: DataFrame, check: Check, other: Other) -> DataFrame:
