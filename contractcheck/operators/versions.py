@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractcheck.functions.numbers import ntz
+from contractcheck.functions.type_trees import type_changes
 from contractcheck.operators.ordered import with_prior
 
 # Days of notice a breaking change needs.
@@ -142,6 +145,37 @@ def diff_versions(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def nested_type_changes(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("contract_id",)) -> DataFrame:
+    """``keys..., column_name, path, change_type, old_type, new_type, breaking, notice_days``
+    between two sets of ``keys..., column_name, data_type`` rows, such as two versions or
+    the declared and the real columns.
+
+    Types are compared as trees: ``path`` is ``a.b`` for a field, ``a[]`` for the elements
+    of an array, ``a{key}`` and ``a{value}`` for a map, and only the outermost change is
+    told. Fields are matched by name, so another order is no change; upper and lower case
+    are one. A column without a type on one side counts as retyped.
+    """
+    on = [*keys, "column_name"]
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        # Blanks never matter in a type's text; without them equal types are equal text.
+        return df.select(*on, F.lit(True).alias(f"_{tag}"), F.regexp_replace(F.lower("data_type"), r"\s+", "").alias(f"{tag}_type"))
+
+    both = side(old, "old").join(side(new, "new"), on, "full_outer")
+    whole = (
+        F.when(F.col("_new").isNull(), "removed")
+        .when(F.col("_old").isNull(), "added")
+        .when(F.col("old_type").isNull() | F.col("new_type").isNull(), "type_changed")
+    )
+    differing = both.filter(whole.isin("removed", "added") | ~F.col("old_type").eqNullSafe(F.col("new_type")))
+    flat = differing.filter(whole.isNotNull()).select(*on, F.col("column_name").alias("path"), whole.alias("change_type"), "old_type", "new_type")
+    inside = differing.filter(whole.isNull()).select(*on, F.inline(type_changes("column_name", "old_type", "new_type")))
+    notice = F.create_map(*[F.lit(x) for pair in NOTICE_DAYS.items() for x in pair])
+    return flat.unionByName(inside).select(
+        "*", F.col("change_type").isin(*NOTICE_DAYS).alias("breaking"), F.coalesce(notice[F.col("change_type")], F.lit(0)).alias("notice_days")
+    )
+
+
 def deprecation_calendar(contracts: DataFrame, as_of: str) -> DataFrame:
     """Announced removals with the days left, and whether the notice was kept."""
     path = "$.deprecation_policy.example"

@@ -100,12 +100,36 @@ def run_metrics(spark: SparkSession, statements: Mapping[str, str]) -> DataFrame
     return union_all(frames)
 
 
-def metric_queries(spark: SparkSession, path: str) -> DataFrame:
-    """:func:`run_metrics` for the ``*.sql`` files of a folder. Only the statements'
-    text comes to the driver."""
+def fused_metrics(spark: SparkSession, statements: Mapping[str, str]) -> DataFrame:
+    """:func:`run_metrics` with each statement as a scalar subquery of one row.
+
+    Catalyst merges subqueries that are plain aggregates over the same rows of a table,
+    so any number of them reads the table once; conditions belong into the aggregates
+    (``count_if``, ``FILTER``) rather than into ``WHERE`` for that. Other statements run
+    on their own. A statement without a row gives NULL, one with several rows fails.
+    """
+    if not statements:
+        return run_metrics(spark, statements)
+    pairs = [
+        f"{sql_text(name)}, (SELECT CAST(actual_value AS DOUBLE) FROM (\n{text.rstrip().rstrip(';')}\n))"
+        for name, text in statements.items()
+    ]
+    return spark.sql(f"SELECT stack({len(pairs)}, {', '.join(pairs)}) AS (metric_type, actual_value)")
+
+
+def sql_text(value: str) -> str:
+    """A string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def metric_queries(spark: SparkSession, path: str, fused: bool = False) -> DataFrame:
+    """:func:`run_metrics`, or :func:`fused_metrics`, for the ``*.sql`` files of a folder.
+    Only the statements' text comes to the driver."""
     files = (
         spark.read.option("pathGlobFilter", "*.sql")
         .text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("name"), "value")
     )
-    return run_metrics(spark, {r.name.removesuffix(".sql"): r.value for r in files.orderBy("name").collect()})
+    statements = {r.name.removesuffix(".sql"): r.value for r in files.orderBy("name").collect()}
+    return fused_metrics(spark, statements) if fused else run_metrics(spark, statements)

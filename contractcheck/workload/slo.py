@@ -10,7 +10,7 @@ from contractcheck.operators import keys, slo
 from contractcheck.operators.counters import Check, null_profile, profile_from_counts
 from contractcheck.operators.lookups import union_all
 from contractcheck.plans.shared_scan import Probe, measured, table_probes
-from contractcheck.sources.tables import run_metrics
+from contractcheck.sources.tables import fused_metrics, run_metrics
 from contractcheck.workload.base import AS_OF, query, sql_pct2, table
 from contractcheck.workload.columns import ORDER_COLUMNS, ORDERS_SQL, _per_column, orders_with_gaps
 
@@ -207,6 +207,27 @@ def custom_metrics(spark, d):
     return slo.custom_metric(run_metrics(spark, METRICS), 50)
 
 
+FUSED = METRICS | {
+    "average": "SELECT round(avg(CAST(o_totalprice AS DECIMAL(15,2))), 2) AS actual_value FROM sales_orders",
+    "open_orders": "SELECT count(*) FILTER (WHERE o_orderstatus = 'O') AS actual_value -- all days\nFROM sales_orders",
+    "largest_open": "SELECT max(o_totalprice) AS actual_value FROM sales_orders WHERE o_orderstatus = 'O'",
+}
+
+
+@query(
+    "custom_metrics_fused",
+    """
+SELECT 'large_orders_pct' AS metric_type, 100.0::DOUBLE * count(*) FILTER (o_totalprice > 100000) / count(*) AS actual_value FROM orders
+UNION ALL SELECT 'priorities', CAST(count(DISTINCT o_orderpriority) AS DOUBLE) FROM orders
+UNION ALL SELECT 'average', (CAST(200 * sum(CAST(o_totalprice AS DECIMAL(15,2))) AS HUGEINT) + count(*)) // (2 * count(*)) / 100.0::DOUBLE FROM orders
+UNION ALL SELECT 'open_orders', CAST(count(*) FILTER (o_orderstatus = 'O') AS DOUBLE) FROM orders
+UNION ALL SELECT 'largest_open', max(o_totalprice) FROM orders WHERE o_orderstatus = 'O'""",
+)
+def custom_metrics_fused(spark, d):
+    table(spark, d, "orders").createOrReplaceTempView("sales_orders")
+    return fused_metrics(spark, FUSED)
+
+
 @query(
     "entity_coverage",
     f"""

@@ -147,3 +147,64 @@ def breaking_changes(spark, d):
         (F.when(size % 7 == 0, "modern").otherwise("legacy"), F.lit("string"), none),
     )
     return versions.diff_versions(old, new)
+
+
+# (path, condition on the part, change, type before, type after), told once as rows for
+# the SQL and once as type texts below.
+NESTED = (
+    ("payload.id", "p_size % 5 = 0", "type_changed", "bigint", "string"),
+    ("payload.amount", "p_size % 2 = 0", "widened", "decimal(15,2)", "decimal(18,2)"),
+    ("payload.amount", "p_size % 2 <> 0 AND p_size % 3 = 0", "type_changed", "decimal(15,2)", "decimal(18,6)"),
+    ("payload.tags[]", "p_size % 7 = 0", "type_changed", "string", "struct<v:string>"),
+    ("payload.attrs", "p_size % 9 = 0", "removed", "map<string,int>", None),
+    ("payload.attrs{value}", "p_size % 9 <> 0 AND p_size % 4 = 0", "type_changed", "int", "bigint"),
+    ("payload.note", "p_size % 6 = 0", "added", None, "string"),
+    ("lines[].price", "p_size % 3 = 0", "widened", "decimal(10,2)", "decimal(12,2)"),
+    ("legacy", "p_size % 8 = 0", "removed", "array<string>", None),
+    ("modern", "p_size % 8 = 0", "added", None, "array<string>"),
+)
+
+
+def _sql_value(text: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if text is None else f"'{text}'"
+
+
+NESTED_SQL = " UNION ALL ".join(
+    f"""
+SELECT 'part/' || CAST(p_partkey AS VARCHAR) AS contract_id, regexp_extract('{path}', '^[a-z]+') AS column_name, '{path}' AS path, '{change}' AS change_type,
+       {_sql_value(old)} AS old_type, {_sql_value(new)} AS new_type, {change in ('removed', 'type_changed')} AS breaking,
+       CAST({versions.NOTICE_DAYS.get(change, 0)} AS INTEGER) AS notice_days FROM part WHERE {where}"""
+    for path, where, change, old, new in NESTED
+)
+
+
+@query("nested_type_changes", NESTED_SQL)
+def nested_type_changes(spark, d):
+    """Two versions of nested columns; the new one lists its fields in another order."""
+    part = table(spark, d, "part").withColumn("contract_id", F.concat(F.lit("part/"), F.col("p_partkey").cast("string")))
+
+    def when(condition, then, other):
+        return F.when(F.expr(condition), F.lit(then)).otherwise(other if not isinstance(other, str) else F.lit(other))
+
+    def columns(**types):
+        rows = [F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in types.items()]
+        return part.select("contract_id", "p_size", F.inline(F.array(*rows)))
+
+    old = columns(
+        payload="struct<id:bigint,amount:decimal(15,2),tags:array<string>,attrs:map<string,int>>",
+        lines="array<struct<sku:string,price:decimal(10,2)>>",
+        legacy="array<string>",
+    )
+    attrs = when("p_size % 9 = 0", "", F.concat(F.lit(", attrs: map<string, "), when("p_size % 4 = 0", "bigint", "int"), F.lit(">")))
+    amount = when("p_size % 2 = 0", "decimal(18, 2)", when("p_size % 3 = 0", "decimal(18, 6)", "decimal(15, 2)"))
+    payload = F.concat(
+        F.lit("STRUCT<amount: "), amount, F.lit(", tags: array<"), when("p_size % 7 = 0", "struct<v: string>", "string"), F.lit(">"),
+        attrs, F.lit(", id: "), when("p_size % 5 = 0", "string", "bigint"), when("p_size % 6 = 0", ", note: string", ""), F.lit(">"),
+    )
+    price = when("p_size % 3 = 0", "12", "10")
+    new = columns(
+        payload=payload,
+        lines=F.concat(F.lit("array<struct<sku:string,price:decimal("), price, F.lit(",2)>>")),
+        legacy="array<string>",
+    ).withColumn("column_name", F.expr("IF(column_name = 'legacy' AND p_size % 8 = 0, 'modern', column_name)"))
+    return versions.nested_type_changes(old, new)
