@@ -96,11 +96,28 @@ def signatures(df: DataFrame, id_col: str, text_col: str, size: int, bands: int,
 
     kind = df.schema[id_col].dataType.simpleString()
     named = df.select(F.col(id_col), row_hash(id_col, text_col).alias("row_hash"), F.col(text_col))
-    return map_columns(named, named.columns, make, f"`{id_col}` {kind}, row_hash bigint, set_key binary, bands array<bigint>")
+    return map_columns(named, named.columns, make, f"`{id_col}` {kind}, row_hash binary, set_key binary, bands array<bigint>")
 
 
 def row_hash(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    """128 bits that stand for id and text: null and empty differ, and neither runs into the other."""
+    given = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    marks = F.concat(F.when(F.col(id_col).isNull(), "n").otherwise("i"), F.char_length(given).cast("string"), F.when(F.col(text_col).isNull(), "n").otherwise("t"))
+    return F.unhex(F.md5(F.concat(marks, given, F.coalesce(F.col(text_col), F.lit(""))).cast("binary")))
+
+
+def joined_by_weight(rows: DataFrame, per_key: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` with the columns of ``per_key``, which has one row per key and, as ``weight``, how many of ``rows`` it meets.
+
+    Keys that hold more than a task's share of the rows, fewer than there are tasks, are
+    broadcast, so that their rows stay where they are; the others are shuffled.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = per_key.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) * tasks > total
+    hot = F.broadcast(per_key.where(heavy).drop(weight))
+    rest = rows.join(F.broadcast(per_key.where(heavy).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(per_key.where(~heavy).drop(weight), key))
 
 
 def full_sets(df: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -284,20 +301,18 @@ def join_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     counted = links.groupBy("set_key").agg(F.sum("links").alias("links"))
     edges = links.where("set_key <> hub").select(F.col("set_key").alias("a"), F.col("hub").alias("b"))
     groups = components(edges).select(F.col("node").alias("set_key"), F.col("label").alias("group_key"))
-    known = (
-        classes.join(counted, "set_key", "left")
-        .join(groups, "set_key", "left")
-        .select("set_key", "first_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("group_key", "set_key").alias("group_key"))
+    linked = classes.join(counted, "set_key", "left").join(groups, "set_key", "left")
+    known = settled(
+        linked.select("set_key", "copies", "first_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("group_key", "set_key").alias("group_key"))
     )
-    smallest = known.groupBy("group_key").agg(F.min("first_id").alias("class_id"))
-    told = known.join(smallest, "group_key").select("set_key", "class_id", "n_links", "group_key")
-    return signed.select(id_col, "row_hash", "set_key").join(told, "set_key", "left").select(
-        F.col(id_col),
-        "row_hash",
-        F.when(F.col("set_key").isNull(), F.col(id_col)).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        "group_key",
+    smallest = settled(known.groupBy("group_key").agg(F.min("first_id").alias("class_id"), F.count("*").alias("classes")))
+    told = settled(joined_by_weight(known.drop("first_id"), smallest, "group_key", "classes"))
+    rows_of = signed.select(F.col(id_col), "row_hash", "set_key")
+    linked_rows = joined_by_weight(rows_of.where("set_key IS NOT NULL"), told, "set_key", "copies")
+    alone = rows_of.where("set_key IS NULL").select(
+        F.col(id_col), "row_hash", F.col(id_col).alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(None).cast("binary").alias("group_key")
     )
+    return linked_rows.select(F.col(id_col), "row_hash", "class_id", F.col("n_links").cast("bigint").alias("n_links"), "group_key").union(alone)
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
