@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contractcheck.functions.lineage import settled
 from contractcheck.operators import contracts as reg
 from contractcheck.operators import drift, slo, storage, test_ids, transforms, versions
 from contractcheck.sources.documents import explode_models, parse_documents, split_contracts
@@ -173,8 +174,12 @@ def contract_columns(spark, d):
     f"""WITH {PARTS_SQL} SELECT c.pos, c.column_name FROM cols c WHERE model_id = (SELECT min(id) FROM good WHERE fault = 0) ORDER BY pos""",
 )
 def contract_column_order(spark, d):
-    """Declared columns of the first sound agreement, in order."""
-    columns = reg.contract_columns(usable(spark, d))
+    """Declared columns of the first sound agreement, in order.
+
+    The columns are settled, so that looking for the agreement, sampling for the order
+    and reading the result parse the documents once in all.
+    """
+    columns = settled(reg.contract_columns(usable(spark, d)).select("model_id", "pos", "column_name", "max_length"))
     first = columns.filter((F.col("max_length") % 10 == 0)).agg(F.min("model_id")).first()[0]
     return drift.contract_column_list(columns, first).withColumn("pos", F.col("pos").cast("bigint"))
 

@@ -351,3 +351,31 @@ def test_only_new_and_changed_files_are_parsed(spark, tmp_path, monkeypatch):
     assert rejects == [] and names() == {"d/a", "kept/a", "d/b", "d/late"}
     kept = {r["source_path"].rsplit("/", 1)[-1]: r["content"] for r in run.read("contract_documents").collect()}
     assert set(kept) == {"a.yaml", "none.yaml"} and not any("kept" in c for c in kept.values())
+
+
+def test_column_order_parses_every_document_once(spark, tmp_path, monkeypatch):
+    import pandas as pd
+
+    from contractcheck.functions.text import PARSED, _parse_one
+    from contractcheck.sources import documents
+    from contractcheck.workload.contracts import contract_column_order
+
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    log = str(seen)
+
+    @F.pandas_udf(PARSED)
+    def logged(texts: pd.Series) -> pd.DataFrame:
+        import uuid
+
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+            f.write("x" * len(texts))
+        return pd.DataFrame([_parse_one(t) for t in texts], columns=["content", "parse_error"])
+
+    # Fault 5, two sound agreements of one name (their columns come twice), a later sound one, one that is not YAML.
+    parts = [(3, "a", "Brand#1", "T", 15), (4, "b", "Brand#2", "T", 20), (4, "b", "Brand#2", "T", 20), (7, "c", "Brand#3", "T", 10), (8, "d", "Brand#1", "T", 9)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(documents, "yaml_to_json", logged.asNondeterministic())
+    got = [(r.pos, r.column_name) for r in contract_column_order(spark, str(tmp_path)).collect()]
+    assert got == [(0, "id"), (0, "id"), (1, "label"), (1, "label"), (2, "price"), (2, "price")]
+    assert sum(f.stat().st_size for f in seen.iterdir()) == len(parts)
