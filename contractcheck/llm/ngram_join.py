@@ -250,13 +250,14 @@ def components(edges: DataFrame) -> DataFrame:
     Smallest labels spread to neighbours, then along themselves, so long chains
     shrink by half or more in each round. Rounds hand over checkpointed rows.
     """
-    both = settled(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    n = 2 * edges.count()
+    both = settled(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), n)
+    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), n)
     while True:
         heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         nearer = labels.join(heard, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         roots = nearer.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        then = settled(nearer.join(roots, "label", "left").select("node", "old", F.least("label", "up").alias("label")))
+        then = settled(nearer.join(roots, "label", "left").select("node", "old", F.least("label", "up").alias("label")), n)
         labels = then.select("node", "label")
         if then.where(F.col("old") != F.col("label")).isEmpty():
             return labels
@@ -269,12 +270,19 @@ def join_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     ``threshold``; ``class_id`` is shared by all that are connected through links.
     ``group_key`` is the same for the rows of a group, null for texts without shingles.
     """
+    return _counted_rows(df, id_col, text_col, threshold, recall, size, block)[0]
+
+
+def _counted_rows(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """The rows of :func:`join_rows` and their number, which bounds the files of what is settled on the way."""
     bands, rows = band_plan(threshold, recall)
     signed = settled(signatures(df, id_col, text_col, size, bands, rows))
+    n = signed.count()
     classes = settled(
         signed.where("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.count("*").alias("copies"), F.min(F.col(id_col)).alias("first_id"), F.min("row_hash").alias("first_row"), F.first("bands").alias("bands"))
+        .agg(F.count("*").alias("copies"), F.min(F.col(id_col)).alias("first_id"), F.min("row_hash").alias("first_row"), F.first("bands").alias("bands")),
+        n,
     )
     met = classes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
     buckets = (
@@ -285,7 +293,7 @@ def join_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         .agg(F.min(F.struct("band", "bucket")).alias("first"))
         .select("first.band", "first.bucket", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     )
-    members = settled(met.join(buckets, ["band", "bucket"]))
+    members = settled(met.join(buckets, ["band", "bucket"]), n * bands)
     found = classes.join(members.select("set_key").distinct(), "set_key", "left_semi")
     texts = df.select(F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("first_row")).join(found.select("first_row"), "first_row", "left_semi")
     sets = full_sets(texts, "text", size).groupBy("set_key").agg(F.first("shingles").alias("shingles"))
@@ -303,16 +311,17 @@ def join_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     groups = components(edges).select(F.col("node").alias("set_key"), F.col("label").alias("group_key"))
     linked = classes.join(counted, "set_key", "left").join(groups, "set_key", "left")
     known = settled(
-        linked.select("set_key", "copies", "first_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("group_key", "set_key").alias("group_key"))
+        linked.select("set_key", "copies", "first_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("group_key", "set_key").alias("group_key")),
+        n,
     )
-    smallest = settled(known.groupBy("group_key").agg(F.min("first_id").alias("class_id"), F.count("*").alias("classes")))
-    told = settled(joined_by_weight(known.drop("first_id"), smallest, "group_key", "classes"))
+    smallest = settled(known.groupBy("group_key").agg(F.min("first_id").alias("class_id"), F.count("*").alias("classes")), n)
+    told = settled(joined_by_weight(known.drop("first_id"), smallest, "group_key", "classes"), n)
     rows_of = signed.select(F.col(id_col), "row_hash", "set_key")
     linked_rows = joined_by_weight(rows_of.where("set_key IS NOT NULL"), told, "set_key", "copies")
     alone = rows_of.where("set_key IS NULL").select(
         F.col(id_col), "row_hash", F.col(id_col).alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(None).cast("binary").alias("group_key")
     )
-    return linked_rows.select(F.col(id_col), "row_hash", "class_id", F.col("n_links").cast("bigint").alias("n_links"), "group_key").union(alone)
+    return linked_rows.select(F.col(id_col), "row_hash", "class_id", F.col("n_links").cast("bigint").alias("n_links"), "group_key").union(alone), n
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -326,7 +335,7 @@ def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The row with the smallest id stays (null ids last, then by a hash of id and
     text). Rows without any shingle all stay. Of rows equal in id and text one stays.
     """
-    told = settled(join_rows(df, id_col, text_col, **options))
+    told = settled(*_counted_rows(df, id_col, text_col, **options))
     rank = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("row_hash").alias("h"))
     winners = told.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(rank).alias("w"), F.count("*").alias("size")).select("group_key", F.col("w.h").alias("__llm_row"))
     times = told.where("group_key IS NOT NULL").groupBy(F.col("row_hash").alias("__llm_row")).agg(F.count("*").alias("__llm_times"))

@@ -1,8 +1,11 @@
 """Groups of copies that hold most rows, and the identity of rows."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from contractcheck.functions import lineage
 from contractcheck.llm import ngram_join
 
 
@@ -50,3 +53,34 @@ def test_many_copies_and_near_copies(spark):
     counted = ngram_join.jaccard_join(docs).groupBy("class_id", "n_links").count().collect()
     assert sorted((r["class_id"], r["n_links"], r["count"]) for r in counted) == [(0, 30_299, 30_300), (50_000, 0, 1), (50_001, 0, 1)]
     assert sorted(r.doc_id for r in ngram_join.one_per_group(docs).select("doc_id").collect()) == [0, 50_000, 50_001]
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """64 shuffle partitions that stay 64, however few rows they hold."""
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    yield 64
+    for c, value in saved.items():
+        spark.conf.set(c, value)
+
+
+def test_settled_files_follow_the_bound(spark, many_partitions, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(2000).groupBy((F.col("id") % 1000).alias("k")).count()
+    monkeypatch.setattr(lineage, "ROWS_PER_FILE", 50)
+    for bound, parts in ((None, many_partitions), (1000, max(cores, 20)), (0, cores), (10**9, many_partitions)):
+        kept = lineage.settled(rows, bound)
+        assert kept.rdd.getNumPartitions() == parts and kept.count() == 1000
+
+
+def test_few_rows_settle_in_few_files(spark, many_partitions):
+    words = [f"word{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words + [f"extra{i % 5}"])) for i in range(40)], "doc_id bigint, text string").repartition(4)
+    lineage.settled(spark.range(1))  # sets the folder if there is none yet
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = {f for f in folder.rglob("part-*")}
+    assert [r.doc_id for r in ngram_join.one_per_group(docs).collect()] == [0]
+    # Only the verified links keep a file for every shuffle partition.
+    assert len({f for f in folder.rglob("part-*")} - before) <= many_partitions + 12 * spark.sparkContext.defaultParallelism
